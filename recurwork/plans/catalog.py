@@ -8,8 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recurwork.operators import repeats
 from recurwork.plans import reports
-from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim
+from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders
+
+# The fixture history spans 1995-01 .. 2001-08; 100 months reaches all of it,
+# so the pair query runs over the whole table (3 months, the production
+# default, leaves no group at the test scales).
+PAIRS_LOOKBACK_MONTHS = 100
 
 
 def _r(spark, d):
@@ -44,6 +50,24 @@ def q_tech_repeats(spark: SparkSession, d: str) -> DataFrame:
     return reports.tech_repeats(_r(spark, d), _w(spark, d), AS_OF)
 
 
+def _s(spark, d):
+    return fx_workorders(spark, d)
+
+
+def pairs(spark: SparkSession, d: str, **kw) -> DataFrame:
+    kw.setdefault("lookback_months", PAIRS_LOOKBACK_MONTHS)
+    return repeats.repeat_pairs_30d(_s(spark, d), _w(spark, d), AS_OF, **kw)
+
+
+def q_repeat_pairs_30d(spark: SparkSession, d: str) -> DataFrame:
+    return pairs(spark, d)
+
+
+def q_repeat_pairs_6m(spark: SparkSession, d: str) -> DataFrame:
+    """The debug copy's 6-month lookback (only the lookback differs)."""
+    return pairs(spark, d, lookback_months=6)
+
+
 QUERIES = {
     "repeats_by_trade": q_repeats_by_trade,
     "problem_codes": q_problem_codes,
@@ -51,4 +75,6 @@ QUERIES = {
     "monthly_trend": q_monthly_trend,
     "repeat_detail": q_repeat_detail,
     "tech_repeats": q_tech_repeats,
+    "repeat_pairs_30d": q_repeat_pairs_30d,
+    "repeat_pairs_6m": q_repeat_pairs_6m,
 }
