@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recurwork.operators import repeats
-from recurwork.plans import reports
+from recurwork.plans import reports, views
 from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders
 
 # The fixture history spans 1995-01 .. 2001-08; 100 months reaches all of it,
@@ -68,6 +68,76 @@ def q_repeat_pairs_6m(spark: SparkSession, d: str) -> DataFrame:
     return pairs(spark, d, lookback_months=6)
 
 
+def _groups(spark, d):
+    return views.repeat_groups(pairs(spark, d, sort=False))
+
+
+# Fixed view parameters of the registered queries (values present in the fixtures).
+ORG_FILTER = {"sr": "ASIA"}
+FACET_FILTER = {"sr": "ASIA", "prob": "1-URGENT"}
+SLICE_STORE = 26
+GAP_FILTER = {"director": "ASIA", "urgency": 60}
+GAP_SEARCH = {"q": "tech 1"}
+
+
+def _trade(spark, d):
+    return reports.repeats_by_trade(_r(spark, d), AS_OF)
+
+
+def _trend(spark, d):
+    return reports.monthly_trend(_r(spark, d), AS_OF)
+
+
+def _detail_enriched(spark, d):
+    return reports.repeat_detail(_r(spark, d), AS_OF, w=_w(spark, d))
+
+
+VIEW_QUERIES = {
+    "kpi_overview": lambda s, d: views.kpi_overview(_r(s, d), AS_OF),
+    "repeat_groups": lambda s, d: _groups(s, d),
+    "by_problem": lambda s, d: views.by_problem(_groups(s, d)),
+    "by_store": lambda s, d: views.by_store(_groups(s, d)),
+    "by_director": lambda s, d: views.by_director(_groups(s, d)),
+    "repeat_detail_view": lambda s, d: views.repeat_detail_view(_groups(s, d), ORG_FILTER),
+    "repeat_detail_view_gated": lambda s, d: views.repeat_detail_view(_groups(s, d), {"prob": "1-URGENT"}),
+    "filtered_kpis": lambda s, d: views.filtered_kpis(_groups(s, d), ORG_FILTER),
+    "by_store_filtered": lambda s, d: views.by_store_filtered(_groups(s, d), ORG_FILTER),
+    "by_director_filtered": lambda s, d: views.by_director_filtered(_groups(s, d), ORG_FILTER),
+    "by_problem_filtered": lambda s, d: views.by_problem_filtered(_groups(s, d), FACET_FILTER),
+    "facets": lambda s, d: views.facets(_groups(s, d), FACET_FILTER),
+    "store_slice": lambda s, d: views.store_slice(_groups(s, d), SLICE_STORE),
+    "store_slice_summary": lambda s, d: views.store_slice_summary(_groups(s, d), SLICE_STORE),
+    "gap_finder": lambda s, d: views.gap_finder(_detail_enriched(s, d), sort_key="days_between",
+                                                descending=False, page_no=1, **GAP_FILTER),
+    "gap_finder_search": lambda s, d: views.gap_finder(_detail_enriched(s, d), **GAP_SEARCH),
+    "gap_count": lambda s, d: views.gap_count(_detail_enriched(s, d), **GAP_SEARCH),
+    "trade_bands": lambda s, d: views.trade_bands(_trade(s, d)),
+    "trade_band_totals": lambda s, d: views.trade_band_totals(_trade(s, d)),
+    "trade_codes": lambda s, d: views.trade_codes(reports.problem_codes(_r(s, d), AS_OF)),
+    "trade_codes_one": lambda s, d: views.trade_codes(reports.problem_codes(_r(s, d), AS_OF), "FM - AUTOMOBILE"),
+    "trade_summary": lambda s, d: views.trade_summary(_trade(s, d)),
+    "store_list": lambda s, d: views.store_list(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF),
+                                                sort_key="repeats_90d"),
+    "store_list_search": lambda s, d: views.store_list(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF),
+                                                       q="nation_1", page_no=0, size=20),
+    "store_count": lambda s, d: views.store_count(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF),
+                                                  q="nation_1"),
+    "month_totals": lambda s, d: views.month_totals(_trend(s, d)),
+    "top5_trend": lambda s, d: views.top_trend(_trend(s, d), 5),
+    "trend_table": lambda s, d: views.trend_table(_trend(s, d)),
+    "trend_table_one": lambda s, d: views.trend_table(_trend(s, d), "FM - MACHINERY"),
+    "extract_search": lambda s, d: views.extract_search(
+        as_text(reports.tech_repeats(_r(s, d), _w(s, d), AS_OF)), "tech 1"),
+    "asset_counts_exploded": lambda s, d: views.asset_counts_exploded(pairs(s, d, keep_arrays=True, sort=False)),
+    "name_search": lambda s, d: views.name_search(_groups(s, d), "manager 1"),
+}
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Every column as text — the shape of a BI CSV extract."""
+    return df.select(*[df[c].cast("string").alias(c) for c in df.columns])
+
+
 QUERIES = {
     "repeats_by_trade": q_repeats_by_trade,
     "problem_codes": q_problem_codes,
@@ -77,4 +147,5 @@ QUERIES = {
     "tech_repeats": q_tech_repeats,
     "repeat_pairs_30d": q_repeat_pairs_30d,
     "repeat_pairs_6m": q_repeat_pairs_6m,
+    **VIEW_QUERIES,
 }
