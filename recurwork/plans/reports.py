@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from recurwork.functions.exprs import UNKNOWN, day_lookback, default, present_tech
 from recurwork.operators.dimension import enrich
-from recurwork.operators.ordering import top_k
+from recurwork.operators.ordering import latest_k, top_k
 
 
 def _recent(r: DataFrame, as_of, lookback_days: int) -> DataFrame:
@@ -120,7 +120,7 @@ def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | No
         default("prev_problem_code_desc", "").alias("prev_problem_code"),
         "month3_flag", "month6_flag", "month12_flag",
     )
-    out = top_k(out, [F.col("call_date").desc(), F.col("tracking_nbr").desc()], limit)
+    out = latest_k(out, "call_date", [F.col("call_date").desc(), F.col("tracking_nbr").desc()], limit)
     if w is None:
         return out
     j = enrich(out, w, ["store_city", "store_state", "fm_director", "fm_sr_director", "latest_activity_tech"])
