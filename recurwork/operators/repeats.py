@@ -61,9 +61,8 @@ def ranked(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3,
     org = {"fm_director": "fm_director", "fm_sr_director": "sr_director",
            "fm_regional_mgr": "regional_mgr", "aligned_fs_mgr": "fs_mgr"}
     j = enrich(f, w, list(org))
-    for src, dst in org.items():
-        j = j.withColumn(dst, F.coalesce(F.col(src), F.lit(""))).drop(src) if src != dst else \
-            j.withColumn(dst, F.coalesce(F.col(src), F.lit("")))
+    j = j.select(*[c for c in j.columns if c not in org],
+                 *[F.coalesce(F.col(src), F.lit("")).alias(dst) for src, dst in org.items()])
     j = previous_date(j, KEY, "completion_date", "tracking_nbr", "prev_completion", bucket_width)
     j = j.withColumn("days_since_prev", F.datediff("completion_date", "prev_completion"))
     if lookback_pad_days:

@@ -1,0 +1,7 @@
+"""Streaming entry points.
+
+The reference has no streams: every run recomputes and overwrites full
+results.  ``refresh_stream`` keeps exactly that semantics and only uses
+Structured Streaming as the trigger — a file source over the landing folder of
+new work-order files, whose micro-batches start the batch refresh.
+"""
