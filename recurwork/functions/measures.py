@@ -67,6 +67,14 @@ def non_overlapping_bands(r90, r180, r365):
     return (r90.alias("band_0_90"), (r180 - r90).alias("band_91_180"), (r365 - r180).alias("band_181_365"))
 
 
+def pair_severity(r30, two_levels: bool = False) -> Column:
+    """M8 — repeat group severity: >= 3 high, >= 2 medium, else low (detail table: >= 3 high, else medium)."""
+    r30 = _c(r30)
+    if two_levels:
+        return F.when(r30 >= 3, F.lit("high")).otherwise(F.lit("medium"))
+    return band_at_least(r30, 3, 2)
+
+
 def code_if_distinct(code, prob) -> Column:
     """M10 — the problem code only when non-empty and different from the type."""
     code, prob = _c(code), _c(prob)

@@ -130,6 +130,8 @@ VIEW_QUERIES = {
         as_text(reports.tech_repeats(_r(s, d), _w(s, d), AS_OF)), "tech 1"),
     "asset_counts_exploded": lambda s, d: views.asset_counts_exploded(pairs(s, d, keep_arrays=True, sort=False)),
     "name_search": lambda s, d: views.name_search(_groups(s, d), "manager 1"),
+    "asset_counts_parsed": lambda s, d: views.asset_counts_from_text(pairs(s, d, sort=False)),
+    "gap_filter_options": lambda s, d: views.gap_filter_options(_detail_enriched(s, d)),
 }
 
 

@@ -10,14 +10,14 @@ not filter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurwork.functions.exprs import (UNASSIGNED, any_column_contains, contains_text, day_lookback, either_equals,
-                                       falsy_default, num, optional_equalities, strip_first,
-                                       strip_label_prefixes, unassigned_prefix)
-from recurwork.functions.measures import (band_above, band_at_least, gap_score, pct, rate_pct,
-                                          urgency_band)
+from recurwork.functions.exprs import (UNASSIGNED, any_column_contains, blank_to_null, contains_text, day_lookback,
+                                       either_equals, falsy_default, first_non_empty, num, optional_equalities,
+                                       strip_first, strip_label_prefixes, unassigned_prefix)
+from recurwork.functions.measures import (band_above, band_at_least, code_if_distinct, gap_score,
+                                          pair_severity, pct, rate_pct, urgency_band)
 from recurwork.operators.ordering import page, sort_by_field, top_k
 from recurwork.plans import reports
 
@@ -126,6 +126,8 @@ def repeat_detail_view(groups: DataFrame, filters: dict | None = None, require_o
                        sort_field: str = "r30", descending: bool = True) -> DataFrame:
     """V6 — the filtered groups, sorted by a chosen field (ties: detail order)."""
     f = filter_groups(groups, filters, require_org_filter)
+    f = f.select("*", code_if_distinct("pcd", "prob").alias("pcd_display"),
+                 pair_severity("r30", two_levels=True).alias("severity"))
     return sort_by_field(f, sort_field, descending, DETAIL_SORT, _detail_order())
 
 
@@ -190,6 +192,8 @@ def store_slice(groups: DataFrame, store: int, filters: dict | None = None) -> D
     """V9 — the groups of one store under the filters, by 30-day repeats."""
     f = {k: v for k, v in (filters or {}).items() if k in FACET_FIELDS}
     rows = groups.filter((F.col("sn") == F.lit(store)) & optional_equalities(f))
+    rows = rows.select("*", code_if_distinct("pcd", "prob").alias("pcd_display"),
+                       pair_severity("r30").alias("severity"))
     return rows.orderBy(*_detail_order())
 
 
@@ -393,6 +397,41 @@ def asset_counts_exploded(pairs: DataFrame) -> DataFrame:
     return pairs.select(*keys, F.explode("assets").alias("a")).select(*keys, "a.*")
 
 
+def asset_counts_from_text(pairs: DataFrame) -> DataFrame:
+    """V19 on the export form: parse 'desc~tag~count,..' back to rows.
+
+    The reader's rules: split on ',' then '~', trim each part, skip entries
+    with an empty name, an empty tag is no tag, the count is an integer (0 if
+    absent).  Equals :func:`asset_counts_exploded` when names hold no ',' / '~'.
+    """
+    keys = ["store_nbr", "problem_type_desc", "problem_code_desc", "sc_trade_name", "category_name"]
+    items = F.split(F.trim(F.coalesce("asset_counts_str", F.lit(""))), ",")
+    e = pairs.select(*keys, F.posexplode(items).alias("pos", "item"))
+    parts = F.split("item", "~")
+    e = e.select(*keys, "pos", F.trim(F.get(parts, 0)).alias("equipment_desc"),
+                 blank_to_null(F.get(parts, 1)).alias("equipment_tagid"),
+                 F.coalesce(F.trim(F.get(parts, 2)).try_cast("bigint"), F.lit(0).cast("bigint")).alias("wo_count"))
+    e = e.filter(F.col("equipment_desc").isNotNull() & (F.col("equipment_desc") != ""))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("pos"))
+    return e.select(*keys, rank.alias("rank"), "equipment_desc", "equipment_tagid", "wo_count")
+
+
+def gap_filter_options(detail: DataFrame) -> DataFrame:
+    """The gap finder's drop-down lists: (field, value, label) sorted.
+
+    Trades are labelled without their 'FM - ' / 'PM - ' prefix; the director
+    list takes the first non-empty of fm_director and sr_director.
+    """
+    items = F.array(
+        F.struct(F.lit("trade").alias("field"), F.col("trade").alias("value"),
+                 strip_label_prefixes("trade", ("FM - ", "PM - ")).alias("label")),
+        F.struct(F.lit("state").alias("field"), F.col("state").alias("value"), F.col("state").alias("label")),
+        F.struct(F.lit("director").alias("field"), first_non_empty("fm_director", "sr_director").alias("value"),
+                 first_non_empty("fm_director", "sr_director").alias("label")))
+    e = detail.select(F.explode(items).alias("x")).select("x.*")
+    return e.filter(F.col("value").isNotNull() & (F.col("value") != "")).distinct().orderBy("field", "value")
+
+
 def name_search(groups: DataFrame, q: str, limit: int = 20) -> DataFrame:
     """V20 — type-ahead over the four organisation levels: distinct (level, name) containing q."""
     items = F.array(*[F.struct(F.lit(k).alias("level"), F.col(k).alias("name")) for k in ORG_FILTERS])
