@@ -1,15 +1,27 @@
-"""Skew-safe LAG: the previous row's date within a key, ordered by (date, tie-break).
-
-A plain ``lag() OVER (PARTITION BY key ORDER BY date)`` sends every row of a
-key to one task; when one store/problem holds a third of all work orders that
-task sorts a third of the data alone, and AQE cannot split a window.
-
-Here the window runs per (key, bucket), where the bucket is monotone in the
-sort order — the calendar day, optionally refined by ``tie // bucket_width``.
-Only the first row of each bucket lacks its predecessor; that value is the
-last date of the previous non-empty bucket of the same key, read from a small
-per-bucket summary (one row per key and bucket, pre-aggregated map-side)
-with a second, tiny window.  The result equals the one-window LAG exactly.
+"""Skew-safe LAG of a date: the previous row's date within a key, rows ordered by (date, tie).
+
+A plain ``lag() OVER (PARTITION BY key ORDER BY date, tie)`` sends every row
+of a key to one task; when one store/problem holds a third of all work orders
+that task sorts a third of the data alone, and AQE cannot split a window.
+
+Because only the *date* of the previous row is needed, no row-level window is
+required at all:
+
+* a row that is not the first of its (key, day) in ``tie`` order follows a row
+  of the same day, so its previous date is its own date;
+* the first row of a (key, day) follows the last row of the key's previous
+  day, so its previous date is the previous distinct day of the key.
+
+So: one aggregate of (key, day) -> smallest tie value (partial, map-side),
+one window over that aggregate (one row per key and day: bounded by the
+number of days in the lookback, however hot the key), and one equi-join back
+on (key, day).  That join is a plain shuffle join, which AQE's skew handling
+splits when one (key, day) is hot; a small day table is broadcast instead.
+
+Precondition: ``tie`` is unique within (key, day) — the tracking number of a
+work order.  Exact copies of a row (same key, day and tracking number) are
+one work order here: each copy gets the previous day's date, so copies are
+not 0-day repeats of each other.
 """
 
 from __future__ import annotations
@@ -19,31 +31,20 @@ from pyspark.sql import functions as F
 
 
 def previous_date(df: DataFrame, keys: list[str], date_col: str, tie_col: str,
-                  out_col: str = "prev_date", bucket_width: int | None = None) -> DataFrame:
+                  out_col: str = "prev_date") -> DataFrame:
     """Add ``out_col`` = date of the previous row of the same ``keys`` in (date, tie) order.
 
-    ``date_col`` and ``keys`` must be non-null (the callers filter them first).
+    ``keys`` and ``date_col`` must be non-null (callers filter them first).
     """
-    tie_bucket = (F.floor(F.col(tie_col) / F.lit(bucket_width)) if bucket_width
-                  else F.lit(0)).cast("bigint")
-    b = df.withColumn("_bd", F.col(date_col)).withColumn("_bt", tie_bucket)
-    bucket = keys + ["_bd", "_bt"]
-
-    within = Window.partitionBy(*bucket).orderBy(F.col(date_col), F.col(tie_col))
-    rows = b.withColumn("_prev_in", F.lag(date_col).over(within))
-
-    # last date of every bucket, then the previous bucket's last date per key
-    summary = b.groupBy(*bucket).agg(F.max(date_col).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy("_bd", "_bt")
-    summary = summary.select(*bucket, F.lag("_last").over(across).alias("_prev_bucket"))
-
-    out = rows.join(summary, bucket, "left")
-    return out.withColumn(out_col, F.coalesce("_prev_in", "_prev_bucket")) \
-              .drop("_prev_in", "_prev_bucket", "_bd", "_bt")
+    days = df.groupBy(*keys, date_col).agg(F.min(tie_col).alias("_first_tie"))
+    days = days.withColumn("_prev_day", F.lag(date_col).over(Window.partitionBy(*keys).orderBy(date_col)))
+    j = df.join(days, keys + [date_col], "inner")
+    prev = F.when(F.col(tie_col) == F.col("_first_tie"), F.col("_prev_day")).otherwise(F.col(date_col))
+    return j.withColumn(out_col, prev).drop("_first_tie", "_prev_day")
 
 
 def previous_date_plain(df: DataFrame, keys: list[str], date_col: str, tie_col: str,
                         out_col: str = "prev_date") -> DataFrame:
-    """Single-window LAG (reference shape); used to cross-check :func:`previous_date`."""
+    """One-window LAG (the reference's shape); used to cross-check :func:`previous_date`."""
     w = Window.partitionBy(*keys).orderBy(F.col(date_col), F.col(tie_col))
     return df.withColumn(out_col, F.lag(date_col).over(w))

@@ -34,7 +34,7 @@ GROUP = KEY + ["sc_trade_name", "category_name"]
 
 def ranked(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3,
            excluded_types=EXCLUDED_PROBLEM_TYPES, trade_prefix: str = FM_TRADE_PREFIX,
-           lookback_pad_days: int = 0, bucket_width: int | None = None) -> DataFrame:
+           lookback_pad_days: int = 0) -> DataFrame:
     """Filtered work orders with organisation and ``days_since_prev``.
 
     The lookback filter stays *below* the LAG (as in the reference): the first
@@ -63,7 +63,7 @@ def ranked(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3,
     j = enrich(f, w, list(org))
     j = j.select(*[c for c in j.columns if c not in org],
                  *[F.coalesce(F.col(src), F.lit("")).alias(dst) for src, dst in org.items()])
-    j = previous_date(j, KEY, "completion_date", "tracking_nbr", "prev_completion", bucket_width)
+    j = previous_date(j, KEY, "completion_date", "tracking_nbr", "prev_completion")
     j = j.withColumn("days_since_prev", F.datediff("completion_date", "prev_completion"))
     if lookback_pad_days:
         j = j.filter(F.col("completion_date") >= edge)
@@ -144,14 +144,14 @@ OUTPUT = ["store_nbr", "problem_type_desc", "problem_code_desc", "sc_trade_name"
 def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3, repeat_days: int = 30,
                      min_repeats: int = 2, excluded_types=EXCLUDED_PROBLEM_TYPES,
                      trade_prefix: str = FM_TRADE_PREFIX, lookback_pad_days: int = 0,
-                     bucket_width: int | None = None, keep_arrays: bool = False,
+                     keep_arrays: bool = False,
                      sort: bool = True) -> DataFrame:
     """Store + problem groups with at least ``min_repeats`` repeats within ``repeat_days``.
 
     ``problem_code_desc`` is output as ``NULLIF(code_key, '')``.  With
     ``keep_arrays`` the native ``assets`` array is kept next to its string.
     """
-    rk = ranked(s, w, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days, bucket_width)
+    rk = ranked(s, w, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days)
     if min_repeats < 1:
         rk = rk.join(keys_with_pair(rk, repeat_days), KEY, "left_semi")
     m = main_agg(rk, repeat_days, min_repeats)

@@ -155,3 +155,11 @@ def test_result_round_trip_and_missing_default(spark):
     files.write_empty(spark, schemas.REPEAT_PAIRS, os.path.join(d, "empty"))
     assert files.load_result(spark, os.path.join(d, "empty"), schemas.REPEAT_PAIRS).count() == 0
     assert files.cap(p, 0).count() == 0
+
+
+def test_exact_copies_are_not_zero_day_repeats_of_each_other(spark):
+    from recurwork.operators.lag import previous_date
+    rows = [(1, "2001-06-01", 10), (1, "2001-06-01", 10), (1, "2001-06-01", 11), (1, "2001-06-05", 12)]
+    df = spark.createDataFrame(rows, "k int, d string, t long").withColumn("d", F.to_date("d"))
+    got = sorted((r.t, str(r.p)) for r in previous_date(df, ["k"], "d", "t", "p").collect())
+    assert got == [(10, "None"), (10, "None"), (11, "2001-06-01"), (12, "2001-06-01")]
