@@ -277,6 +277,31 @@ def trade_summary(by_trade: DataFrame) -> DataFrame:
         .orderBy(F.col("total_repeats").desc(), F.col("trade").asc())
 
 
+def trade_chart(by_trade: DataFrame, k: int = 10) -> DataFrame:
+    """T5 + M1 — the first ``k`` trades with the 0–90 and 91–180 day bands (overview chart)."""
+    out = by_trade.select("trade", strip_label_prefixes("trade").alias("label"), "total_repeats",
+                          F.col("repeats_90d").alias("band_0_90"),
+                          (F.col("repeats_180d") - F.col("repeats_90d")).alias("band_91_180"))
+    return top_k(out, [F.col("total_repeats").desc(), F.col("trade").asc()], k)
+
+
+def problem_chart(codes: DataFrame, k: int = 10, width: int = 28) -> DataFrame:
+    """T5 — the first ``k`` problem codes with a label cut to ``width`` characters."""
+    code = F.col("problem_code")
+    label = F.when(F.length(code) > width, F.concat(F.substring(code, 1, width - 2), F.lit("..."))).otherwise(code)
+    out = codes.select("trade", "problem_code", label.alias("label"), "repeat_count")
+    return top_k(out, [F.col("repeat_count").desc(), F.col("trade").asc(), F.col("problem_code").asc()], k)
+
+
+def top_stores(hotspots: DataFrame, k: int = 10, badges: int = 3) -> DataFrame:
+    """T5 — the first ``k`` hotspot stores with their first ``badges`` trades (trimmed)."""
+    parts = F.filter(F.transform(F.split(F.coalesce("top_trades", F.lit("")), ","), lambda x: F.trim(x)),
+                     lambda x: x != "")
+    out = hotspots.select("store_nbr", "city", "state", "total_repeats", "repeats_90d",
+                          F.array_join(F.slice(parts, 1, badges), ", ").alias("trade_badges"))
+    return top_k(out, [F.col("total_repeats").desc(), F.col("store_nbr").asc()], k)
+
+
 STORE_SORT = ("total_repeats", "repeats_90d", "repeats_180d", "trades_affected")
 
 
@@ -295,6 +320,19 @@ def store_list(hotspots: DataFrame, q: str = "", state: str = "", sort_key: str
     return page(f, page_no, size)
 
 
+def store_chart(hotspots: DataFrame, q: str = "", state: str = "", sort_key: str = "total_repeats",
+                k: int = 20) -> DataFrame:
+    """T5 — the first ``k`` stores of the store list, labelled '#store city', with 90-day repeats."""
+    if sort_key not in STORE_SORT:
+        raise ValueError(f"sort_key must be one of {STORE_SORT}")
+    f = store_filtered(hotspots, q, state).select(
+        "store_nbr", F.concat(F.lit("#"), F.col("store_nbr").cast("string"), F.lit(" "),
+                              F.coalesce("city", F.lit(""))).alias("label"),
+        num("repeats_90d").alias("repeats_90d"), num(sort_key).alias("_k"), "total_repeats")
+    out = top_k(f, [F.col("_k").desc(), F.col("total_repeats").desc(), F.col("store_nbr").asc()], k)
+    return out.drop("_k", "total_repeats")
+
+
 def store_count(hotspots: DataFrame, q: str = "", state: str = "") -> DataFrame:
     return store_filtered(hotspots, q, state).agg(F.count(F.lit(1)).alias("stores"))
 

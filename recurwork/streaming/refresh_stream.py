@@ -11,6 +11,7 @@ has landed and stops, which suits a scheduled job.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,14 @@ from recurwork.session import checkpoint_dir
 
 
 def refresh_on_new_files(spark: SparkSession, landing_dir: str, w: DataFrame, r: DataFrame, out_dir: str,
-                         as_of=None, available_now: bool = True, **refresh_kw):
-    """Start the trigger query; returns the StreamingQuery."""
+                         as_of=None, available_now: bool = True, checkpoint_location: str | None = None,
+                         **refresh_kw):
+    """Start the trigger query; returns the StreamingQuery.
+
+    The stream's progress (which files were seen) lives in
+    ``checkpoint_location``, by default a folder per landing path under the
+    shared ``spark.checkpoint.dir``.
+    """
     stream = spark.readStream.schema(schemas.WORKORDERS).parquet(landing_dir)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -32,6 +39,7 @@ def refresh_on_new_files(spark: SparkSession, landing_dir: str, w: DataFrame, r:
         refresh(spark, s, w, r, out_dir, as_of or dt.date.today(), **refresh_kw)
 
     writer = (stream.writeStream.foreachBatch(run)
-              .option("checkpointLocation", os.path.join(checkpoint_dir(spark), "refresh_stream")))
+              .option("checkpointLocation", checkpoint_location or os.path.join(
+                  checkpoint_dir(spark), "refresh_stream", hashlib.sha1(landing_dir.encode()).hexdigest()[:16])))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()

@@ -1,0 +1,20 @@
+"""The file-triggered refresh processes landed work-order files once (availableNow) and writes results."""
+
+import os
+import tempfile
+
+from conftest import SMALL
+from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders
+from recurwork.streaming.refresh_stream import refresh_on_new_files
+
+
+def test_refresh_stream_available_now(spark):
+    base = tempfile.mkdtemp(prefix="recurwork-stream-")
+    landing, out = os.path.join(base, "landing"), os.path.join(base, "out")
+    fx_workorders(spark, SMALL).write.parquet(landing)
+    q = refresh_on_new_files(spark, landing, fx_workorder_dim(spark, SMALL), fx_recurring(spark, SMALL), out,
+                             as_of=AS_OF, lookback_months=100)
+    assert q.awaitTermination(600)
+    assert q.exception() is None
+    assert spark.read.parquet(os.path.join(out, "repeats_by_trade")).count() == 4
+    assert os.path.isdir(os.path.join(out, "repeat_pairs_30d"))
