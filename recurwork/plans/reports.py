@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from recurwork.functions.exprs import UNKNOWN, day_lookback, default, present_tech
 from recurwork.operators.dimension import enrich
 from recurwork.operators.ordering import latest_k, top_k
+from recurwork.operators.topn import join_field, ranked_list
 
 
 def _recent(r: DataFrame, as_of, lookback_days: int) -> DataFrame:
@@ -56,12 +57,13 @@ def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
 
     Keeps repeats without a trade (no trade filter, as in the reference).
     ``top_trades`` lists up to ``list_limit`` distinct trades, alphabetically
-    (the reference's pick is unordered); NULL when the store has none.
+    (the reference's pick is unordered); NULL when the store has none.  The
+    list is built from distinct (store, trade) pairs cut to ``list_limit`` per
+    store before the shuffle, so it is bounded however many trades a store has.
     """
     base = _recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
         .select("tracking_nbr", "store_nbr", "sc_trade_name", "month3_flag", "month6_flag")
     j = enrich(base, w, ["store_city", "store_state", "fm_sr_director", "fm_director", "store_type_name"])
-    trades = F.slice(F.array_sort(F.collect_set("sc_trade_name")), 1, list_limit)
     out = j.groupBy("store_nbr").agg(
         F.max("store_city").alias("city"),
         F.max("store_state").alias("state"),
@@ -72,10 +74,13 @@ def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
         F.countDistinct("sc_trade_name").alias("trades_affected"),
         F.sum("month3_flag").alias("repeats_90d"),
         F.sum("month6_flag").alias("repeats_180d"),
-        trades.alias("_trades"),
     )
-    out = out.withColumn("top_trades", F.when(F.size("_trades") > 0, F.array_join("_trades", ", "))) \
-             .drop("_trades")
+    # at most ``list_limit`` distinct trades per store, cut before the shuffle
+    trades = ranked_list(base.select("store_nbr", "sc_trade_name").filter(F.col("sc_trade_name").isNotNull())
+                         .distinct(), ["store_nbr"], [F.col("sc_trade_name").asc()], list_limit,
+                         {"trade": F.col("sc_trade_name")}, "_trades")
+    trades = trades.select("store_nbr", join_field("_trades", "trade", ", ").alias("top_trades"))
+    out = out.join(trades, "store_nbr", "left")
     return top_k(out, [F.col("total_repeats").desc(), F.col("store_nbr").asc()], limit)
 
 
