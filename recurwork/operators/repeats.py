@@ -27,6 +27,7 @@ from recurwork.functions.exprs import (EXCLUDED_PROBLEM_TYPES, FM_TRADE_PREFIX,
 from recurwork.operators.dimension import enrich
 from recurwork.operators.lag import previous_date
 from recurwork.operators.topn import join_field, ranked_list
+from recurwork.session import checkpoint_dir
 
 KEY = ["store_nbr", "problem_type_desc", "code_key"]
 GROUP = KEY + ["sc_trade_name", "category_name"]
@@ -144,14 +145,24 @@ OUTPUT = ["store_nbr", "problem_type_desc", "problem_code_desc", "sc_trade_name"
 def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3, repeat_days: int = 30,
                      min_repeats: int = 2, excluded_types=EXCLUDED_PROBLEM_TYPES,
                      trade_prefix: str = FM_TRADE_PREFIX, lookback_pad_days: int = 0,
-                     keep_arrays: bool = False,
-                     sort: bool = True) -> DataFrame:
+                     keep_arrays: bool = False, sort: bool = True,
+                     materialize: bool = True) -> DataFrame:
     """Store + problem groups with at least ``min_repeats`` repeats within ``repeat_days``.
 
     ``problem_code_desc`` is output as ``NULLIF(code_key, '')``.  With
     ``keep_arrays`` the native ``assets`` array is kept next to its string.
+
+    ``ranked`` feeds three branches (group measures, recent lists, assets) that
+    each need other columns, so Catalyst prunes them differently and cannot
+    reuse one exchange: left lazy, the S scan, the W join and the LAG would run
+    three times.  ``materialize`` (default) runs them once and keeps the result
+    as a reliable checkpoint in the shared ``spark.checkpoint.dir``, which also
+    cuts the lineage; the call then costs one job up front.
     """
     rk = ranked(s, w, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days)
+    if materialize:
+        checkpoint_dir(rk.sparkSession)
+        rk = rk.checkpoint(eager=True)
     if min_repeats < 1:
         rk = rk.join(keys_with_pair(rk, repeat_days), KEY, "left_semi")
     m = main_agg(rk, repeat_days, min_repeats)
