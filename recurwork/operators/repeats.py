@@ -28,6 +28,7 @@ from recurwork.operators.dimension import enrich
 from recurwork.operators.lag import previous_date
 from recurwork.operators.topn import join_field, ranked_list
 from recurwork.session import checkpoint_dir
+from recurwork.sources.tables import since_month_filter
 
 KEY = ["store_nbr", "problem_type_desc", "code_key"]
 GROUP = KEY + ["sc_trade_name", "category_name"]
@@ -46,7 +47,8 @@ def ranked(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3,
     edge = F.add_months(as_of_lit(as_of), -lookback_months)
     start = F.date_sub(edge, lookback_pad_days) if lookback_pad_days else edge
     f = s.filter(
-        F.col("completion_date").isNotNull()
+        since_month_filter(s, "completion_date", start)
+        & F.col("completion_date").isNotNull()
         & (F.col("completion_date") >= start)
         & F.col("store_nbr").isNotNull()
         & upper_prefix("sc_trade_name", trade_prefix)

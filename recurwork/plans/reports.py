@@ -11,14 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recurwork.functions.exprs import UNKNOWN, day_lookback, default, present_tech
+from recurwork.functions.exprs import UNKNOWN, as_of_lit, day_lookback, default, present_tech
 from recurwork.operators.dimension import enrich
 from recurwork.operators.ordering import latest_k, top_k
 from recurwork.operators.topn import join_field, ranked_list
+from recurwork.sources.tables import since_month_filter
 
 
 def _recent(r: DataFrame, as_of, lookback_days: int) -> DataFrame:
-    return r.filter(day_lookback("call_date", as_of, lookback_days))
+    start = F.date_sub(as_of_lit(as_of), lookback_days)
+    return r.filter(since_month_filter(r, "call_date", start) & day_lookback("call_date", as_of, lookback_days))
 
 
 def repeats_by_trade(r: DataFrame, as_of, lookback_days: int = 365, limit: int | None = 40) -> DataFrame:

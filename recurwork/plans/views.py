@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurwork.functions.exprs import (UNASSIGNED, any_column_contains, blank_to_null, contains_text, day_lookback,
+from recurwork.functions.exprs import (UNASSIGNED, any_column_contains, blank_to_null, contains_text,
                                        either_equals, falsy_default, first_non_empty, num, optional_equalities,
                                        strip_first, strip_label_prefixes, unassigned_prefix)
 from recurwork.functions.measures import (band_above, band_at_least, code_if_distinct, gap_score,
@@ -214,7 +214,7 @@ def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int =
     Computed from R uncapped.  The three inputs are aggregates of R that are
     unioned and folded by one global aggregate (no join between them).
     """
-    base = r.filter(day_lookback("call_date", as_of, lookback_days))
+    base = reports._recent(r, as_of, lookback_days)
     trades = base.filter(F.col("sc_trade_name").isNotNull()).groupBy(F.col("sc_trade_name").alias("trade")) \
         .agg(F.count(F.lit(1)).alias("t_total"), F.sum("month3_flag").alias("t_r90"))
     codes = reports.problem_codes(r, as_of, lookback_days, min_count, None) \

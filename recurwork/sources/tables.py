@@ -14,8 +14,16 @@ from pyspark.sql import types as T
 from recurwork import schemas
 
 
+# Month partition columns ('yyyy-MM') written by :func:`write_by_month`.
+MONTH_COLUMNS = {"completion_date": "completion_month", "call_date": "call_month"}
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns in order, cast to the declared types."""
+    """Select the schema's columns in order, cast to the declared types.
+
+    A month partition column written by :func:`write_by_month` is kept, so the
+    lookback filters can prune whole directories.
+    """
     cols = []
     for f in schema.fields:
         c = F.col(f.name)
@@ -25,9 +33,33 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif df.schema[f.name].dataType != f.dataType:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
+    cols += [F.col(m) for m in MONTH_COLUMNS.values() if m in df.columns]
     return df.select(*cols)
 
 
+def write_by_month(df: DataFrame, path: str, date_col: str) -> None:
+    """Write a fact table partitioned by the calendar month of ``date_col``.
+
+    The month lookbacks of the operators then also filter the partition
+    column, and the scan opens only the directories of the months in range.
+    """
+    month = MONTH_COLUMNS[date_col]
+    df.withColumn(month, F.date_format(date_col, "yyyy-MM")) \
+      .write.mode("overwrite").partitionBy(month).parquet(path)
+
+
+def since_month_filter(df: DataFrame, date_col: str, start) -> F.Column:
+    """``month_col >= yyyy-MM(start)`` when ``df`` carries the month partition column, else TRUE.
+
+    ``start`` is a foldable date expression, so the predicate is a literal
+    partition filter (directory pruning); the exact date filter still applies.
+    """
+    month = MONTH_COLUMNS[date_col]
+    if month not in df.columns:
+        return F.lit(True)
+    return F.col(month) >= F.date_format(start, "yyyy-MM")
+
+
 def scan_recurring(spark: SparkSession, path: str) -> DataFrame:
     """S1 — recurring-repeat fact R."""
     return conform(spark.read.parquet(path), schemas.RECURRING)
