@@ -4,6 +4,9 @@ W is assumed, never guaranteed, to be unique on ``tracking_nbr``; a duplicate
 would fan out every join and inflate counts.  The survivor is the row with the
 smallest values in column order — deterministic, independent of file order.
 
+When W's key is guaranteed (a declared primary key), callers pass
+``w_unique=True`` and the de-duplication — a sort of all of W — is skipped.
+
 Plan shape: ``row_number() == 1`` becomes a partial WindowGroupLimit before the
 exchange on ``tracking_nbr`` (at most one row per key leaves each map task),
 and the joins that follow are on the same key, so they reuse this partitioning

@@ -36,7 +36,7 @@ GROUP = KEY + ["sc_trade_name", "category_name"]
 
 def ranked(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3,
            excluded_types=EXCLUDED_PROBLEM_TYPES, trade_prefix: str = FM_TRADE_PREFIX,
-           lookback_pad_days: int = 0) -> DataFrame:
+           lookback_pad_days: int = 0, w_unique: bool = False) -> DataFrame:
     """Filtered work orders with organisation and ``days_since_prev``.
 
     The lookback filter stays *below* the LAG (as in the reference): the first
@@ -63,7 +63,7 @@ def ranked(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3,
     )
     org = {"fm_director": "fm_director", "fm_sr_director": "sr_director",
            "fm_regional_mgr": "regional_mgr", "aligned_fs_mgr": "fs_mgr"}
-    j = enrich(f, w, list(org))
+    j = enrich(f, w, list(org), dedupe=not w_unique)
     j = j.select(*[c for c in j.columns if c not in org],
                  *[F.coalesce(F.col(src), F.lit("")).alias(dst) for src, dst in org.items()])
     j = previous_date(j, KEY, "completion_date", "tracking_nbr", "prev_completion")
@@ -148,7 +148,7 @@ def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3
                      min_repeats: int = 2, excluded_types=EXCLUDED_PROBLEM_TYPES,
                      trade_prefix: str = FM_TRADE_PREFIX, lookback_pad_days: int = 0,
                      keep_arrays: bool = False, sort: bool = True,
-                     materialize: bool = True) -> DataFrame:
+                     materialize: bool = True, w_unique: bool = False) -> DataFrame:
     """Store + problem groups with at least ``min_repeats`` repeats within ``repeat_days``.
 
     ``problem_code_desc`` is output as ``NULLIF(code_key, '')``.  With
@@ -161,7 +161,7 @@ def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3
     as a reliable checkpoint in the shared ``spark.checkpoint.dir``, which also
     cuts the lineage; the call then costs one job up front.
     """
-    rk = ranked(s, w, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days)
+    rk = ranked(s, w, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days, w_unique)
     if materialize:
         checkpoint_dir(rk.sparkSession)
         rk = rk.checkpoint(eager=True)

@@ -1,6 +1,8 @@
 """The six recurring-repeat reports over R (and W), as lazy DataFrames.
 
 Each takes the inputs and parameters and returns an un-collected DataFrame.
+``w_unique=True`` declares W's ``tracking_nbr`` a key and skips the
+de-duplication sort of W (see ``operators.dimension``).
 ``as_of`` replaces CURRENT_DATE so results are repeatable.  Default lookbacks
 and limits are the reference's; ``limit=None`` keeps every row.  Every top-k
 ends its ORDER BY with the group keys so the cut is deterministic.
@@ -54,7 +56,7 @@ def problem_codes(r: DataFrame, as_of, lookback_days: int = 365, min_count: int
 
 
 def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
-                   limit: int | None = 100, list_limit: int = 5) -> DataFrame:
+                   limit: int | None = 100, list_limit: int = 5, w_unique: bool = False) -> DataFrame:
     """Stores by 90-day repeats, with location / organisation from W.
 
     Keeps repeats without a trade (no trade filter, as in the reference).
@@ -65,7 +67,8 @@ def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
     """
     base = _recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
         .select("tracking_nbr", "store_nbr", "sc_trade_name", "month3_flag", "month6_flag")
-    j = enrich(base, w, ["store_city", "store_state", "fm_sr_director", "fm_director", "store_type_name"])
+    j = enrich(base, w, ["store_city", "store_state", "fm_sr_director", "fm_director", "store_type_name"],
+               dedupe=not w_unique)
     out = j.groupBy("store_nbr").agg(
         F.max("store_city").alias("city"),
         F.max("store_state").alias("state"),
@@ -106,7 +109,7 @@ DETAIL_COLUMNS = ["tracking_nbr", "prev_tracking_nbr", "store_nbr", "trade", "as
 
 
 def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | None = 10000,
-                  w: DataFrame | None = None) -> DataFrame:
+                  w: DataFrame | None = None, w_unique: bool = False) -> DataFrame:
     """Latest 90-day repeats, one row each (no join).
 
     With ``w`` the capped rows are enriched from W (city, state, directors,
@@ -130,7 +133,8 @@ def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | No
     out = latest_k(out, "call_date", [F.col("call_date").desc(), F.col("tracking_nbr").desc()], limit)
     if w is None:
         return out
-    j = enrich(out, w, ["store_city", "store_state", "fm_director", "fm_sr_director", "latest_activity_tech"])
+    j = enrich(out, w, ["store_city", "store_state", "fm_director", "fm_sr_director", "latest_activity_tech"],
+               dedupe=not w_unique)
     return j.select(*DETAIL_COLUMNS,
                     F.col("store_city").alias("city"), F.col("store_state").alias("state"),
                     "fm_director", F.col("fm_sr_director").alias("sr_director"),
@@ -138,7 +142,7 @@ def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | No
 
 
 def tech_repeats(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365, min_count: int = 2,
-                 limit: int | None = 200) -> DataFrame:
+                 limit: int | None = 200, w_unique: bool = False) -> DataFrame:
     """90-day repeats per technician and trade.
 
     The reference writes a LEFT JOIN then filters on W's technician, which
@@ -146,7 +150,7 @@ def tech_repeats(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365, mi
     """
     base = _recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
         .select("tracking_nbr", "store_nbr", "sc_trade_name", "equip_tagid", "month3_flag")
-    j = enrich(base, w, ["latest_activity_tech"]).filter(present_tech("latest_activity_tech"))
+    j = enrich(base, w, ["latest_activity_tech"], dedupe=not w_unique).filter(present_tech("latest_activity_tech"))
     out = j.groupBy(
         default("latest_activity_tech", UNKNOWN).alias("tech_name"),
         default("sc_trade_name", UNKNOWN).alias("trade"),

@@ -71,3 +71,16 @@ def test_top_trend_grid_is_dense(spark):
     months = t.select("month").distinct().count()
     assert g.count() == months * 3
     assert g.groupBy("month").count().filter(F.col("count") != 3).count() == 0
+
+
+def test_declared_unique_dimension_gives_the_same_results(spark):
+    from recurwork.operators.repeats import repeat_pairs_30d
+    from recurwork.sources.fixtures import fx_workorder_dim, fx_workorders
+    r, w = catalog._r(spark, MEDIUM), fx_workorder_dim(spark, MEDIUM)
+    for fn in (reports.store_hotspots, reports.tech_repeats):
+        assert sorted(fn(r, w, AS_OF, w_unique=True).collect()) == sorted(fn(r, w, AS_OF).collect())
+    s = fx_workorders(spark, MEDIUM)
+    a = repeat_pairs_30d(s, w, AS_OF, 100, w_unique=True, materialize=False)
+    assert sorted(a.collect(), key=str) == sorted(repeat_pairs_30d(s, w, AS_OF, 100).collect(), key=str)
+    # no de-duplication of W (a row_number() = 1 group limit) left in the plan
+    assert "row_number(), 1," not in a._jdf.queryExecution().executedPlan().toString()
