@@ -42,8 +42,14 @@ def repeats_by_trade(r: DataFrame, as_of, lookback_days: int = 365, limit: int |
 def problem_codes(r: DataFrame, as_of, lookback_days: int = 365, min_count: int = 3,
                   limit: int | None = 100) -> DataFrame:
     """Problem codes per trade that repeat at least ``min_count`` times."""
+    out = problem_code_groups(r, as_of, lookback_days, min_count)
+    return top_k(out, [F.col("repeat_count").desc(), F.col("trade").asc(), F.col("problem_code").asc()], limit)
+
+
+def problem_code_groups(r: DataFrame, as_of, lookback_days: int = 365, min_count: int = 3) -> DataFrame:
+    """The unsorted aggregate behind :func:`problem_codes` (for consumers that re-aggregate)."""
     base = _recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
-    out = base.groupBy(
+    return base.groupBy(
         default("sc_trade_name", UNKNOWN).alias("trade"),
         default("problem_code_desc", UNKNOWN).alias("problem_code"),
     ).agg(
@@ -52,7 +58,6 @@ def problem_codes(r: DataFrame, as_of, lookback_days: int = 365, min_count: int
         F.sum("month3_flag").alias("within_90d"),
         F.sum("month6_flag").alias("within_180d"),
     ).filter(F.col("repeat_count") >= min_count)
-    return top_k(out, [F.col("repeat_count").desc(), F.col("trade").asc(), F.col("problem_code").asc()], limit)
 
 
 def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
@@ -91,8 +96,14 @@ def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
 
 def monthly_trend(r: DataFrame, as_of, lookback_days: int = 365) -> DataFrame:
     """Repeats per calendar month and trade (``stores_affected`` is not additive over months)."""
+    out = monthly_trend_groups(r, as_of, lookback_days)
+    return out.orderBy(F.col("month").asc(), F.col("total_repeats").desc(), F.col("trade").asc())
+
+
+def monthly_trend_groups(r: DataFrame, as_of, lookback_days: int = 365) -> DataFrame:
+    """The unsorted aggregate behind :func:`monthly_trend` (for views that re-aggregate it)."""
     base = _recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
-    out = base.groupBy(
+    return base.groupBy(
         F.date_format("call_date", "yyyy-MM").alias("month"),
         default("sc_trade_name", UNKNOWN).alias("trade"),
     ).agg(
@@ -100,7 +111,6 @@ def monthly_trend(r: DataFrame, as_of, lookback_days: int = 365) -> DataFrame:
         F.sum("month3_flag").alias("within_90d"),
         F.countDistinct("store_nbr").alias("stores_affected"),
     )
-    return out.orderBy(F.col("month").asc(), F.col("total_repeats").desc(), F.col("trade").asc())
 
 
 DETAIL_COLUMNS = ["tracking_nbr", "prev_tracking_nbr", "store_nbr", "trade", "asset_tag", "asset_type",

@@ -217,7 +217,7 @@ def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int =
     base = reports._recent(r, as_of, lookback_days)
     trades = base.filter(F.col("sc_trade_name").isNotNull()).groupBy(F.col("sc_trade_name").alias("trade")) \
         .agg(F.count(F.lit(1)).alias("t_total"), F.sum("month3_flag").alias("t_r90"))
-    codes = reports.problem_codes(r, as_of, lookback_days, min_count, None) \
+    codes = reports.problem_code_groups(r, as_of, lookback_days, min_count) \
         .select(F.col("trade").alias("c_trade"), F.col("problem_code").alias("c_code"),
                 F.col("repeat_count").alias("c_count"))
     stores = base.filter(F.col("month3_flag") == 1).select(F.col("store_nbr").alias("s_store")).distinct()
