@@ -46,3 +46,11 @@ def test_bounded_lists_use_window_group_limit(plans):
 
 def test_detail_top_k_is_cut_by_a_date_subquery(plans):
     assert "Subquery" in plans["repeat_detail"]
+
+
+def test_cluster_conf_sizes_partitions():
+    from recurwork.session import cluster_conf
+    c = cluster_conf(8000, 100 << 40)
+    assert int(c["spark.sql.shuffle.partitions"]) == 416000  # 409,600 rounded up to whole waves
+    assert int(c["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert int(cluster_conf(8, 1 << 20)["spark.sql.shuffle.partitions"]) == 24
