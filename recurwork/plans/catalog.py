@@ -140,6 +140,8 @@ VIEW_QUERIES = {
     "name_search": lambda s, d: views.name_search(_groups(s, d), "manager 1"),
     "asset_counts_parsed": lambda s, d: views.asset_counts_from_text(pairs(s, d, sort=False)),
     "gap_filter_options": lambda s, d: views.gap_filter_options(_detail_enriched(s, d)),
+    "kpi_overview_capped": lambda s, d: views.kpi_overview(_r(s, d), AS_OF, w=_w(s, d), capped=True),
+    "by_problem_on_filtered": lambda s, d: views.by_problem_on_filtered(_groups(s, d), FACET_FILTER),
     "trade_chart": lambda s, d: views.trade_chart(_trade(s, d), 10),
     "problem_chart": lambda s, d: views.problem_chart(reports.problem_codes(_r(s, d), AS_OF), 10),
     "top_stores": lambda s, d: views.top_stores(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF), 10),

@@ -65,6 +65,8 @@ def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
     """Stores by 90-day repeats, with location / organisation from W.
 
     Keeps repeats without a trade (no trade filter, as in the reference).
+    Only 90-day repeats are read, so ``total_repeats`` equals ``repeats_90d``
+    by construction (both kept, as in the reference).
     ``top_trades`` lists up to ``list_limit`` distinct trades, alphabetically
     (the reference's pick is unordered); NULL when the store has none.  The
     list is built from distinct (store, trade) pairs cut to ``list_limit`` per
@@ -156,7 +158,8 @@ def tech_repeats(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365, mi
     """90-day repeats per technician and trade.
 
     The reference writes a LEFT JOIN then filters on W's technician, which
-    makes it an inner join; Catalyst rewrites it the same way.
+    makes it an inner join; Catalyst rewrites it the same way.  Only 90-day
+    repeats are read, so ``within_90d`` equals ``repeat_wos`` by construction.
     """
     base = _recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
         .select("tracking_nbr", "store_nbr", "sc_trade_name", "equip_tagid", "month3_flag")

@@ -166,6 +166,13 @@ def by_problem_filtered(groups: DataFrame, filters: dict | None = None,
         .orderBy(F.col("repeat_count").desc(), F.col("problem").asc())
 
 
+def by_problem_on_filtered(groups: DataFrame, filters: dict | None = None,
+                           require_org_filter: bool = True) -> DataFrame:
+    """V3 recomputed on the filtered groups (the survey's default for V7c; see
+    :func:`by_problem_filtered` for the reference's unfiltered totals)."""
+    return by_problem(filter_groups(groups, filters, require_org_filter))
+
+
 def facets(groups: DataFrame, filters: dict | None = None, fields=FACET_FIELDS) -> DataFrame:
     """V8 — per filter field, the distinct non-empty values under all *other* filters.
 
@@ -208,19 +215,30 @@ def store_slice_summary(groups: DataFrame, store: int, filters: dict | None = No
 
 # ── V1, V11–V17: overview, trade, store and trend views ─────────────────────
 
-def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int = 3) -> DataFrame:
+def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int = 3,
+                 w: DataFrame | None = None, capped: bool = False) -> DataFrame:
     """V1 — one row: repeats, 90-day repeats, stores, top trade, top code, 90-day share (M9).
 
     Computed from R uncapped.  The three inputs are aggregates of R that are
     unioned and folded by one global aggregate (no join between them).
+    ``capped=True`` (needs ``w``) reproduces the reference, which sums the
+    top-40 trade rows and counts the stores of the top-100 hotspot rows.
     """
     base = reports._recent(r, as_of, lookback_days)
-    trades = base.filter(F.col("sc_trade_name").isNotNull()).groupBy(F.col("sc_trade_name").alias("trade")) \
-        .agg(F.count(F.lit(1)).alias("t_total"), F.sum("month3_flag").alias("t_r90"))
+    if capped:
+        if w is None:
+            raise ValueError("capped=True reads the capped store hotspots, which need w")
+        by_trade = reports.repeats_by_trade(r, as_of, lookback_days)
+        trades = by_trade.select("trade", F.col("total_repeats").alias("t_total"),
+                                 F.col("repeats_90d").alias("t_r90"))
+        stores = reports.store_hotspots(r, w, as_of, lookback_days).select(F.col("store_nbr").alias("s_store"))
+    else:
+        trades = base.filter(F.col("sc_trade_name").isNotNull()).groupBy(F.col("sc_trade_name").alias("trade")) \
+            .agg(F.count(F.lit(1)).alias("t_total"), F.sum("month3_flag").alias("t_r90"))
+        stores = base.filter(F.col("month3_flag") == 1).select(F.col("store_nbr").alias("s_store")).distinct()
     codes = reports.problem_code_groups(r, as_of, lookback_days, min_count) \
         .select(F.col("trade").alias("c_trade"), F.col("problem_code").alias("c_code"),
                 F.col("repeat_count").alias("c_count"))
-    stores = base.filter(F.col("month3_flag") == 1).select(F.col("store_nbr").alias("s_store")).distinct()
     u = trades.unionByName(codes, allowMissingColumns=True).unionByName(stores, allowMissingColumns=True)
     t_order = F.when(F.col("trade").isNotNull(), F.struct((-F.col("t_total")).alias("a"), F.col("trade").alias("b")))
     c_order = F.when(F.col("c_code").isNotNull(), F.struct((-F.col("c_count")).alias("a"), F.col("c_trade").alias("b"),
