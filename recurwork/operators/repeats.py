@@ -19,6 +19,8 @@ whole keys — so it is only applied for ``min_repeats < 1``.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from recurwork.operators.topn import join_field, ranked_list
 from recurwork.session import checkpoint_dir
 from recurwork.sources.tables import since_month_filter
 
+_log = logging.getLogger(__name__)
+
 KEY = ["store_nbr", "problem_type_desc", "code_key"]
 GROUP = KEY + ["sc_trade_name", "category_name"]
 
@@ -164,7 +168,10 @@ def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3
     rk = ranked(s, w, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days, w_unique)
     if materialize:
         checkpoint_dir(rk.sparkSession)
-        rk = rk.checkpoint(eager=True)
+        try:
+            rk = rk.checkpoint(eager=True)
+        except Exception as e:  # no usable checkpoint folder: same result, computed lazily
+            _log.warning("ranked work orders not checkpointed (%s); continuing lazily", e)
     if min_repeats < 1:
         rk = rk.join(keys_with_pair(rk, repeat_days), KEY, "left_semi")
     m = main_agg(rk, repeat_days, min_repeats)

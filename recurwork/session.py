@@ -69,14 +69,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     one when it is unset (tests, local runs).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return d or ""
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is unset: name a shared folder (HDFS / object store) "
                              "that every executor can reach")
         d = tempfile.mkdtemp(prefix="recurwork-ckpt-")  # single-machine runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
