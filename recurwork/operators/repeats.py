@@ -175,7 +175,7 @@ def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3
     if min_repeats < 1:
         rk = rk.join(keys_with_pair(rk, repeat_days), KEY, "left_semi")
     m = main_agg(rk, repeat_days, min_repeats)
-    out = m.join(recent_lists(rk), "gk", "inner")
+    out = m.join(recent_lists(rk), "gk", "left")  # every group has list rows; LEFT lets unused lists be pruned
     out = out.select("*", *[F.col("gk")[c].alias(c) for c in GROUP]).drop("gk")
     out = out.join(asset_counts(rk), KEY, "left")
     out = out.withColumn("problem_code_desc", F.nullif(F.col("code_key"), F.lit("")))
