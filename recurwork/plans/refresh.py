@@ -60,3 +60,39 @@ def refresh(spark: SparkSession, s: DataFrame, w: DataFrame, r: DataFrame, out_d
     put("month_totals", views.month_totals(trend))
     put("top5_trend", views.top_trend(trend, 5))
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m recurwork.plans.refresh --workorders .. --dim .. --recurring .. --out ..``.
+
+    Uses the session the cluster provides (its ``spark.checkpoint.dir`` must
+    name a shared folder); ``--as-of`` defaults to today.
+    """
+    import argparse
+    import datetime as dt
+
+    from recurwork.session import checkpoint_dir
+    from recurwork.sources.tables import scan_recurring, scan_workorder_dim, scan_workorders
+
+    ap = argparse.ArgumentParser(description="Recompute and overwrite every repeat-work result.")
+    ap.add_argument("--workorders", required=True, help="raw work-order fact S (parquet)")
+    ap.add_argument("--dim", required=True, help="work-order dimension W (parquet)")
+    ap.add_argument("--recurring", required=True, help="recurring-repeat fact R (parquet)")
+    ap.add_argument("--out", required=True, help="output folder (one parquet folder per result)")
+    ap.add_argument("--as-of", default=dt.date.today().isoformat())
+    ap.add_argument("--lookback-days", type=int, default=365)
+    ap.add_argument("--lookback-months", type=int, default=3)
+    ap.add_argument("--json", action="store_true", help="also export every result as JSON lines")
+    a = ap.parse_args(argv)
+
+    spark = SparkSession.builder.appName("recurwork-refresh").getOrCreate()
+    checkpoint_dir(spark)
+    paths = refresh(spark, scan_workorders(spark, a.workorders), scan_workorder_dim(spark, a.dim),
+                    scan_recurring(spark, a.recurring), a.out, dt.date.fromisoformat(a.as_of),
+                    a.lookback_days, a.lookback_months, a.json)
+    for name, p in paths.items():
+        print(f"{name}\t{p}")
+
+
+if __name__ == "__main__":
+    main()
