@@ -63,7 +63,7 @@ def refresh(spark: SparkSession, s: DataFrame, w: DataFrame, r: DataFrame, out_d
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m recurwork.plans.refresh --workorders .. --dim .. --recurring .. --out ..``.
+    """``spark-submit --py-files recurwork.zip recurwork/plans/refresh.py --workorders .. --dim .. --recurring .. --out ..``.
 
     Uses the session the cluster provides (its ``spark.checkpoint.dir`` must
     name a shared folder); ``--as-of`` defaults to today.
