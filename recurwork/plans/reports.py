@@ -115,6 +115,9 @@ def monthly_trend_groups(r: DataFrame, as_of, lookback_days: int = 365) -> DataF
     )
 
 
+# Largest key set broadcast to pre-filter W (8 MB of BIGINT keys).
+MAX_BROADCAST_KEYS = 1_000_000
+
 DETAIL_COLUMNS = ["tracking_nbr", "prev_tracking_nbr", "store_nbr", "trade", "asset_tag", "asset_type",
                   "call_date", "prev_call_date", "days_between", "problem_code", "prev_problem_code",
                   "month3_flag", "month6_flag", "month12_flag"]
@@ -145,6 +148,11 @@ def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | No
     out = latest_k(out, "call_date", [F.col("call_date").desc(), F.col("tracking_nbr").desc()], limit)
     if w is None:
         return out
+    if limit is not None and limit <= MAX_BROADCAST_KEYS:
+        # Enrich only the W rows of the capped detail: its <= ``limit`` keys are
+        # broadcast (size bounded by the cap) into a semi-join, so W is neither
+        # de-duplicated nor shuffled as a whole for a few thousand rows.
+        w = w.join(F.broadcast(out.select("tracking_nbr")), "tracking_nbr", "left_semi")
     j = enrich(out, w, ["store_city", "store_state", "fm_director", "fm_sr_director", "latest_activity_tech"],
                dedupe=not w_unique)
     return j.select(*DETAIL_COLUMNS,

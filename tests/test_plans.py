@@ -54,3 +54,14 @@ def test_cluster_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 416000  # 409,600 rounded up to whole waves
     assert int(c["spark.sql.shuffle.partitions"]) % 8000 == 0
     assert int(cluster_conf(8, 1 << 20)["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_capped_detail_prefilters_w_with_bounded_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if every table were large
+    try:
+        p = plan_of(E.queries()["gap_finder_search"](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin [tracking_nbr], [tracking_nbr], LeftSemi" in p.replace("#", " ").replace("  ", " ") \
+        or "LeftSemi, BuildRight" in p
