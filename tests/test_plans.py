@@ -65,3 +65,21 @@ def test_capped_detail_prefilters_w_with_bounded_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin [tracking_nbr], [tracking_nbr], LeftSemi" in p.replace("#", " ").replace("  ", " ") \
         or "LeftSemi, BuildRight" in p
+
+
+def test_w_gets_a_runtime_bloom_filter_at_scale(spark):
+    """With scale-sized thresholds, Spark pre-filters W by the work orders' keys before shuffling it."""
+    from recurwork.operators.repeats import ranked
+    from recurwork.sources.fixtures import AS_OF, fx_workorder_dim, fx_workorders
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+            "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        p = plan_of(ranked(fx_workorders(spark, SMALL), fx_workorder_dim(spark, SMALL), AS_OF, 3))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "might_contain" in p and "bloom_filter_agg" in p
