@@ -219,30 +219,58 @@ def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int =
                  w: DataFrame | None = None, capped: bool = False) -> DataFrame:
     """V1 — one row: repeats, 90-day repeats, stores, top trade, top code, 90-day share (M9).
 
-    Computed from R uncapped.  The three inputs are aggregates of R that are
-    unioned and folded by one global aggregate (no join between them).
-    ``capped=True`` (needs ``w``) reproduces the reference, which sums the
+    Computed from R uncapped, in one scan: each row is exploded into its
+    roles (trade, trade + code, store of a 90-day repeat), one aggregate over
+    (role, key) combines map-side, and one global aggregate folds the result
+    (no join, no second scan).  ``capped=True`` (needs ``w``) reproduces the reference, which sums the
     top-40 trade rows and counts the stores of the top-100 hotspot rows.
     """
-    base = reports._recent(r, as_of, lookback_days)
     if capped:
         if w is None:
             raise ValueError("capped=True reads the capped store hotspots, which need w")
-        by_trade = reports.repeats_by_trade(r, as_of, lookback_days)
-        trades = by_trade.select("trade", F.col("total_repeats").alias("t_total"),
-                                 F.col("repeats_90d").alias("t_r90"))
-        stores = reports.store_hotspots(r, w, as_of, lookback_days).select(F.col("store_nbr").alias("s_store"))
-    else:
-        trades = base.filter(F.col("sc_trade_name").isNotNull()).groupBy(F.col("sc_trade_name").alias("trade")) \
-            .agg(F.count(F.lit(1)).alias("t_total"), F.sum("month3_flag").alias("t_r90"))
-        stores = base.filter(F.col("month3_flag") == 1).select(F.col("store_nbr").alias("s_store")).distinct()
+        return _kpi_capped(r, w, as_of, lookback_days, min_count)
+    # One scan of R: every row plays up to three roles — its trade, its
+    # (trade, code), and its store when it is a 90-day repeat — and one
+    # aggregate over (role, key) with map-side combining feeds the fold.
+    base = reports._recent(r, as_of, lookback_days)
+    trade, m3 = F.col("sc_trade_name"), F.col("month3_flag")
+
+    def role(cond, kind, k1, k2, r90):
+        return F.when(cond, F.struct(F.lit(kind).alias("kind"), k1.cast("string").alias("k1"),
+                                     k2.cast("string").alias("k2"), r90.cast("int").alias("r90")))
+
+    items = F.array(role(trade.isNotNull(), "t", trade, F.lit(None), m3),
+                    role(trade.isNotNull(), "c", trade, F.coalesce("problem_code_desc", F.lit("Unknown")), m3),
+                    role(m3 == 1, "s", F.col("store_nbr"), F.lit(None), F.lit(0)))
+    g = base.select(F.explode(items).alias("x")).filter(F.col("x").isNotNull()).select("x.*") \
+        .groupBy("kind", "k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.sum("r90").alias("r90"))
+    is_t, is_c = F.col("kind") == "t", (F.col("kind") == "c") & (F.col("n") >= min_count)
+    t_order = F.when(is_t, F.struct((-F.col("n")).alias("a"), F.col("k1").alias("b")))
+    c_order = F.when(is_c, F.struct((-F.col("n")).alias("a"), F.col("k1").alias("b"), F.col("k2").alias("c")))
+    out = g.agg(
+        F.coalesce(F.sum(F.when(is_t, F.col("n"))), F.lit(0)).cast("bigint").alias("total_repeats"),
+        F.coalesce(F.sum(F.when(is_t, F.col("r90"))), F.lit(0)).cast("bigint").alias("repeats_90d"),
+        F.count(F.when(F.col("kind") == "s", F.lit(1))).alias("stores_affected"),
+        F.min_by("k1", t_order).alias("top_trade"),
+        F.min_by("k1", c_order).alias("top_code_trade"),
+        F.min_by("k2", c_order).alias("top_code"),
+        F.min_by("n", c_order).alias("top_code_count"),
+    )
+    return _kpi_tail(out)
+
+
+def _kpi_capped(r: DataFrame, w: DataFrame, as_of, lookback_days: int, min_count: int) -> DataFrame:
+    """The reference's KPIs: sums over the top-40 trade rows, stores of the top-100 hotspots."""
+    by_trade = reports.repeats_by_trade(r, as_of, lookback_days)
+    trades = by_trade.select("trade", F.col("total_repeats").alias("t_total"), F.col("repeats_90d").alias("t_r90"))
+    stores = reports.store_hotspots(r, w, as_of, lookback_days).select(F.col("store_nbr").alias("s_store"))
     codes = reports.problem_code_groups(r, as_of, lookback_days, min_count) \
         .select(F.col("trade").alias("c_trade"), F.col("problem_code").alias("c_code"),
                 F.col("repeat_count").alias("c_count"))
     u = trades.unionByName(codes, allowMissingColumns=True).unionByName(stores, allowMissingColumns=True)
     t_order = F.when(F.col("trade").isNotNull(), F.struct((-F.col("t_total")).alias("a"), F.col("trade").alias("b")))
-    c_order = F.when(F.col("c_code").isNotNull(), F.struct((-F.col("c_count")).alias("a"), F.col("c_trade").alias("b"),
-                                                           F.col("c_code").alias("c")))
+    c_order = F.when(F.col("c_code").isNotNull(), F.struct((-F.col("c_count")).alias("a"),
+                                                           F.col("c_trade").alias("b"), F.col("c_code").alias("c")))
     out = u.agg(
         F.coalesce(F.sum("t_total"), F.lit(0)).cast("bigint").alias("total_repeats"),
         F.coalesce(F.sum("t_r90"), F.lit(0)).cast("bigint").alias("repeats_90d"),
@@ -252,6 +280,10 @@ def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int =
         F.min_by("c_code", c_order).alias("top_code"),
         F.min_by("c_count", c_order).alias("top_code_count"),
     )
+    return _kpi_tail(out)
+
+
+def _kpi_tail(out: DataFrame) -> DataFrame:
     return out.select("*", pct("repeats_90d", "total_repeats").alias("pct_90d"),
                       F.coalesce(strip_first("top_trade", "FM - "), F.lit("N/A")).alias("top_trade_label"))
 
