@@ -23,7 +23,6 @@ from recurwork.plans import reports
 
 ORG_FILTERS = ("sr", "dir", "rm", "fsm")
 FACET_FIELDS = ("sr", "dir", "rm", "fsm", "prob")
-GROUP_KEYS = ["sn", "prob", "pcd", "trade", "cat"]
 
 
 def _money_sum(c) -> Column:
@@ -88,15 +87,23 @@ def by_store(groups: DataFrame) -> DataFrame:
 
 
 def _director_view(groups: DataFrame, measure: Column, measure_name: str) -> DataFrame:
+    """Per director: distinct stores, Σ measure, problem type with the largest Σ measure.
+
+    One pass over the groups: each row plays a problem role and a store role;
+    one aggregate over (director, role, key) combines map-side, a second one
+    per director folds it — no join, and the groups are read once.
+    """
     d = F.coalesce(F.nullif(F.col("dir"), F.lit("")), F.lit(UNASSIGNED)).alias("director")
-    g = groups.select(d, "sn", "prob", measure.alias("_m"))
-    totals = g.groupBy("director").agg(F.countDistinct("sn").alias("store_count"),
-                                       F.sum("_m").alias(measure_name))
-    per_prob = g.groupBy("director", "prob").agg(F.sum("_m").alias("_n"))
-    top = per_prob.groupBy("director").agg(
-        F.min_by("prob", F.struct((-F.col("_n")).alias("n"), F.col("prob").alias("p"))).alias("top_problem"))
-    out = totals.join(top, "director", "left") \
-        .withColumn("top_problem", F.coalesce("top_problem", F.lit("N/A")))
+    roles = F.array(F.struct(F.lit("p").alias("role"), F.col("prob").cast("string").alias("key"), measure.alias("m")),
+                    F.struct(F.lit("s").alias("role"), F.col("sn").cast("string").alias("key"), measure.alias("m")))
+    lvl = groups.select(d, F.explode(roles).alias("x")).select("director", "x.*") \
+        .groupBy("director", "role", "key").agg(F.sum("m").alias("n"))
+    is_p = F.col("role") == "p"
+    out = lvl.groupBy("director").agg(
+        F.count(F.when(F.col("role") == "s", F.lit(1))).alias("store_count"),
+        F.sum(F.when(is_p, F.col("n"))).alias(measure_name),
+        F.min_by("key", F.when(is_p, F.struct((-F.col("n")).alias("n"), F.col("key").alias("p")))).alias("top_problem"))
+    out = out.withColumn("top_problem", F.coalesce("top_problem", F.lit("N/A")))
     return out.orderBy(F.col(measure_name).desc(), F.col("director").asc())
 
 
