@@ -72,6 +72,13 @@ def _groups(spark, d, materialize: bool = True):
     return views.repeat_groups(pairs(spark, d, sort=False, materialize=materialize))
 
 
+def _measures(spark, d):
+    """For views that read only the group measures (no lists, no assets):
+    Catalyst prunes those two branches, so ``ranked`` feeds a single branch
+    and a checkpoint would only add a write and a read — left lazy."""
+    return _groups(spark, d, materialize=False)
+
+
 def _groups_lazy(spark, d):
     """For a view whose filter Catalyst can fold away (the always-false
     organisation gate): left lazy, the whole plan becomes an empty relation
@@ -103,18 +110,18 @@ def _detail_enriched(spark, d):
 VIEW_QUERIES = {
     "kpi_overview": lambda s, d: views.kpi_overview(_r(s, d), AS_OF),
     "repeat_groups": lambda s, d: _groups(s, d),
-    "by_problem": lambda s, d: views.by_problem(_groups(s, d)),
-    "by_store": lambda s, d: views.by_store(_groups(s, d)),
-    "by_director": lambda s, d: views.by_director(_groups(s, d)),
+    "by_problem": lambda s, d: views.by_problem(_measures(s, d)),
+    "by_store": lambda s, d: views.by_store(_measures(s, d)),
+    "by_director": lambda s, d: views.by_director(_measures(s, d)),
     "repeat_detail_view": lambda s, d: views.repeat_detail_view(_groups(s, d), ORG_FILTER),
     "repeat_detail_view_gated": lambda s, d: views.repeat_detail_view(_groups_lazy(s, d), {"prob": "1-URGENT"}),
-    "filtered_kpis": lambda s, d: views.filtered_kpis(_groups(s, d), ORG_FILTER),
-    "by_store_filtered": lambda s, d: views.by_store_filtered(_groups(s, d), ORG_FILTER),
-    "by_director_filtered": lambda s, d: views.by_director_filtered(_groups(s, d), ORG_FILTER),
-    "by_problem_filtered": lambda s, d: views.by_problem_filtered(_groups(s, d), FACET_FILTER),
-    "facets": lambda s, d: views.facets(_groups(s, d), FACET_FILTER),
+    "filtered_kpis": lambda s, d: views.filtered_kpis(_measures(s, d), ORG_FILTER),
+    "by_store_filtered": lambda s, d: views.by_store_filtered(_measures(s, d), ORG_FILTER),
+    "by_director_filtered": lambda s, d: views.by_director_filtered(_measures(s, d), ORG_FILTER),
+    "by_problem_filtered": lambda s, d: views.by_problem_filtered(_groups(s, d), FACET_FILTER),  # reads groups twice
+    "facets": lambda s, d: views.facets(_measures(s, d), FACET_FILTER),
     "store_slice": lambda s, d: views.store_slice(_groups(s, d), SLICE_STORE),
-    "store_slice_summary": lambda s, d: views.store_slice_summary(_groups(s, d), SLICE_STORE),
+    "store_slice_summary": lambda s, d: views.store_slice_summary(_measures(s, d), SLICE_STORE),
     "gap_finder": lambda s, d: views.gap_finder(_detail_enriched(s, d), sort_key="days_between",
                                                 descending=False, page_no=1, **GAP_FILTER),
     "gap_finder_search": lambda s, d: views.gap_finder(_detail_enriched(s, d), **GAP_SEARCH),
@@ -137,11 +144,11 @@ VIEW_QUERIES = {
     "extract_search": lambda s, d: views.extract_search(
         as_text(reports.tech_repeats(_r(s, d), _w(s, d), AS_OF)), "tech 1"),
     "asset_counts_exploded": lambda s, d: views.asset_counts_exploded(pairs(s, d, keep_arrays=True, sort=False)),
-    "name_search": lambda s, d: views.name_search(_groups(s, d), "manager 1"),
+    "name_search": lambda s, d: views.name_search(_measures(s, d), "manager 1"),
     "asset_counts_parsed": lambda s, d: views.asset_counts_from_text(pairs(s, d, sort=False)),
     "gap_filter_options": lambda s, d: views.gap_filter_options(_detail_enriched(s, d)),
     "kpi_overview_capped": lambda s, d: views.kpi_overview(_r(s, d), AS_OF, w=_w(s, d), capped=True),
-    "by_problem_on_filtered": lambda s, d: views.by_problem_on_filtered(_groups(s, d), FACET_FILTER),
+    "by_problem_on_filtered": lambda s, d: views.by_problem_on_filtered(_measures(s, d), FACET_FILTER),
     "trade_chart": lambda s, d: views.trade_chart(_trade(s, d), 10),
     "problem_chart": lambda s, d: views.problem_chart(reports.problem_codes(_r(s, d), AS_OF), 10),
     "top_stores": lambda s, d: views.top_stores(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF), 10),
