@@ -5,18 +5,63 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recurwork.llm import bpe
+from recurwork.llm import bpe, chat, secrets, syncmers
 from recurwork.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op5_byte_bpe": op5_byte_bpe}
+# The conversation that the contract adds.
+EXTRA_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame(EXTRA_TURNS, "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+
+
+def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_secrets": op1_secrets,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_chat_format": op6_chat_format,
+    "op10_syncmers": op10_syncmers,
+}
+
+SQL = {}
+
+SQL["op6_chat_format"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+  SELECT *, row_number() OVER w AS i, lag(role) OVER w IS DISTINCT FROM role AS opens,
+    length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\]|SEP\])', '\1\\\2\3', 'g')) AS role_chars,
+    length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|SEP\])', '\1\\\2\3', 'g')) AS text_chars
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(CASE WHEN opens THEN length('<s>[INST]') + role_chars + length('[/INST]') + length('</s>')
+                ELSE length('[SEP]') END + text_chars) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
