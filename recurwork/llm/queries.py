@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from recurwork.llm import bpe, chat, secrets, syncmers
+from recurwork.llm import bpe, chat, html_text, langid, secrets, syncmers, warc
 from recurwork.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,18 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.through_archives(spark, table(spark, sf_dir, "pages"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
@@ -35,6 +47,9 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_html_text": op2_html_text,
+    "op3_warc": op3_warc,
+    "op4_language": op4_language,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_chat_format": op6_chat_format,
     "op10_syncmers": op10_syncmers,
