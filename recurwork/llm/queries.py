@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recurwork.llm import bpe, chat, html_text, langid, secrets, syncmers, warc
+from recurwork.llm import ann, bpe, chat, html_text, langid, mixing, secrets, syncmers, warc
 from recurwork.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -41,6 +42,31 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows.unionByName(extra)))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, table(spark, sf_dir, "embeddings"))
+
+
+# The targets of the mixture.  A source's domain follows from its number.
+DOMAINS = ("web", "books", "forum")
+WEIGHTS = (mixing.Weights({"web": 50, "books": 35, "forum": 15}, 5), mixing.Weights({"en": 45, "de": 20, "fr": 20, "es": 15}, 5), mixing.Weights({}, 1))
+MIX_SEED = 2024
+
+
+def domain_of_source() -> Column:
+    number = F.regexp_extract("source", "([0-9]{1,6})$", 1)
+    names = F.array(*map(F.lit, DOMAINS))
+    return F.when(number != "", F.element_at(names, F.try_to_number(number, F.lit("999999")).cast("int") % len(DOMAINS) + 1)).otherwise("other")
+
+
+def share_of_all(percent: int) -> Column:
+    """A budget of so many hundredths of all tokens, rounded down."""
+    return F.expr(f"(sum(tokens) * {percent}) div 100")
+
+
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), domain_of_source(), WEIGHTS, share_of_all(90), max_epochs=3, seed=MIX_SEED)
+
+
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +78,8 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_chat_format": op6_chat_format,
+    "op7_nearest": op7_nearest,
+    "op8_mixture": op8_mixture,
     "op10_syncmers": op10_syncmers,
 }
 
@@ -77,6 +105,58 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+SQL["op8_mixture"] = r"""
+WITH counted AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+    CASE WHEN regexp_extract(source, '([0-9]{1,6})$', 1) <> ''
+         THEN ['web', 'books', 'forum'][CAST(regexp_extract(source, '([0-9]{1,6})$', 1) AS INT) % 3 + 1] ELSE 'other' END AS domain,
+    coalesce(len(regexp_extract_all(text, '[^ \t\n\r]+')), 0) AS n_tokens
+  FROM documents
+), leaves AS (
+  SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, 3 * sum(n_tokens)::HUGEINT AS room,
+    CASE domain WHEN 'web' THEN 50 WHEN 'books' THEN 35 WHEN 'forum' THEN 15 ELSE 5 END::HUGEINT AS w_domain,
+    CASE lang WHEN 'en' THEN 45 WHEN 'de' THEN 20 WHEN 'fr' THEN 20 WHEN 'es' THEN 15 ELSE 5 END::HUGEINT AS w_lang, 1::HUGEINT AS w_source
+  FROM counted WHERE n_tokens > 0 GROUP BY ALL
+), d1 AS (
+  SELECT domain, w_domain AS w, sum(room)::HUGEINT AS room, (SELECT (sum(tokens) * 90)::HUGEINT // 100 FROM leaves)::HUGEINT AS total FROM leaves GROUP BY domain, w_domain
+), d2 AS (  -- the level of the water: the first child that is not filled sets it
+  SELECT *, total - coalesce(sum(room) OVER (ORDER BY room::DOUBLE / w::DOUBLE, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS remains,
+    sum(w) OVER (ORDER BY room::DOUBLE / w::DOUBLE, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS weight_left FROM d1
+), d3 AS (
+  SELECT *, (SELECT min_by(ROW(remains, weight_left), room::DOUBLE / w::DOUBLE) FROM d2 WHERE room * weight_left > w * remains) AS lvl FROM d2
+), domains AS (
+  SELECT domain, CASE WHEN room * weight_left <= w * remains THEN room ELSE least(room, greatest(0, (w * lvl[1]) // lvl[2])) END AS budget FROM d3
+), l1 AS (
+  SELECT domain, lang, w_lang AS w, sum(room)::HUGEINT AS room, any_value(budget) AS total FROM leaves JOIN domains USING (domain) GROUP BY domain, lang, w_lang
+), l2 AS (
+  SELECT *, total - coalesce(sum(room) OVER (PARTITION BY domain ORDER BY room::DOUBLE / w::DOUBLE, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS remains,
+    sum(w) OVER (PARTITION BY domain ORDER BY room::DOUBLE / w::DOUBLE, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS weight_left FROM l1
+), l3 AS (
+  SELECT domain, min_by(ROW(remains, weight_left), ROW(room::DOUBLE / w::DOUBLE, lang)) AS lvl FROM l2 WHERE room * weight_left > w * remains GROUP BY domain
+), langs AS (
+  SELECT domain, lang, CASE WHEN room * weight_left <= w * remains THEN room ELSE least(room, greatest(0, (w * lvl[1]) // lvl[2])) END AS budget
+  FROM l2 LEFT JOIN l3 USING (domain)
+), s2 AS (
+  SELECT leaves.*, budget AS total, budget - coalesce(sum(room) OVER (PARTITION BY domain, lang ORDER BY room::DOUBLE, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS remains,
+    count(*) OVER (PARTITION BY domain, lang ORDER BY room::DOUBLE, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT AS weight_left
+  FROM leaves JOIN langs USING (domain, lang)
+), s3 AS (
+  SELECT domain, lang, min_by(ROW(remains, weight_left), ROW(room::DOUBLE, source)) AS lvl FROM s2 WHERE room * weight_left > remains GROUP BY domain, lang
+), plan AS (
+  SELECT domain, lang, source, tokens, CASE WHEN room * weight_left <= remains THEN room ELSE least(room, greatest(0, lvl[1] // lvl[2])) END AS budget
+  FROM s2 LEFT JOIN s3 USING (domain, lang)
+), keyed AS (
+  SELECT c.*, budget, budget // tokens AS epochs, budget % tokens AS rest,
+    ('0x' || substr(md5('2024:' || CAST(budget // tokens AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT AS k
+  FROM counted c JOIN plan USING (domain, lang, source) WHERE n_tokens > 0
+), chosen AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY k RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until FROM keyed
+)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(budget AS BIGINT) AS leaf_budget, CAST(epochs + CASE WHEN until <= rest THEN 1 ELSE 0 END AS BIGINT) AS times FROM chosen
+UNION ALL
+SELECT doc_id, domain, lang, source, n_tokens, CAST(coalesce(budget, 0) AS BIGINT), 0 FROM counted LEFT JOIN plan USING (domain, lang, source) WHERE n_tokens = 0
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
