@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurwork.llm import ann, bpe, chat, html_text, langid, mixing, secrets, syncmers, warc
+from recurwork.llm import ann, bpe, chat, html_text, langid, mixing, ngram_join, secrets, syncmers, warc
 from recurwork.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -67,6 +67,10 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), domain_of_source(), WEIGHTS, share_of_all(90), max_epochs=3, seed=MIX_SEED)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_similar(table(spark, sf_dir, "documents"))
+
+
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op7_nearest": op7_nearest,
     "op8_mixture": op8_mixture,
+    "op9_ngram_join": op9_ngram_join,
     "op10_syncmers": op10_syncmers,
 }
 
@@ -157,6 +162,26 @@ UNION ALL
 SELECT doc_id, domain, lang, source, n_tokens, CAST(coalesce(budget, 0) AS BIGINT), 0 FROM counted LEFT JOIN plan USING (domain, lang, source) WHERE n_tokens = 0
 """
 
+SQL["op9_ngram_join"] = r"""
+WITH RECURSIVE numbered AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM numbered
+), sizes AS (
+  SELECT r, count(*) AS n FROM shingles GROUP BY r
+), links AS (
+  SELECT a.r AS x, b.r AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r
+  JOIN sizes p ON p.r = a.r JOIN sizes q ON q.r = b.r
+  GROUP BY a.r, b.r, p.n, q.n HAVING 9 * count(*) >= 4 * (p.n + q.n)
+), reached(x, y) AS (
+  SELECT r, r FROM numbered UNION SELECT reached.x, links.y FROM reached JOIN links ON reached.y = links.x
+)
+SELECT doc_id, class_id, n_links FROM numbered
+JOIN (SELECT x AS r, min(doc_id) AS class_id FROM reached JOIN numbered ON numbered.r = reached.y GROUP BY x) USING (r)
+JOIN (SELECT numbered.r, count(links.y) AS n_links FROM numbered LEFT JOIN links ON links.x = numbered.r GROUP BY numbered.r) USING (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
