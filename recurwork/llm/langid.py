@@ -223,7 +223,7 @@ def identify(spark: SparkSession, docs: DataFrame, sample_rows: int = 3000) -> D
     return map_rows(docs.select("doc_id", held_out().alias("held_out"), "text"), run, SCHEMA, ARROW)
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, least: float = 0.5, sample_rows: int = 3000) -> DataFrame:
+def keep_identified(spark: SparkSession, docs: DataFrame, least: float = 0.3, sample_rows: int = 3000) -> DataFrame:
     """``docs`` without the rows whose language cannot be told: no letters, or a score under ``least``."""
     predict = predictor(spark, learn(spark, docs, sample_rows))
 
