@@ -2,7 +2,7 @@
 
 ``STAGES`` are applied in order; each reads all that its predecessor has written.
 
-1. ``language``: rows without letters, or whose calibrated score is under 0.5, go.
+1. ``language``: rows without letters, or whose calibrated score is under 0.3, go.
 2. ``near_copies``: of each class of documents linked at a similarity of 0.8 or
    more on five-word shingles, the one of the least doc_id stays.
 3. ``secrets``: every span found is replaced by ``[SECRET]`` and n_chars recounted;
@@ -27,7 +27,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.keep_identified(spark, docs, least=0.5)
+    return langid.keep_identified(spark, docs, least=0.3)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
