@@ -40,11 +40,6 @@ def day_lookback(c, as_of, days: int) -> Column:
     return _c(c) >= F.date_sub(as_of_lit(as_of), days)
 
 
-def month_lookback(c, as_of, months: int) -> Column:
-    """P2 — ``c >= as_of - months`` (month arithmetic clamps to month end)."""
-    return _c(c) >= F.add_months(as_of_lit(as_of), -months)
-
-
 def upper_prefix(c, prefix: str) -> Column:
     """P5 — ``UPPER(c) LIKE 'prefix%'``; NULL is not a match."""
     return F.upper(_c(c)).startswith(prefix.upper())
@@ -132,10 +127,10 @@ def strip_label_prefixes(c, prefixes=("FM - ", "PM - ", "CF - ")) -> Column:
     return out
 
 
-def shorten(c, n: int, keep: int | None = None) -> Column:
-    """Label with an ellipsis when longer than ``n`` characters (export only)."""
+def shorten(c, n: int, keep: int | None = None, mark: str = "...") -> Column:
+    """Label with a mark behind its first ``keep`` (n - 2) characters when longer than ``n``."""
     keep = n - 2 if keep is None else keep
-    return F.when(F.length(_c(c)) > n, F.concat(F.substring(_c(c), 1, keep), F.lit("…"))).otherwise(_c(c))
+    return F.when(F.length(_c(c)) > n, F.concat(F.substring(_c(c), 1, keep), F.lit(mark))).otherwise(_c(c))
 
 
 def unassigned_prefix(c) -> Column:

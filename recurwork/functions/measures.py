@@ -61,12 +61,6 @@ def urgency_band(days) -> Column:
     return F.when(d <= 30, F.lit("high")).when(d <= 90, F.lit("medium")).otherwise(F.lit("low"))
 
 
-def non_overlapping_bands(r90, r180, r365):
-    """M1 — cumulative flags to 0–90 / 91–180 / 181–365 day bands."""
-    r90, r180, r365 = _c(r90), _c(r180), _c(r365)
-    return (r90.alias("band_0_90"), (r180 - r90).alias("band_91_180"), (r365 - r180).alias("band_181_365"))
-
-
 def pair_severity(r30, two_levels: bool = False) -> Column:
     """M8 — repeat group severity: >= 3 high, >= 2 medium, else low (detail table: >= 3 high, else medium)."""
     r30 = _c(r30)

@@ -1,8 +1,9 @@
 """The work-order dimension W, reduced to one row per tracking number.
 
 W is assumed, never guaranteed, to be unique on ``tracking_nbr``; a duplicate
-would fan out every join and inflate counts.  The survivor is the row with the
-smallest values in column order — deterministic, independent of file order.
+would fan out every join and inflate counts.  The survivor is decided over all
+columns of W, before any projection, so every query sees the same one: the row
+with the most values, then the smallest values in column order, NULL last.
 
 When W's key is guaranteed (a declared primary key), callers pass
 ``w_unique=True`` and the de-duplication — a sort of all of W — is skipped.
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 KEY = "tracking_nbr"
 
 
-def dedupe_dim(w: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    cols = [c for c in (columns or w.columns) if c != KEY]
-    w = w.select(KEY, *cols)
-    order = [F.col(c).asc_nulls_first() for c in cols] or [F.col(KEY)]
+def dedupe_dim(w: DataFrame) -> DataFrame:
+    cols = [c for c in w.columns if c != KEY]
+    filled = sum((F.col(c).isNotNull().cast("int") for c in cols), F.lit(0))
+    order = [filled.desc(), *[F.col(c).asc_nulls_last() for c in cols]]
     rn = F.row_number().over(Window.partitionBy(KEY).orderBy(*order))
     return w.withColumn("_rn", rn).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -36,5 +37,5 @@ def enrich(facts: DataFrame, w: DataFrame, columns: list[str], dedupe: bool = Tr
     only below ``spark.sql.autoBroadcastJoinThreshold``; above it the join is a
     sort-merge join with AQE skew splitting.
     """
-    dim = dedupe_dim(w, columns) if dedupe else w.select(KEY, *columns)
+    dim = (dedupe_dim(w) if dedupe else w).select(KEY, *columns)
     return facts.join(dim, KEY, "left")

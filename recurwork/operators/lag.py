@@ -18,10 +18,9 @@ number of days in the lookback, however hot the key), and one equi-join back
 on (key, day).  That join is a plain shuffle join, which AQE's skew handling
 splits when one (key, day) is hot; a small day table is broadcast instead.
 
-Precondition: ``tie`` is unique within (key, day) — the tracking number of a
-work order.  Exact copies of a row (same key, day and tracking number) are
-one work order here: each copy gets the previous day's date, so copies are
-not 0-day repeats of each other.
+``tie`` orders the rows of a day; NULL comes first, as in LAG.  Rows that agree
+in key, day and tie are one work order: each copy follows the previous day, so
+copies are not 0-day repeats of each other.
 """
 
 from __future__ import annotations
@@ -36,11 +35,12 @@ def previous_date(df: DataFrame, keys: list[str], date_col: str, tie_col: str,
 
     ``keys`` and ``date_col`` must be non-null (callers filter them first).
     """
-    days = df.groupBy(*keys, date_col).agg(F.min(tie_col).alias("_first_tie"))
+    tie = F.struct(F.col(tie_col).isNotNull().alias("known"), F.col(tie_col).alias("tie"))
+    days = df.groupBy(*keys, date_col).agg(F.min(tie).alias("_first"))
     days = days.withColumn("_prev_day", F.lag(date_col).over(Window.partitionBy(*keys).orderBy(date_col)))
     j = df.join(days, keys + [date_col], "inner")
-    prev = F.when(F.col(tie_col) == F.col("_first_tie"), F.col("_prev_day")).otherwise(F.col(date_col))
-    return j.withColumn(out_col, prev).drop("_first_tie", "_prev_day")
+    prev = F.when(F.col(tie_col).eqNullSafe(F.col("_first.tie")), F.col("_prev_day")).otherwise(F.col(date_col))
+    return j.withColumn(out_col, prev).drop("_first", "_prev_day")
 
 
 def previous_date_plain(df: DataFrame, keys: list[str], date_col: str, tie_col: str,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,35 +13,14 @@ def _c(c) -> Column:
 def top_k(df: DataFrame, order: list, k: int | None) -> DataFrame:
     """T1/T2 — ``ORDER BY .. LIMIT k``; planned as TakeOrderedAndProject (no full sort).
 
-    ``order`` should end with the grouping keys so the cut is deterministic.
+    A task sends its own first ``k`` rows on, so ``k`` is for what a reader looks
+    at; for a whole table leave it None.  ``order`` should end with the grouping keys so the cut is deterministic.
     ``k=None`` keeps every row, fully sorted.
     """
     out = df.orderBy(*order)
     return out.limit(k) if k is not None else out
 
 
-def latest_k(df: DataFrame, date_col: str, order: list, k: int | None) -> DataFrame:
-    """T2 — the ``k`` latest rows by ``date_col`` (then ``order``), for large ``k``.
-
-    A plain top-k ships up to ``k`` rows from *every* input partition to one
-    task, which at 10^5 partitions and k = 10,000 is billions of rows.  Here a
-    per-day count (bounded by the number of distinct days) gives the latest day
-    at which the cumulative count reaches ``k``; rows older than that day can
-    never be in the answer and are dropped by a scalar-subquery filter before
-    the top-k, so the final task sees about ``k`` rows (plus that day's ties).
-    ``order`` must start with ``date_col`` descending.
-    """
-    if k is None:
-        return df.orderBy(*order)
-    per_day = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per distinct day: a global window over it is small by construction
-    cum = F.sum("_n").over(Window.orderBy(F.col(date_col).desc())
-                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cutoff = per_day.withColumn("_cum", cum).filter(F.col("_cum") >= k).agg(F.max(date_col).alias("_cut"))
-    keep = F.coalesce(F.col(date_col) >= cutoff.scalar(), F.lit(True))
-    return df.filter(keep).orderBy(*order).limit(k)
-
-
 def sort_by_field(df: DataFrame, field: str, descending: bool, allowed: dict,
                   tie_break: list) -> DataFrame:
     """T4 — sort by a field chosen at run time, checked against an allow-list.

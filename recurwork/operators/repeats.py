@@ -1,85 +1,67 @@
 """Repeat pairs: work orders of one store / problem type / problem code that
 come back within ``repeat_days`` of the previous completion.
 
-Stages (each a lazy DataFrame function):
-
-``ranked``        S filtered to the lookback and to breakdown FM work, joined
-                  to W for the organisation, with ``code_key`` (NULL and ''
-                  codes are one key everywhere) and ``days_since_prev``.
-``main_agg``      per (store, type, code, trade, category): counts, dates,
-                  money, the 30-day repeat count, HAVING >= ``min_repeats``.
-``recent_lists``  the 20 latest tracking numbers and 3 latest descriptions.
-``asset_counts``  the 6 busiest assets per (store, type, code).
-
-The reference also joins ``ranked`` to the DISTINCT set of keys that have a
-pair.  With ``min_repeats >= 1`` that join cannot change the result — a group
-with a 30-day repeat belongs to a key with a pair, and the join keeps or drops
-whole keys — so it is only applied for ``min_repeats < 1``.
+Steps (each a lazy DataFrame function; none runs a job):
+
+``work_orders``    S filtered to the lookback and to breakdown FM work, with
+                   ``code_key`` (NULL and '' codes are one key everywhere).
+``group_measures`` per (store, type, code, trade, category): counts, dates,
+                   money and repeats, HAVING >= ``min_repeats``.
+``recent``         the latest tracking numbers and descriptions per group.
+``asset_counts``   the busiest assets per (store, type, code).
+
+The gap to the previous work order is never computed row by row.  Work orders
+are first counted per (key, day, trade, category); of all rows of a (key, day)
+only the first one, in tracking-number order, follows an earlier day, the others
+follow a row of their own day.  So one window over that count table, whose size
+per key is bounded by days and categories however hot the key, gives every gap.
+This equals LAG ordered by (date, tracking number, NULL first), copies included.
+
+Lists, assets and the organisation from W are read for surviving groups only:
+semi-joins to the measures come first.  The measures feed several of these joins;
+a caller who runs large inputs writes them once and passes the written table as
+``measures`` (see ``plans.refresh``).
 """
 
 from __future__ import annotations
 
-import logging
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurwork.functions.exprs import (EXCLUDED_PROBLEM_TYPES, FM_TRADE_PREFIX, as_of_lit,
                                        blank_to_null, not_in_upper, upper_prefix)
 from recurwork.operators.dimension import enrich
-from recurwork.operators.lag import previous_date
 from recurwork.operators.topn import join_field, ranked_list
-from recurwork.session import checkpoint_dir
 from recurwork.sources.tables import since_month_filter
 
-_log = logging.getLogger(__name__)
-
 KEY = ["store_nbr", "problem_type_desc", "code_key"]
 GROUP = KEY + ["sc_trade_name", "category_name"]
+ORGANISATION = {"fm_director": "fm_director", "fm_sr_director": "sr_director",
+                "fm_regional_mgr": "regional_mgr", "aligned_fs_mgr": "fs_mgr"}
 
+# The lengths of the lists and of a description in the saved result.
+N_TRACKING, N_DESCRIPTIONS, N_ASSETS, DESCRIPTION_CHARS = 20, 3, 6, 200
 
-def ranked(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3,
-           excluded_types=EXCLUDED_PROBLEM_TYPES, trade_prefix: str = FM_TRADE_PREFIX,
-           lookback_pad_days: int = 0, w_unique: bool = False) -> DataFrame:
-    """Filtered work orders with organisation and ``days_since_prev``.
 
-    The lookback filter stays *below* the LAG (as in the reference): the first
-    work order inside the window has no predecessor even if one exists just
-    before it.  ``lookback_pad_days > 0`` lets rows that many days before the
-    edge serve as predecessors without being counted themselves.
+def work_orders(s: DataFrame, as_of, lookback_months: int = 3, excluded_types=EXCLUDED_PROBLEM_TYPES,
+                trade_prefix: str = FM_TRADE_PREFIX, lookback_pad_days: int = 0) -> DataFrame:
+    """The work orders that count, with ``code_key`` and ``edge`` (the first day of the lookback).
+
+    The lookback filter stays *below* the gap: the first work order inside the
+    window has no predecessor even if one exists just before it.
+    ``lookback_pad_days > 0`` lets rows that many days before the edge serve as
+    predecessors without being counted themselves.
     """
     edge = F.add_months(as_of_lit(as_of), -lookback_months)
     start = F.date_sub(edge, lookback_pad_days) if lookback_pad_days else edge
-    f = s.filter(
+    return s.filter(
         since_month_filter(s, "completion_date", start)
         & F.col("completion_date").isNotNull()
         & (F.col("completion_date") >= start)
         & F.col("store_nbr").isNotNull()
         & upper_prefix("sc_trade_name", trade_prefix)
         & not_in_upper("problem_type_desc", excluded_types)
-    ).select(
-        "store_nbr", "problem_type_desc", "problem_code_desc",
-        F.coalesce("problem_code_desc", F.lit("")).alias("code_key"),
-        "sc_trade_name", "category_name", "tracking_nbr", "completion_date", "not_to_exceed_amt",
-        F.coalesce("equipment_desc", F.lit("")).alias("equipment_desc"),
-        F.coalesce("equipment_tagid", F.lit("")).alias("equipment_tagid"),
-        F.substring(F.coalesce("problem_desc", F.lit("")), 1, 200).alias("problem_desc"),
-    )
-    org = {"fm_director": "fm_director", "fm_sr_director": "sr_director",
-           "fm_regional_mgr": "regional_mgr", "aligned_fs_mgr": "fs_mgr"}
-    j = enrich(f, w, list(org), dedupe=not w_unique)
-    j = j.select(*[c for c in j.columns if c not in org],
-                 *[F.coalesce(F.col(src), F.lit("")).alias(dst) for src, dst in org.items()])
-    j = previous_date(j, KEY, "completion_date", "tracking_nbr", "prev_completion")
-    j = j.withColumn("days_since_prev", F.datediff("completion_date", "prev_completion"))
-    if lookback_pad_days:
-        j = j.filter(F.col("completion_date") >= edge)
-    return j
-
-
-def keys_with_pair(rk: DataFrame, repeat_days: int = 30) -> DataFrame:
-    """DISTINCT (store, type, code_key) having a gap <= ``repeat_days`` (an aggregate)."""
-    return rk.filter(F.col("days_since_prev") <= repeat_days).select(*KEY).distinct()
+    ).withColumns({"code_key": F.coalesce("problem_code_desc", F.lit("")), "edge": edge})
 
 
 def _group_struct() -> F.Column:
@@ -89,38 +71,59 @@ def _group_struct() -> F.Column:
     return F.struct(*[F.col(c) for c in GROUP]).alias("gk")
 
 
-def main_agg(rk: DataFrame, repeat_days: int = 30, min_repeats: int = 2) -> DataFrame:
+def group_measures(orders: DataFrame, repeat_days: int = 30, min_repeats: int = 2) -> DataFrame:
+    """``gk`` and the measures of each group with at least ``min_repeats`` repeats.
+
+    With ``min_repeats`` below 1 the groups of keys that have any repeat are kept.
+    """
     nte = F.coalesce(F.col("not_to_exceed_amt"), F.lit(0).cast("decimal(18,2)"))
-    is_repeat = F.when(F.col("days_since_prev") <= repeat_days, F.lit(1)).otherwise(F.lit(0))
-    out = rk.groupBy(_group_struct()).agg(
-        F.max("fm_director").alias("fm_director"),
-        F.max("sr_director").alias("sr_director"),
-        F.max("regional_mgr").alias("regional_mgr"),
-        F.max("fs_mgr").alias("fs_mgr"),
-        F.count(F.lit(1)).alias("completion_count"),
-        F.min("completion_date").cast("string").alias("first_completion"),
-        F.max("completion_date").cast("string").alias("last_completion"),
-        F.round(F.sum(nte), 2).cast("double").alias("total_nte"),
-        F.round(F.avg(nte), 2).cast("double").alias("avg_nte"),
-        F.min("days_since_prev").alias("min_days_between"),
-        F.sum(is_repeat).alias("repeat_count_30d"),
-    )
-    return out.filter(F.col("repeat_count_30d") >= min_repeats)
-
-
-def recent_lists(rk: DataFrame, n_tracking: int = 20, n_descs: int = 3) -> DataFrame:
-    """Latest ``n_tracking`` tracking numbers / ``n_descs`` descriptions per group (date desc)."""
-    order = [F.col("completion_date").desc(), F.col("tracking_nbr").desc()]
-    src = rk.select(_group_struct(), "completion_date", "tracking_nbr", "problem_desc")
-    lst = ranked_list(src, ["gk"], order, max(n_tracking, n_descs),
-                      {"tnum": F.col("tracking_nbr").cast("string"), "desc": F.col("problem_desc")},
-                      "_recent")
-    return lst.select("gk",
-                      join_field("_recent", "tnum", ",", n_tracking).alias("tracking_numbers"),
-                      join_field("_recent", "desc", ",", n_descs).alias("sample_descs_raw"))
-
-
-def asset_counts(rk: DataFrame, n_assets: int = 6) -> DataFrame:
+    tie = F.struct(F.col("tracking_nbr").isNotNull().alias("known"), F.col("tracking_nbr"))  # NULL first
+    days = orders.groupBy(*GROUP, "edge", F.col("completion_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(tie).alias("tie"), F.sum(nte).alias("nte"))
+    key = Window.partitionBy(*KEY)
+    order = [F.col("tie").asc(), F.col("sc_trade_name").asc_nulls_first(), F.col("category_name").asc_nulls_first()]
+    earlier = key.orderBy(F.unix_date("day")).rangeBetween(Window.unboundedPreceding, -1)
+    days = days.withColumns({
+        "first": F.row_number().over(Window.partitionBy(*KEY, "day").orderBy(*order)) == 1,
+        "gap": F.datediff("day", F.max("day").over(earlier))})
+    days = days.filter(F.col("day") >= F.col("edge"))
+    same_day = F.col("n") - F.col("first").cast("int")  # these follow a row of their own day: gap 0
+    repeats = F.when(F.lit(repeat_days) >= 0, same_day).otherwise(0) \
+        + F.when(F.col("first") & (F.col("gap") <= repeat_days), 1).otherwise(0)
+    least_gap = F.when(same_day > 0, F.lit(0)).when(F.col("first"), F.col("gap"))
+    days = days.withColumns({"repeats": repeats, "least_gap": least_gap})
+    if min_repeats < 1:
+        days = days.withColumn("paired", F.max(F.col("repeats") > 0).over(key)).filter("paired")
+    total = F.sum("nte")
+    return days.groupBy(_group_struct()).agg(
+        F.sum("n").alias("completion_count"),
+        F.min("day").cast("string").alias("first_completion"),
+        F.max("day").cast("string").alias("last_completion"),
+        F.round(total, 2).cast("double").alias("total_nte"),
+        F.round(total / F.sum("n"), 2).cast("double").alias("avg_nte"),
+        F.min("least_gap").alias("min_days_between"),
+        F.sum("repeats").alias("repeat_count_30d"),
+    ).filter(F.col("repeat_count_30d") >= min_repeats)
+
+
+def organisation(rows: DataFrame, w: DataFrame, w_unique: bool = False) -> DataFrame:
+    """The organisation of each group from W; '' where W has none."""
+    j = enrich(rows.select("gk", "tracking_nbr"), w, list(ORGANISATION), dedupe=not w_unique)
+    return j.groupBy("gk").agg(*[F.max(F.coalesce(F.col(src), F.lit(""))).alias(dst) for src, dst in ORGANISATION.items()])
+
+
+def recent(rows: DataFrame, n_tracking: int = N_TRACKING, n_descs: int = N_DESCRIPTIONS,
+           description_chars: int | None = DESCRIPTION_CHARS) -> DataFrame:
+    """Per group the array ``recent`` (rank, tracking_nbr, description) of its latest work orders, date desc."""
+    text = F.coalesce("problem_desc", F.lit(""))
+    src = rows.select("gk", "completion_date", "tracking_nbr",
+                      (text if description_chars is None else F.substring(text, 1, description_chars)).alias("text"))
+    order = [F.col("completion_date").desc(), F.col("tracking_nbr").desc_nulls_last(), F.col("text").asc()]
+    return ranked_list(src, ["gk"], order, max(n_tracking, n_descs),
+                       {"tracking_nbr": F.col("tracking_nbr").cast("string"), "description": F.col("text")}, "recent")
+
+
+def asset_counts(rows: DataFrame, n_assets: int = N_ASSETS) -> DataFrame:
     """Per (store, type, code_key): the ``n_assets`` assets with most work orders.
 
     Asset names are trimmed *before* grouping, so ' a' and 'a' are one asset;
@@ -128,8 +131,8 @@ def asset_counts(rk: DataFrame, n_assets: int = 6) -> DataFrame:
     Returns the native array ``assets`` (rank, equipment_desc, equipment_tagid,
     wo_count) and its export string ``asset_counts_str`` ('desc~tag~count,..').
     """
-    a = rk.select(*KEY, blank_to_null("equipment_desc").alias("equipment_desc"),
-                  blank_to_null("equipment_tagid").alias("equipment_tagid")) \
+    a = rows.select(*KEY, blank_to_null("equipment_desc").alias("equipment_desc"),
+                    blank_to_null("equipment_tagid").alias("equipment_tagid")) \
         .filter(F.col("equipment_desc").isNotNull()) \
         .groupBy(*KEY, "equipment_desc", "equipment_tagid").agg(F.count(F.lit(1)).alias("wo_count"))
     order = [F.col("wo_count").desc(), F.col("equipment_desc").asc(), F.col("equipment_tagid").asc_nulls_first()]
@@ -151,36 +154,33 @@ OUTPUT = ["store_nbr", "problem_type_desc", "problem_code_desc", "sc_trade_name"
 def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3, repeat_days: int = 30,
                      min_repeats: int = 2, excluded_types=EXCLUDED_PROBLEM_TYPES,
                      trade_prefix: str = FM_TRADE_PREFIX, lookback_pad_days: int = 0,
-                     keep_arrays: bool = False, sort: bool = True,
-                     materialize: bool = True, w_unique: bool = False) -> DataFrame:
+                     keep_arrays: bool = False, sort: bool = True, w_unique: bool = False,
+                     n_tracking: int = N_TRACKING, n_descs: int = N_DESCRIPTIONS, n_assets: int = N_ASSETS,
+                     description_chars: int | None = DESCRIPTION_CHARS, measures: DataFrame | None = None) -> DataFrame:
     """Store + problem groups with at least ``min_repeats`` repeats within ``repeat_days``.
 
     ``problem_code_desc`` is output as ``NULLIF(code_key, '')``.  With
-    ``keep_arrays`` the native ``assets`` array is kept next to its string.
-
-    ``ranked`` feeds three branches (group measures, recent lists, assets) that
-    each need other columns, so Catalyst prunes them differently and cannot
-    reuse one exchange: left lazy, the S scan, the W join and the LAG would run
-    three times.  ``materialize`` (default) runs them once and keeps the result
-    as a reliable checkpoint in the shared ``spark.checkpoint.dir``, which also
-    cuts the lineage; the call then costs one job up front.
+    ``keep_arrays`` the native arrays ``assets`` and ``recent`` are kept next to
+    their strings.  ``measures`` may be the written result of
+    :func:`group_measures` for the same parameters.
     """
-    rk = ranked(s, w, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days, w_unique)
-    if materialize:
-        checkpoint_dir(rk.sparkSession)
-        try:
-            rk = rk.checkpoint(eager=True)
-        except Exception as e:  # no usable checkpoint folder: same result, computed lazily
-            _log.warning("ranked work orders not checkpointed (%s); continuing lazily", e)
-    if min_repeats < 1:
-        rk = rk.join(keys_with_pair(rk, repeat_days), KEY, "left_semi")
-    m = main_agg(rk, repeat_days, min_repeats)
-    out = m.join(recent_lists(rk), "gk", "left")  # every group has list rows; LEFT lets unused lists be pruned
+    orders = work_orders(s, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days)
+    m = measures if measures is not None else group_measures(orders, repeat_days, min_repeats)
+    # A predecessor from the pad is no member of a group, but the assets count by key within the lookback too.
+    orders = orders.filter(F.col("completion_date") >= F.col("edge"))
+    keys = m.select(*[F.col("gk")[c].alias(c) for c in KEY]).distinct()
+    of_keys = orders.join(keys, KEY, "left_semi")
+    of_groups = orders.withColumn("gk", _group_struct()).join(m.select("gk"), "gk", "left_semi")
+    # Every group has these rows; LEFT lets a branch that is not read be pruned.
+    out = m.join(organisation(of_groups, w, w_unique), "gk", "left") \
+        .join(recent(of_groups, n_tracking, n_descs, description_chars), "gk", "left")
     out = out.select("*", *[F.col("gk")[c].alias(c) for c in GROUP]).drop("gk")
-    out = out.join(asset_counts(rk), KEY, "left")
-    out = out.withColumn("problem_code_desc", F.nullif(F.col("code_key"), F.lit("")))
-    cols = OUTPUT + (["assets"] if keep_arrays else [])
-    out = out.select(*cols)
+    out = out.join(asset_counts(of_keys, n_assets), KEY, "left")
+    out = out.withColumns({
+        "problem_code_desc": F.nullif(F.col("code_key"), F.lit("")),
+        "tracking_numbers": join_field("recent", "tracking_nbr", ",", n_tracking),
+        "sample_descs_raw": join_field("recent", "description", ",", n_descs)})
+    out = out.select(*OUTPUT, *(["assets", "recent"] if keep_arrays else []))
     if sort:
         out = out.orderBy(F.col("repeat_count_30d").desc(), F.col("total_nte").desc(),
                           *[F.col(c).asc_nulls_first() for c in

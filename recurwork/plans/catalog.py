@@ -7,14 +7,15 @@ tables of ``sf_dir`` on every call (all lazy).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recurwork.operators import repeats
+from recurwork.operators.lag import previous_date
 from recurwork.plans import reports, views
 from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders
 
 # The fixture history spans 1995-01 .. 2001-08; 100 months reaches all of it,
-# so the pair query runs over the whole table (3 months, the production
-# default, leaves no group at the test scales).
+# so the views run over the whole table; 3 months is the production default.
 PAIRS_LOOKBACK_MONTHS = 100
 
 
@@ -54,42 +55,27 @@ def _s(spark, d):
     return fx_workorders(spark, d)
 
 
+def work_order_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """W1, W2 row by row: days since the previous work order of the same store, type and code."""
+    orders = repeats.work_orders(_s(spark, d), AS_OF, 12)
+    rows = previous_date(orders, repeats.KEY, "completion_date", "tracking_nbr", "prev_completion")
+    return rows.select(*repeats.KEY, "tracking_nbr", "completion_date", "prev_completion",
+                       F.datediff("completion_date", "prev_completion").alias("days_since_prev"))
+
+
 def pairs(spark: SparkSession, d: str, **kw) -> DataFrame:
     kw.setdefault("lookback_months", PAIRS_LOOKBACK_MONTHS)
     return repeats.repeat_pairs_30d(_s(spark, d), _w(spark, d), AS_OF, **kw)
 
 
-def q_repeat_pairs_30d(spark: SparkSession, d: str) -> DataFrame:
-    return pairs(spark, d)
-
-
-def q_repeat_pairs_6m(spark: SparkSession, d: str) -> DataFrame:
-    """The debug copy's 6-month lookback (only the lookback differs)."""
-    return pairs(spark, d, lookback_months=6)
-
-
-def _groups(spark, d, materialize: bool = True):
-    return views.repeat_groups(pairs(spark, d, sort=False, materialize=materialize))
-
-
-def _measures(spark, d):
-    """For views that read only the group measures (no lists, no assets):
-    Catalyst prunes those two branches, so ``ranked`` feeds a single branch
-    and a checkpoint would only add a write and a read — left lazy."""
-    return _groups(spark, d, materialize=False)
-
-
-def _groups_lazy(spark, d):
-    """For a view whose filter Catalyst can fold away (the always-false
-    organisation gate): left lazy, the whole plan becomes an empty relation
-    instead of a checkpointed pair pipeline."""
-    return _groups(spark, d, materialize=False)
+def _groups(spark, d):
+    return views.repeat_groups(pairs(spark, d, sort=False))
 
 
 # Fixed view parameters of the registered queries (values present in the fixtures).
-ORG_FILTER = {"sr": "ASIA"}
-FACET_FILTER = {"sr": "ASIA", "prob": "1-URGENT"}
-SLICE_STORE = 26
+ORG_FILTER = {"sr": "MIDDLE EAST"}
+FACET_FILTER = {"sr": "MIDDLE EAST", "prob": "1-URGENT"}
+SLICE_STORE = 3
 GAP_FILTER = {"director": "ASIA", "urgency": 60}
 GAP_SEARCH = {"q": "tech 1"}
 
@@ -103,6 +89,14 @@ def _trend(spark, d):
     return reports.monthly_trend_groups(_r(spark, d), AS_OF)
 
 
+def _hotspots(spark, d):
+    return reports.store_hotspots(_r(spark, d), _w(spark, d), AS_OF)
+
+
+def _codes(spark, d):
+    return reports.problem_code_groups(_r(spark, d), AS_OF)  # the views sort it themselves
+
+
 def _detail_enriched(spark, d):
     return reports.repeat_detail(_r(spark, d), AS_OF, w=_w(spark, d))
 
@@ -110,33 +104,41 @@ def _detail_enriched(spark, d):
 VIEW_QUERIES = {
     "kpi_overview": lambda s, d: views.kpi_overview(_r(s, d), AS_OF),
     "repeat_groups": lambda s, d: _groups(s, d),
-    "by_problem": lambda s, d: views.by_problem(_measures(s, d)),
-    "by_store": lambda s, d: views.by_store(_measures(s, d)),
-    "by_director": lambda s, d: views.by_director(_measures(s, d)),
+    "by_problem": lambda s, d: views.by_problem(_groups(s, d)),
+    "by_store": lambda s, d: views.by_store(_groups(s, d)),
+    "by_director": lambda s, d: views.by_director(_groups(s, d)),
     "repeat_detail_view": lambda s, d: views.repeat_detail_view(_groups(s, d), ORG_FILTER),
-    "repeat_detail_view_gated": lambda s, d: views.repeat_detail_view(_groups_lazy(s, d), {"prob": "1-URGENT"}),
-    "filtered_kpis": lambda s, d: views.filtered_kpis(_measures(s, d), ORG_FILTER),
-    "by_store_filtered": lambda s, d: views.by_store_filtered(_measures(s, d), ORG_FILTER),
-    "by_director_filtered": lambda s, d: views.by_director_filtered(_measures(s, d), ORG_FILTER),
-    "by_problem_filtered": lambda s, d: views.by_problem_filtered(_groups(s, d), FACET_FILTER),  # reads groups twice
-    "facets": lambda s, d: views.facets(_measures(s, d), FACET_FILTER),
+    "filtered_kpis": lambda s, d: views.filtered_kpis(_groups(s, d), ORG_FILTER),
+    "by_store_filtered": lambda s, d: views.by_store_filtered(_groups(s, d), ORG_FILTER),
+    "by_director_filtered": lambda s, d: views.by_director_filtered(_groups(s, d), ORG_FILTER),
+    "by_problem_filtered": lambda s, d: views.by_problem_filtered(_groups(s, d), FACET_FILTER),
+    "facets": lambda s, d: views.facets(_groups(s, d), FACET_FILTER),
     "store_slice": lambda s, d: views.store_slice(_groups(s, d), SLICE_STORE),
-    "store_slice_summary": lambda s, d: views.store_slice_summary(_measures(s, d), SLICE_STORE),
+    "store_slice_summary": lambda s, d: views.store_slice_summary(_groups(s, d), SLICE_STORE),
     "gap_finder": lambda s, d: views.gap_finder(_detail_enriched(s, d), sort_key="days_between",
                                                 descending=False, page_no=1, **GAP_FILTER),
     "gap_finder_search": lambda s, d: views.gap_finder(_detail_enriched(s, d), **GAP_SEARCH),
     "gap_count": lambda s, d: views.gap_count(_detail_enriched(s, d), **GAP_SEARCH),
+    "by_problem_sorted": lambda s, d: views.by_problem(_groups(s, d), "rate", False),
+    "by_store_sorted": lambda s, d: views.by_store(_groups(s, d), "total_nte", True),
+    "by_director_sorted": lambda s, d: views.by_director(_groups(s, d), "store_count", False),
+    "by_store_filtered_sorted": lambda s, d: views.by_store_filtered(_groups(s, d), ORG_FILTER, sort_field="rm", descending=False),
+    "by_director_filtered_sorted": lambda s, d: views.by_director_filtered(_groups(s, d), ORG_FILTER, sort_field="top_problem", descending=False),
+    "repeat_detail_view_sorted": lambda s, d: views.repeat_detail_view(_groups(s, d), ORG_FILTER, sort_field="lc", descending=False),
+    "gap_finder_state_trade": lambda s, d: views.gap_finder(_detail_enriched(s, d), state="EUROPE", trade="FM - FURNITURE", size=100),
+    "store_list_state": lambda s, d: views.store_list(_hotspots(s, d), state="EUROPE"),
+    "trade_options": lambda s, d: views.options(_trade(s, d), "trade"),
+    "store_state_options": lambda s, d: views.options(_hotspots(s, d), "state"),
+    "trend_trade_options": lambda s, d: views.options(_trend(s, d), "trade"),
+    "trade_bands_first": lambda s, d: views.trade_bands(_trade(s, d), 6),
     "trade_bands": lambda s, d: views.trade_bands(_trade(s, d)),
     "trade_band_totals": lambda s, d: views.trade_band_totals(_trade(s, d)),
-    "trade_codes": lambda s, d: views.trade_codes(reports.problem_codes(_r(s, d), AS_OF)),
-    "trade_codes_one": lambda s, d: views.trade_codes(reports.problem_codes(_r(s, d), AS_OF), "FM - AUTOMOBILE"),
+    "trade_codes": lambda s, d: views.trade_codes(_codes(s, d)),
+    "trade_codes_one": lambda s, d: views.trade_codes(_codes(s, d), "FM - AUTOMOBILE"),
     "trade_summary": lambda s, d: views.trade_summary(_trade(s, d)),
-    "store_list": lambda s, d: views.store_list(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF),
-                                                sort_key="repeats_90d"),
-    "store_list_search": lambda s, d: views.store_list(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF),
-                                                       q="nation_1", page_no=0, size=20),
-    "store_count": lambda s, d: views.store_count(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF),
-                                                  q="nation_1"),
+    "store_list": lambda s, d: views.store_list(_hotspots(s, d), sort_key="repeats_90d"),
+    "store_list_search": lambda s, d: views.store_list(_hotspots(s, d), q="nation_1", page_no=0, size=20),
+    "store_count": lambda s, d: views.store_count(_hotspots(s, d), q="nation_1"),
     "month_totals": lambda s, d: views.month_totals(_trend(s, d)),
     "top5_trend": lambda s, d: views.top_trend(_trend(s, d), 5),
     "trend_table": lambda s, d: views.trend_table(_trend(s, d)),
@@ -144,16 +146,15 @@ VIEW_QUERIES = {
     "extract_search": lambda s, d: views.extract_search(
         as_text(reports.tech_repeats(_r(s, d), _w(s, d), AS_OF)), "tech 1"),
     "asset_counts_exploded": lambda s, d: views.asset_counts_exploded(pairs(s, d, keep_arrays=True, sort=False)),
-    "name_search": lambda s, d: views.name_search(_measures(s, d), "manager 1"),
+    "recent_work_orders": lambda s, d: views.recent_work_orders(pairs(s, d, keep_arrays=True, sort=False)),
+    "name_search": lambda s, d: views.name_search(_groups(s, d), "manager"),
     "asset_counts_parsed": lambda s, d: views.asset_counts_from_text(pairs(s, d, sort=False)),
     "gap_filter_options": lambda s, d: views.gap_filter_options(_detail_enriched(s, d)),
-    "kpi_overview_capped": lambda s, d: views.kpi_overview(_r(s, d), AS_OF, w=_w(s, d), capped=True),
-    "by_problem_on_filtered": lambda s, d: views.by_problem_on_filtered(_measures(s, d), FACET_FILTER),
+    "by_problem_on_filtered": lambda s, d: views.by_problem_on_filtered(_groups(s, d), FACET_FILTER),
     "trade_chart": lambda s, d: views.trade_chart(_trade(s, d), 10),
-    "problem_chart": lambda s, d: views.problem_chart(reports.problem_codes(_r(s, d), AS_OF), 10),
-    "top_stores": lambda s, d: views.top_stores(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF), 10),
-    "store_chart": lambda s, d: views.store_chart(reports.store_hotspots(_r(s, d), _w(s, d), AS_OF),
-                                                  sort_key="repeats_90d", k=20),
+    "problem_chart": lambda s, d: views.problem_chart(_codes(s, d), 10),
+    "top_stores": lambda s, d: views.top_stores(_hotspots(s, d), 10),
+    "store_chart": lambda s, d: views.store_chart(_hotspots(s, d), sort_key="repeats_90d", k=20),
 }
 
 
@@ -169,7 +170,9 @@ QUERIES = {
     "monthly_trend": q_monthly_trend,
     "repeat_detail": q_repeat_detail,
     "tech_repeats": q_tech_repeats,
-    "repeat_pairs_30d": q_repeat_pairs_30d,
-    "repeat_pairs_6m": q_repeat_pairs_6m,
+    "repeat_pairs_30d": lambda s, d: pairs(s, d, lookback_months=3),
+    "repeat_pairs_6m": lambda s, d: pairs(s, d, lookback_months=6),
+    "repeat_pairs_all": lambda s, d: pairs(s, d),
+    "work_order_gaps": lambda s, d: work_order_gaps(s, d),
     **VIEW_QUERIES,
 }

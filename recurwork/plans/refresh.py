@@ -1,11 +1,9 @@
-"""Batch refresh: compute and write every result, full overwrite.
-
-The reference runs its queries one after the other and saves each result to a
-file that the views then read.  Here every report is one Spark job writing
-parquet under ``out_dir``; the repeat-pair table is written first and the
-views are derived from the *written* table, which cuts the lineage (a lost
-executor later costs a re-read, not a recomputation of the pair pipeline).
-Filtered / searched views stay on-demand functions over that table.
+"""Batch refresh: compute and write every result as a new version.
+
+Every report is one Spark job that writes Parquet under ``out_dir``; views are
+derived from the *written* tables, which cuts the lineage (a lost executor later
+costs a re-read, not a recomputation).  A failed step leaves all last good versions
+in place.  Filtered and searched views stay on-demand functions over the tables.
 """
 
 from __future__ import annotations
@@ -15,35 +13,42 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from recurwork import schemas
-from recurwork.operators.repeats import repeat_pairs_30d
+from recurwork.operators.dimension import dedupe_dim
+from recurwork.operators.repeats import group_measures, repeat_pairs_30d, work_orders
 from recurwork.plans import reports, views
 from recurwork.sources import files
 
 
 def refresh(spark: SparkSession, s: DataFrame, w: DataFrame, r: DataFrame, out_dir: str, as_of,
             lookback_days: int = 365, lookback_months: int = 3, json_export: bool = False) -> dict[str, str]:
-    """Write every report and unfiltered view; returns name -> path."""
+    """Write every report and unfiltered view, all rows; returns name -> path of the version written.
+
+    W is reduced to a row per work order once, and the measures of the repeat groups
+    are written once for the joins that read them; both are versions in ``out_dir``.
+    """
     paths: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame) -> None:
-        p = os.path.join(out_dir, name)
-        files.write_result(df, p)
+    def put(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = files.write_result(df, os.path.join(out_dir, name))
+        back = spark.read.schema(df.schema).parquet(paths[name])  # lineage cut: later steps read the written table
         if json_export:
-            files.export_json(spark.read.parquet(p), os.path.join(out_dir, "json", name))
-        paths[name] = p
+            files.export_json(back, os.path.join(out_dir, "json", name))
+        return back
 
-    put("repeats_by_trade", reports.repeats_by_trade(r, as_of, lookback_days))
+    w = put("work_order_dim", dedupe_dim(w))
+    trade = put("repeats_by_trade", reports.repeats_by_trade(r, as_of, lookback_days))
     put("problem_codes", reports.problem_codes(r, as_of, lookback_days))
-    put("store_hotspots", reports.store_hotspots(r, w, as_of, lookback_days))
-    put("monthly_trend", reports.monthly_trend(r, as_of, lookback_days))
-    put("repeat_detail", reports.repeat_detail(r, as_of, lookback_days, w=w))
-    put("tech_repeats", reports.tech_repeats(r, w, as_of, lookback_days))
-
-    p = os.path.join(out_dir, "repeat_pairs_30d")
-    files.write_or_empty(spark, lambda: repeat_pairs_30d(s, w, as_of, lookback_months, keep_arrays=True),
-                         schemas.REPEAT_PAIRS, p)
-    paths["repeat_pairs_30d"] = p
-    pairs = spark.read.parquet(p)                      # lineage cut: views read the written table
+    put("store_hotspots", reports.store_hotspots(r, w, as_of, lookback_days, w_unique=True))
+    trend = put("monthly_trend", reports.monthly_trend(r, as_of, lookback_days))
+    put("repeat_detail", reports.repeat_detail(r, as_of, lookback_days, w=w, w_unique=True))
+    put("tech_repeats", reports.tech_repeats(r, w, as_of, lookback_days, w_unique=True))
+
+    measures = put("repeat_measures", group_measures(work_orders(s, as_of, lookback_months)))
+    at = os.path.join(out_dir, "repeat_pairs_30d")
+    paths["repeat_pairs_30d"] = files.write_or_keep(
+        spark, lambda: repeat_pairs_30d(s, w, as_of, lookback_months, keep_arrays=True, w_unique=True, measures=measures),
+        schemas.REPEAT_PAIRS, at)
+    pairs = spark.read.parquet(paths["repeat_pairs_30d"])
     groups = views.repeat_groups(pairs)
     put("repeat_groups", groups)
     put("by_problem", views.by_problem(groups))
@@ -51,9 +56,8 @@ def refresh(spark: SparkSession, s: DataFrame, w: DataFrame, r: DataFrame, out_d
     put("by_director", views.by_director(groups))
     put("facets", views.facets(groups, {}))
     put("asset_counts_exploded", views.asset_counts_exploded(pairs))
+    put("recent_work_orders", views.recent_work_orders(pairs))
 
-    trade = spark.read.parquet(paths["repeats_by_trade"])
-    trend = spark.read.parquet(paths["monthly_trend"])
     put("kpi_overview", views.kpi_overview(r, as_of, lookback_days))
     put("trade_bands", views.trade_bands(trade))
     put("trade_summary", views.trade_summary(trade))

@@ -4,8 +4,8 @@ Each takes the inputs and parameters and returns an un-collected DataFrame.
 ``w_unique=True`` declares W's ``tracking_nbr`` a key and skips the
 de-duplication sort of W (see ``operators.dimension``).
 ``as_of`` replaces CURRENT_DATE so results are repeatable.  Default lookbacks
-and limits are the reference's; ``limit=None`` keeps every row.  Every top-k
-ends its ORDER BY with the group keys so the cut is deterministic.
+are the reference's; every row is kept unless a ``limit`` is asked for.  Every
+order ends with the group keys so that a cut is deterministic.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from recurwork.functions.exprs import UNKNOWN, as_of_lit, day_lookback, default, present_tech
 from recurwork.operators.dimension import enrich
-from recurwork.operators.ordering import latest_k, top_k
-from recurwork.operators.topn import join_field, ranked_list
+from recurwork.operators.ordering import top_k
 from recurwork.sources.tables import since_month_filter
 
 
@@ -25,7 +24,7 @@ def _recent(r: DataFrame, as_of, lookback_days: int) -> DataFrame:
     return r.filter(since_month_filter(r, "call_date", start) & day_lookback("call_date", as_of, lookback_days))
 
 
-def repeats_by_trade(r: DataFrame, as_of, lookback_days: int = 365, limit: int | None = 40) -> DataFrame:
+def repeats_by_trade(r: DataFrame, as_of, lookback_days: int = 365, limit: int | None = None) -> DataFrame:
     """Repeats per trade with distinct stores / assets and the cumulative 90/180/365-day counts."""
     base = _recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
     out = base.groupBy(default("sc_trade_name", UNKNOWN).alias("trade")).agg(
@@ -40,7 +39,7 @@ def repeats_by_trade(r: DataFrame, as_of, lookback_days: int = 365, limit: int |
 
 
 def problem_codes(r: DataFrame, as_of, lookback_days: int = 365, min_count: int = 3,
-                  limit: int | None = 100) -> DataFrame:
+                  limit: int | None = None) -> DataFrame:
     """Problem codes per trade that repeat at least ``min_count`` times."""
     out = problem_code_groups(r, as_of, lookback_days, min_count)
     return top_k(out, [F.col("repeat_count").desc(), F.col("trade").asc(), F.col("problem_code").asc()], limit)
@@ -61,7 +60,7 @@ def problem_code_groups(r: DataFrame, as_of, lookback_days: int = 365, min_count
 
 
 def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
-                   limit: int | None = 100, list_limit: int = 5, w_unique: bool = False) -> DataFrame:
+                   limit: int | None = None, list_limit: int = 5, w_unique: bool = False) -> DataFrame:
     """Stores by 90-day repeats, with location / organisation from W.
 
     Keeps repeats without a trade (no trade filter, as in the reference).
@@ -69,30 +68,32 @@ def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
     by construction (both kept, as in the reference).
     ``top_trades`` lists up to ``list_limit`` distinct trades, alphabetically
     (the reference's pick is unordered); NULL when the store has none.  The
-    list is built from distinct (store, trade) pairs cut to ``list_limit`` per
-    store before the shuffle, so it is bounded however many trades a store has.
+    rows are counted per (store, trade) first, then per store: R is read once, and
+    a store gathers one row per trade.
     """
     base = _recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
         .select("tracking_nbr", "store_nbr", "sc_trade_name", "month3_flag", "month6_flag")
     j = enrich(base, w, ["store_city", "store_state", "fm_sr_director", "fm_director", "store_type_name"],
                dedupe=not w_unique)
-    out = j.groupBy("store_nbr").agg(
+    trades = j.groupBy("store_nbr", "sc_trade_name").agg(
         F.max("store_city").alias("city"),
         F.max("store_state").alias("state"),
         F.max("fm_sr_director").alias("sr_director"),
         F.max("fm_director").alias("fm_director"),
         F.max("store_type_name").alias("banner"),
-        F.count(F.lit(1)).alias("total_repeats"),
-        F.countDistinct("sc_trade_name").alias("trades_affected"),
-        F.sum("month3_flag").alias("repeats_90d"),
-        F.sum("month6_flag").alias("repeats_180d"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("month3_flag").alias("n90"),
+        F.sum("month6_flag").alias("n180"),
+    )
+    names = F.array_sort(F.collect_list("sc_trade_name"))  # one entry per trade of the store
+    out = trades.groupBy("store_nbr").agg(
+        *[F.max(c).alias(c) for c in ("city", "state", "sr_director", "fm_director", "banner")],
+        F.sum("n").alias("total_repeats"),
+        F.count("sc_trade_name").alias("trades_affected"),
+        F.sum("n90").alias("repeats_90d"),
+        F.sum("n180").alias("repeats_180d"),
+        F.when(F.count("sc_trade_name") > 0, F.array_join(F.slice(names, 1, list_limit), ", ")).alias("top_trades"),
     )
-    # at most ``list_limit`` distinct trades per store, cut before the shuffle
-    trades = ranked_list(base.select("store_nbr", "sc_trade_name").filter(F.col("sc_trade_name").isNotNull())
-                         .distinct(), ["store_nbr"], [F.col("sc_trade_name").asc()], list_limit,
-                         {"trade": F.col("sc_trade_name")}, "_trades")
-    trades = trades.select("store_nbr", join_field("_trades", "trade", ", ").alias("top_trades"))
-    out = out.join(trades, "store_nbr", "left")
     return top_k(out, [F.col("total_repeats").desc(), F.col("store_nbr").asc()], limit)
 
 
@@ -115,21 +116,17 @@ def monthly_trend_groups(r: DataFrame, as_of, lookback_days: int = 365) -> DataF
     )
 
 
-# Largest key set broadcast to pre-filter W (8 MB of BIGINT keys).
-MAX_BROADCAST_KEYS = 1_000_000
-
 DETAIL_COLUMNS = ["tracking_nbr", "prev_tracking_nbr", "store_nbr", "trade", "asset_tag", "asset_type",
                   "call_date", "prev_call_date", "days_between", "problem_code", "prev_problem_code",
                   "month3_flag", "month6_flag", "month12_flag"]
 
 
-def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | None = 10000,
+def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | None = None,
                   w: DataFrame | None = None, w_unique: bool = False) -> DataFrame:
     """Latest 90-day repeats, one row each (no join).
 
-    With ``w`` the capped rows are enriched from W (city, state, directors,
-    technician) — the columns the gap finder filters and searches on.  The cap
-    is applied first, so the join sees at most ``limit`` rows.
+    With ``w`` the rows are enriched from W (city, state, directors, technician),
+    the columns the gap finder filters and searches on.
     """
     base = _recent(r, as_of, lookback_days).filter(
         (F.col("month3_flag") == 1) & F.col("sc_trade_name").isNotNull())
@@ -145,14 +142,9 @@ def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | No
         default("prev_problem_code_desc", "").alias("prev_problem_code"),
         "month3_flag", "month6_flag", "month12_flag",
     )
-    out = latest_k(out, "call_date", [F.col("call_date").desc(), F.col("tracking_nbr").desc()], limit)
+    out = top_k(out, [F.col("call_date").desc(), F.col("tracking_nbr").desc()], limit) if w is None or limit is not None else out
     if w is None:
         return out
-    if limit is not None and limit <= MAX_BROADCAST_KEYS:
-        # Enrich only the W rows of the capped detail: its <= ``limit`` keys are
-        # broadcast (size bounded by the cap) into a semi-join, so W is neither
-        # de-duplicated nor shuffled as a whole for a few thousand rows.
-        w = w.join(F.broadcast(out.select("tracking_nbr")), "tracking_nbr", "left_semi")
     j = enrich(out, w, ["store_city", "store_state", "fm_director", "fm_sr_director", "latest_activity_tech"],
                dedupe=not w_unique)
     return j.select(*DETAIL_COLUMNS,
@@ -162,7 +154,7 @@ def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | No
 
 
 def tech_repeats(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365, min_count: int = 2,
-                 limit: int | None = 200, w_unique: bool = False) -> DataFrame:
+                 limit: int | None = None, w_unique: bool = False) -> DataFrame:
     """90-day repeats per technician and trade.
 
     The reference writes a LEFT JOIN then filters on W's technician, which

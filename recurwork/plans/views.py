@@ -1,7 +1,6 @@
 """The dashboard's interactive views (§2.11) as DataFrame operators.
 
-The reference computes these in browser JavaScript over capped, embedded
-arrays.  Here each one is a lazy DataFrame over the uncapped results: global
+Each one is a lazy DataFrame over the whole results: global
 results are aggregates (partial + final), per-entity results are group-bys,
 and "first seen" / "top" picks use ``min_by`` with an explicit total order
 instead of insertion order.  Filters are ``dict[str, str]``; empty values do
@@ -14,13 +13,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurwork.functions.exprs import (UNASSIGNED, any_column_contains, blank_to_null, contains_text,
-                                       either_equals, falsy_default, first_non_empty, num, optional_equalities,
+                                       either_equals, falsy_default, first_non_empty, optional_equalities,
+                                       shorten,
                                        strip_first, strip_label_prefixes, unassigned_prefix)
 from recurwork.functions.measures import (band_above, band_at_least, code_if_distinct, gap_score,
                                           pair_severity, pct, rate_pct, urgency_band)
 from recurwork.operators.ordering import page, sort_by_field, top_k
 from recurwork.plans import reports
 
+# Label prefixes, and the bounds of the bands.
+LABEL_PREFIXES = ("FM - ", "PM - ")
+RATE_BAND, PRIORITY_BAND, GAP_BAND, STORE_BAND = (30, 15), (60, 30), (60, 30), (20, 10)
+
 ORG_FILTERS = ("sr", "dir", "rm", "fsm")
 FACET_FIELDS = ("sr", "dir", "rm", "fsm", "prob")
 
@@ -64,17 +68,27 @@ def repeat_groups(pairs: DataFrame) -> DataFrame:
 
 # ── V3–V5: unfiltered roll-ups ─────────────────────────────────────────────
 
-def by_problem(groups: DataFrame) -> DataFrame:
+PROBLEM_SORT = ("problem", "total_wos", "repeat_count", "affected_stores", "rate")
+STORE_ROLLUP_SORT = ("store", "director", "region", "repeat_incidents", "total_nte")
+STORE_FILTERED_SORT = ("store", "sr", "dir", "rm", "fsm", "repeat_groups")
+
+
+def _chosen(out: DataFrame, field: str, descending: bool, allowed, tie: str) -> DataFrame:
+    """T4 over a roll-up; ties by its key."""
+    return sort_by_field(out, field, descending, {c: c for c in allowed}, [F.col(tie).asc()])
+
+
+def by_problem(groups: DataFrame, sort_field: str = "repeat_count", descending: bool = True) -> DataFrame:
     """Per problem type: completions, 30-day repeats, stores, repeat rate (M7)."""
     out = groups.groupBy(F.col("prob").alias("problem")).agg(
         F.sum("cnt").alias("total_wos"), F.sum("r30").alias("repeat_count"),
         F.countDistinct("sn").alias("affected_stores"))
     out = out.withColumn("rate", rate_pct("repeat_count", "total_wos"))
-    out = out.withColumn("rate_band", band_above("rate", 30, 15))
-    return out.orderBy(F.col("repeat_count").desc(), F.col("problem").asc())
+    out = out.withColumn("rate_band", band_above("rate", *RATE_BAND))
+    return _chosen(out, sort_field, descending, PROBLEM_SORT, "problem")
 
 
-def by_store(groups: DataFrame) -> DataFrame:
+def by_store(groups: DataFrame, sort_field: str = "repeat_incidents", descending: bool = True) -> DataFrame:
     """Per store: 30-day repeat incidents, money, first-seen director / region, problem list."""
     out = groups.groupBy(F.col("sn").alias("store")).agg(
         _first_seen(F.col("dir")).alias("director"),
@@ -83,10 +97,10 @@ def by_store(groups: DataFrame) -> DataFrame:
         _money_sum("nte").alias("total_nte"),
         F.array_join(F.array_sort(F.collect_set("prob")), ", ").alias("problems"),
     )
-    return out.orderBy(F.col("repeat_incidents").desc(), F.col("store").asc())
+    return _chosen(out, sort_field, descending, STORE_ROLLUP_SORT, "store")
 
 
-def _director_view(groups: DataFrame, measure: Column, measure_name: str) -> DataFrame:
+def _director_view(groups: DataFrame, measure: Column, measure_name: str, sort_field: str | None, descending: bool) -> DataFrame:
     """Per director: distinct stores, Σ measure, problem type with the largest Σ measure.
 
     One pass over the groups: each row plays a problem role and a store role;
@@ -104,12 +118,12 @@ def _director_view(groups: DataFrame, measure: Column, measure_name: str) -> Dat
         F.sum(F.when(is_p, F.col("n"))).alias(measure_name),
         F.min_by("key", F.when(is_p, F.struct((-F.col("n")).alias("n"), F.col("key").alias("p")))).alias("top_problem"))
     out = out.withColumn("top_problem", F.coalesce("top_problem", F.lit("N/A")))
-    return out.orderBy(F.col(measure_name).desc(), F.col("director").asc())
+    return _chosen(out, sort_field or measure_name, descending, ("director", "store_count", measure_name, "top_problem"), "director")
 
 
-def by_director(groups: DataFrame) -> DataFrame:
+def by_director(groups: DataFrame, sort_field: str | None = None, descending: bool = True) -> DataFrame:
     """Per director: stores, Σ 30-day repeats, problem type with the most repeats (ties: name)."""
-    return _director_view(groups, F.col("r30"), "repeat_incidents")
+    return _director_view(groups, F.col("r30"), "repeat_incidents", sort_field, descending)
 
 
 # ── V6–V9: the filtered repeat views ───────────────────────────────────────
@@ -147,7 +161,8 @@ def filtered_kpis(groups: DataFrame, filters: dict | None = None, require_org_fi
     return out.filter(F.lit(not gated))
 
 
-def by_store_filtered(groups: DataFrame, filters: dict | None = None, require_org_filter: bool = True) -> DataFrame:
+def by_store_filtered(groups: DataFrame, filters: dict | None = None, require_org_filter: bool = True,
+                      sort_field: str = "repeat_groups", descending: bool = True) -> DataFrame:
     """V7b — per store under the filters; the measure is the number of groups."""
     f = filter_groups(groups, filters, require_org_filter)
     out = f.groupBy(F.col("sn").alias("store")).agg(
@@ -155,22 +170,30 @@ def by_store_filtered(groups: DataFrame, filters: dict | None = None, require_or
         _first_seen(F.col("rm")).alias("rm"), _first_seen(F.col("fsm")).alias("fsm"),
         F.count(F.lit(1)).alias("repeat_groups"),
         F.array_join(F.array_sort(F.collect_set("prob")), ", ").alias("problems"))
-    return out.orderBy(F.col("repeat_groups").desc(), F.col("store").asc())
+    return _chosen(out, sort_field, descending, STORE_FILTERED_SORT, "store")
 
 
-def by_director_filtered(groups: DataFrame, filters: dict | None = None,
-                         require_org_filter: bool = True) -> DataFrame:
+def by_director_filtered(groups: DataFrame, filters: dict | None = None, require_org_filter: bool = True,
+                         sort_field: str | None = None, descending: bool = True) -> DataFrame:
     """V7b — per director under the filters; the measure is the number of groups."""
     f = filter_groups(groups, filters, require_org_filter)
-    return _director_view(f, F.lit(1).cast("bigint"), "repeat_groups")
+    return _director_view(f, F.lit(1).cast("bigint"), "repeat_groups", sort_field, descending)
+
 
+def by_problem_filtered(groups: DataFrame, filters: dict | None = None, require_org_filter: bool = True,
+                        sort_field: str = "repeat_count", descending: bool = True) -> DataFrame:
+    """V7c — unfiltered per-problem rows whose problem occurs under the filters (J6).
 
-def by_problem_filtered(groups: DataFrame, filters: dict | None = None,
-                        require_org_filter: bool = True) -> DataFrame:
-    """V7c — unfiltered per-problem rows whose problem occurs under the filters (semi-join)."""
-    f = filter_groups(groups, filters, require_org_filter).select(F.col("prob").alias("problem"))
-    return by_problem(groups).join(f, "problem", "left_semi") \
-        .orderBy(F.col("repeat_count").desc(), F.col("problem").asc())
+    The semi-join is a flag of the same aggregate, so the groups are read once.
+    """
+    f = {k: v for k, v in (filters or {}).items() if k in FACET_FIELDS}
+    hit = F.lit(False) if _gate(filters, require_org_filter) else optional_equalities(f)
+    out = groups.groupBy(F.col("prob").alias("problem")).agg(
+        F.sum("cnt").alias("total_wos"), F.sum("r30").alias("repeat_count"),
+        F.countDistinct("sn").alias("affected_stores"), F.max(hit).alias("_hit")).filter("_hit").drop("_hit")
+    out = out.withColumn("rate", rate_pct("repeat_count", "total_wos"))
+    out = out.withColumn("rate_band", band_above("rate", *RATE_BAND))
+    return _chosen(out, sort_field, descending, PROBLEM_SORT, "problem")
 
 
 def by_problem_on_filtered(groups: DataFrame, filters: dict | None = None,
@@ -222,22 +245,13 @@ def store_slice_summary(groups: DataFrame, store: int, filters: dict | None = No
 
 # ── V1, V11–V17: overview, trade, store and trend views ─────────────────────
 
-def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int = 3,
-                 w: DataFrame | None = None, capped: bool = False) -> DataFrame:
+def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int = 3) -> DataFrame:
     """V1 — one row: repeats, 90-day repeats, stores, top trade, top code, 90-day share (M9).
 
-    Computed from R uncapped, in one scan: each row is exploded into its
-    roles (trade, trade + code, store of a 90-day repeat), one aggregate over
-    (role, key) combines map-side, and one global aggregate folds the result
-    (no join, no second scan).  ``capped=True`` (needs ``w``) reproduces the reference, which sums the
-    top-40 trade rows and counts the stores of the top-100 hotspot rows.
+    Computed from R in one scan, with the total and the stores of the top trade.
     """
-    if capped:
-        if w is None:
-            raise ValueError("capped=True reads the capped store hotspots, which need w")
-        return _kpi_capped(r, w, as_of, lookback_days, min_count)
-    # One scan of R: every row plays up to three roles — its trade, its
-    # (trade, code), and its store when it is a 90-day repeat — and one
+    # One scan of R: every row plays up to three roles — its
+    # (trade, store), its (trade, code), and its store when it is a 90-day repeat — and one
     # aggregate over (role, key) with map-side combining feeds the fold.
     base = reports._recent(r, as_of, lookback_days)
     trade, m3 = F.col("sc_trade_name"), F.col("month3_flag")
@@ -246,11 +260,14 @@ def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int =
         return F.when(cond, F.struct(F.lit(kind).alias("kind"), k1.cast("string").alias("k1"),
                                      k2.cast("string").alias("k2"), r90.cast("int").alias("r90")))
 
-    items = F.array(role(trade.isNotNull(), "t", trade, F.lit(None), m3),
+    items = F.array(role(trade.isNotNull(), "t", trade, F.col("store_nbr"), m3),
                     role(trade.isNotNull(), "c", trade, F.coalesce("problem_code_desc", F.lit("Unknown")), m3),
                     role(m3 == 1, "s", F.col("store_nbr"), F.lit(None), F.lit(0)))
     g = base.select(F.explode(items).alias("x")).filter(F.col("x").isNotNull()).select("x.*") \
         .groupBy("kind", "k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.sum("r90").alias("r90"))
+    # the stores of a trade are folded into its row
+    g = g.groupBy("kind", "k1", F.when(F.col("kind") != "t", F.col("k2")).alias("k2")).agg(
+        F.sum("n").alias("n"), F.sum("r90").alias("r90"), F.count("k2").alias("stores"))
     is_t, is_c = F.col("kind") == "t", (F.col("kind") == "c") & (F.col("n") >= min_count)
     t_order = F.when(is_t, F.struct((-F.col("n")).alias("a"), F.col("k1").alias("b")))
     c_order = F.when(is_c, F.struct((-F.col("n")).alias("a"), F.col("k1").alias("b"), F.col("k2").alias("c")))
@@ -259,6 +276,8 @@ def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int =
         F.coalesce(F.sum(F.when(is_t, F.col("r90"))), F.lit(0)).cast("bigint").alias("repeats_90d"),
         F.count(F.when(F.col("kind") == "s", F.lit(1))).alias("stores_affected"),
         F.min_by("k1", t_order).alias("top_trade"),
+        F.min_by("n", t_order).alias("top_trade_repeats"),
+        F.min_by("stores", t_order).alias("top_trade_stores"),
         F.min_by("k1", c_order).alias("top_code_trade"),
         F.min_by("k2", c_order).alias("top_code"),
         F.min_by("n", c_order).alias("top_code_count"),
@@ -266,43 +285,20 @@ def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int =
     return _kpi_tail(out)
 
 
-def _kpi_capped(r: DataFrame, w: DataFrame, as_of, lookback_days: int, min_count: int) -> DataFrame:
-    """The reference's KPIs: sums over the top-40 trade rows, stores of the top-100 hotspots."""
-    by_trade = reports.repeats_by_trade(r, as_of, lookback_days)
-    trades = by_trade.select("trade", F.col("total_repeats").alias("t_total"), F.col("repeats_90d").alias("t_r90"))
-    stores = reports.store_hotspots(r, w, as_of, lookback_days).select(F.col("store_nbr").alias("s_store"))
-    codes = reports.problem_code_groups(r, as_of, lookback_days, min_count) \
-        .select(F.col("trade").alias("c_trade"), F.col("problem_code").alias("c_code"),
-                F.col("repeat_count").alias("c_count"))
-    u = trades.unionByName(codes, allowMissingColumns=True).unionByName(stores, allowMissingColumns=True)
-    t_order = F.when(F.col("trade").isNotNull(), F.struct((-F.col("t_total")).alias("a"), F.col("trade").alias("b")))
-    c_order = F.when(F.col("c_code").isNotNull(), F.struct((-F.col("c_count")).alias("a"),
-                                                           F.col("c_trade").alias("b"), F.col("c_code").alias("c")))
-    out = u.agg(
-        F.coalesce(F.sum("t_total"), F.lit(0)).cast("bigint").alias("total_repeats"),
-        F.coalesce(F.sum("t_r90"), F.lit(0)).cast("bigint").alias("repeats_90d"),
-        F.count("s_store").alias("stores_affected"),
-        F.min_by("trade", t_order).alias("top_trade"),
-        F.min_by("c_trade", c_order).alias("top_code_trade"),
-        F.min_by("c_code", c_order).alias("top_code"),
-        F.min_by("c_count", c_order).alias("top_code_count"),
-    )
-    return _kpi_tail(out)
-
-
 def _kpi_tail(out: DataFrame) -> DataFrame:
     return out.select("*", pct("repeats_90d", "total_repeats").alias("pct_90d"),
                       F.coalesce(strip_first("top_trade", "FM - "), F.lit("N/A")).alias("top_trade_label"))
 
 
-def trade_bands(by_trade: DataFrame) -> DataFrame:
-    """V11 — M1 per trade: 0–90, 91–180 and 181–365 day bands (from cumulative counts)."""
-    return by_trade.select(
-        "trade", strip_label_prefixes("trade", ("FM - ", "PM - ")).alias("label"), "total_repeats",
+def trade_bands(by_trade: DataFrame, k: int | None = None) -> DataFrame:
+    """V11 — M1 per trade: 0–90, 91–180 and 181–365 day bands (from cumulative counts); the first ``k`` trades, or all."""
+    out = by_trade.select(
+        "trade", strip_label_prefixes("trade", LABEL_PREFIXES).alias("label"), "total_repeats",
         F.col("repeats_90d").alias("band_0_90"),
         (F.col("repeats_180d") - F.col("repeats_90d")).alias("band_91_180"),
         (F.col("repeats_365d") - F.col("repeats_180d")).alias("band_181_365"),
-    ).orderBy(F.col("total_repeats").desc(), F.col("trade").asc())
+    )
+    return top_k(out, [F.col("total_repeats").desc(), F.col("trade").asc()], k)
 
 
 def trade_band_totals(by_trade: DataFrame) -> DataFrame:
@@ -316,25 +312,32 @@ def trade_band_totals(by_trade: DataFrame) -> DataFrame:
                     pct("band_181_365", total).alias("pct_181_365"))
 
 
-def trade_codes(codes: DataFrame, trade: str | None = None, first: int = 25) -> DataFrame:
-    """V12 — codes of one trade (or the first ``first``) with the 90-day share and priority (M4)."""
+def trade_codes(codes: DataFrame, trade: str | None = None, first: int | None = None) -> DataFrame:
+    """V12 — codes of one trade, or of all, with the 90-day share and priority (M4); the ``first`` of them if asked."""
     base = codes.filter(F.col("trade") == F.lit(trade)) if trade else codes
-    base = base.select("*", pct("within_90d", "repeat_count").alias("pct_90d"))
-    base = base.withColumn("priority", band_at_least("pct_90d", 60, 30))
-    order = [F.col("repeat_count").desc(), F.col("trade").asc(), F.col("problem_code").asc()]
-    return top_k(base, order, None if trade else first)
+    base = base.withColumn("label", strip_label_prefixes("trade", LABEL_PREFIXES))
+    base = base.withColumn("pct_90d", pct("within_90d", "repeat_count"))
+    base = base.withColumn("priority", band_at_least("pct_90d", *PRIORITY_BAND))
+    return top_k(base, [F.col("repeat_count").desc(), F.col("trade").asc(), F.col("problem_code").asc()], first)
 
 
 def trade_summary(by_trade: DataFrame) -> DataFrame:
-    """V13 — every trade with its gap score (M2) and band (M3)."""
+    """V13 — every trade with its counts, gap score (M2) and band (M3)."""
     s = gap_score("repeats_90d", "total_repeats")
-    return by_trade.select("trade", "total_repeats", "repeats_90d", s.alias("gap_score"),
-                           band_at_least(s, 60, 30).alias("gap_band"),
+    return by_trade.select("trade", strip_label_prefixes("trade", LABEL_PREFIXES).alias("label"), "total_repeats",
+                           "stores_affected", "assets_affected", "repeats_90d", "repeats_180d", "repeats_365d",
+                           s.alias("gap_score"), band_at_least(s, *GAP_BAND).alias("gap_band"),
                            F.least(s, F.lit(100)).alias("bar_width")) \
         .orderBy(F.col("total_repeats").desc(), F.col("trade").asc())
 
 
-def trade_chart(by_trade: DataFrame, k: int = 10) -> DataFrame:
+def options(df: DataFrame, column: str) -> DataFrame:
+    """A drop-down list: the distinct values of a column with their labels, sorted; no blanks."""
+    return df.select(F.col(column).alias("value")).filter((F.col("value") != "") & F.col("value").isNotNull()).distinct() \
+        .select("value", strip_label_prefixes("value", LABEL_PREFIXES).alias("label")).orderBy("value")
+
+
+def trade_chart(by_trade: DataFrame, k: int) -> DataFrame:
     """T5 + M1 — the first ``k`` trades with the 0–90 and 91–180 day bands (overview chart)."""
     out = by_trade.select("trade", strip_label_prefixes("trade").alias("label"), "total_repeats",
                           F.col("repeats_90d").alias("band_0_90"),
@@ -342,20 +345,22 @@ def trade_chart(by_trade: DataFrame, k: int = 10) -> DataFrame:
     return top_k(out, [F.col("total_repeats").desc(), F.col("trade").asc()], k)
 
 
-def problem_chart(codes: DataFrame, k: int = 10, width: int = 28) -> DataFrame:
+def problem_chart(codes: DataFrame, k: int, width: int = 28) -> DataFrame:
     """T5 — the first ``k`` problem codes with a label cut to ``width`` characters."""
-    code = F.col("problem_code")
-    label = F.when(F.length(code) > width, F.concat(F.substring(code, 1, width - 2), F.lit("..."))).otherwise(code)
-    out = codes.select("trade", "problem_code", label.alias("label"), "repeat_count")
+    out = codes.select("trade", "problem_code", shorten("problem_code", width).alias("label"), "repeat_count")
     return top_k(out, [F.col("repeat_count").desc(), F.col("trade").asc(), F.col("problem_code").asc()], k)
 
 
-def top_stores(hotspots: DataFrame, k: int = 10, badges: int = 3) -> DataFrame:
-    """T5 — the first ``k`` hotspot stores with their first ``badges`` trades (trimmed)."""
-    parts = F.filter(F.transform(F.split(F.coalesce("top_trades", F.lit("")), ","), lambda x: F.trim(x)),
-                     lambda x: x != "")
-    out = hotspots.select("store_nbr", "city", "state", "total_repeats", "repeats_90d",
-                          F.array_join(F.slice(parts, 1, badges), ", ").alias("trade_badges"))
+def trade_badges(n: int = 3) -> Column:
+    """The first ``n`` entries of ``top_trades``, trimmed, without their prefixes."""
+    parts = F.filter(F.transform(F.split(F.coalesce("top_trades", F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
+    return F.array_join(F.transform(F.slice(parts, 1, n), lambda x: strip_label_prefixes(x, LABEL_PREFIXES)), ", ").alias("trade_badges")
+
+
+def top_stores(hotspots: DataFrame, k: int, badges: int = 3) -> DataFrame:
+    """T5 — the first ``k`` hotspot stores: director, number of trades, first trades as badges."""
+    out = hotspots.select("store_nbr", "city", "state", first_non_empty("fm_director", "sr_director").alias("director"),
+                          "total_repeats", "trades_affected", "repeats_90d", trade_badges(badges))
     return top_k(out, [F.col("total_repeats").desc(), F.col("store_nbr").asc()], k)
 
 
@@ -372,22 +377,22 @@ def store_list(hotspots: DataFrame, q: str = "", state: str = "", sort_key: str
     """V14 — search, state filter, sort by a measure (desc), severity (M6), one page."""
     if sort_key not in STORE_SORT:
         raise ValueError(f"sort_key must be one of {STORE_SORT}")
-    f = store_filtered(hotspots, q, state).withColumn("severity", band_above(num("repeats_90d"), 20, 10))
-    f = f.orderBy(num(sort_key).desc(), F.col("total_repeats").desc(), F.col("store_nbr").asc())
+    f = store_filtered(hotspots, q, state).select("*", trade_badges(), band_above("repeats_90d", *STORE_BAND).alias("severity"))
+    f = f.orderBy(F.col(sort_key).desc(), F.col("total_repeats").desc(), F.col("store_nbr").asc())
     return page(f, page_no, size)
 
 
 def store_chart(hotspots: DataFrame, q: str = "", state: str = "", sort_key: str = "total_repeats",
-                k: int = 20) -> DataFrame:
+                k: int | None = None) -> DataFrame:
     """T5 — the first ``k`` stores of the store list, labelled '#store city', with 90-day repeats."""
     if sort_key not in STORE_SORT:
         raise ValueError(f"sort_key must be one of {STORE_SORT}")
     f = store_filtered(hotspots, q, state).select(
         "store_nbr", F.concat(F.lit("#"), F.col("store_nbr").cast("string"), F.lit(" "),
                               F.coalesce("city", F.lit(""))).alias("label"),
-        num("repeats_90d").alias("repeats_90d"), num(sort_key).alias("_k"), "total_repeats")
-    out = top_k(f, [F.col("_k").desc(), F.col("total_repeats").desc(), F.col("store_nbr").asc()], k)
-    return out.drop("_k", "total_repeats")
+        "repeats_90d", F.col(sort_key).alias("_k"), F.col("total_repeats").alias("_t"))
+    out = top_k(f, [F.col("_k").desc(), F.col("_t").desc(), F.col("store_nbr").asc()], k)
+    return out.drop("_k", "_t")
 
 
 def store_count(hotspots: DataFrame, q: str = "", state: str = "") -> DataFrame:
@@ -402,30 +407,28 @@ def month_totals(trend: DataFrame) -> DataFrame:
 def top_trend(trend: DataFrame, k: int = 5) -> DataFrame:
     """V16 — dense month × top-k-trade grid of repeats, 0 where a trade has no row.
 
-    The grid is |months| × k rows: the month set and the k trades are folded
-    into one row by a global aggregate and exploded (no cross join); both are
-    bounded — months by the lookback, trades by ``k``.
+    The trend is folded to a row per trade, then to one row with the months and
+    the first ``k`` trades, and that row is exploded into the grid: the trend is
+    read once and nothing is joined.  A trade has at most a value per month.
     """
-    top = top_k(trend.groupBy("trade").agg(F.sum("total_repeats").alias("_tot")),
-                [F.col("_tot").desc(), F.col("trade").asc()], k)
-    ranked = top.select(F.struct(F.lit(0).alias("_"), F.col("trade")).alias("item"))
-    months = trend.select("month")
-    u = months.unionByName(ranked, allowMissingColumns=True)
-    g = u.agg(F.array_sort(F.collect_set("month")).alias("months"), F.collect_list("item").alias("items"))
-    grid = g.select(F.explode("months").alias("month"), "items") \
-        .select("month", F.explode("items").alias("it")).select("month", F.col("it.trade").alias("trade"))
-    rank = top.select("trade", "_tot")
-    out = grid.join(trend.select("month", "trade", "total_repeats"), ["month", "trade"], "left") \
-        .join(rank, "trade", "inner")
-    return out.select("month", "trade", strip_label_prefixes("trade", ("FM - ", "PM - ")).alias("label"),
-                      F.coalesce("total_repeats", F.lit(0)).cast("bigint").alias("total_repeats"),
-                      F.col("_tot").alias("trade_total")) \
+    each = trend.groupBy("trade").agg(
+        F.sum("total_repeats").alias("tot"), F.map_from_entries(F.collect_list(F.struct("month", "total_repeats"))).alias("by_month"))
+    item = F.struct((-F.col("tot")).alias("rank"), "trade", "by_month")
+    one = each.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("by_month"))))).alias("months"),
+                   F.collect_list(item).alias("items"))
+    first = F.slice(F.array_sort("items", lambda a, b: F.when(a["rank"] != b["rank"], F.sign(a["rank"] - b["rank"]).cast("int"))
+                                 .when(a["trade"] < b["trade"], -1).when(a["trade"] > b["trade"], 1).otherwise(0)), 1, k)
+    grid = one.select(F.explode("months").alias("month"), first.alias("items")).select("month", F.explode("items").alias("x"))
+    return grid.select("month", F.col("x.trade").alias("trade"), strip_label_prefixes(F.col("x.trade"), LABEL_PREFIXES).alias("label"),
+                       F.coalesce(F.try_element_at("x.by_month", "month"), F.lit(0)).cast("bigint").alias("total_repeats"),
+                       (-F.col("x.rank")).alias("trade_total")) \
         .orderBy("month", F.col("trade_total").desc(), "trade")
 
 
-def trend_table(trend: DataFrame, trade: str | None = None, limit: int = 200) -> DataFrame:
-    """V17 — rows by month (latest first), optionally one trade, first ``limit``."""
+def trend_table(trend: DataFrame, trade: str | None = None, limit: int | None = None) -> DataFrame:
+    """V17 — rows by month (latest first), optionally one trade; the first ``limit``, or all."""
     f = trend.filter(F.col("trade") == F.lit(trade)) if trade else trend
+    f = f.withColumn("label", strip_label_prefixes("trade", LABEL_PREFIXES))
     return top_k(f, [F.col("month").desc(), F.col("total_repeats").desc(), F.col("trade").asc()], limit)
 
 
@@ -449,7 +452,7 @@ def gap_filtered(detail: DataFrame, q: str = "", trade: str = "", state: str = "
     if director:
         cond = cond & either_equals("fm_director", "sr_director", director)
     if urgency:
-        cond = cond & (num("days_between") <= F.lit(float(urgency)))
+        cond = cond & (F.coalesce("days_between", F.lit(0)) <= F.lit(urgency))
     return d.filter(cond & contains_text(GAP_SEARCH, q)).drop("provider")
 
 
@@ -459,7 +462,7 @@ def gap_finder(detail: DataFrame, q: str = "", trade: str = "", state: str = "",
     """V10 — filter, search, sort and page the enriched repeat detail; adds the urgency band (M5)."""
     f = gap_filtered(detail, q, trade, state, director, urgency)
     if sort_key in GAP_SORT_NUM:
-        key = num(sort_key) if sort_key == "days_between" else F.col(sort_key)
+        key = F.coalesce(F.col(sort_key), F.lit(0)) if sort_key == "days_between" else F.col(sort_key)
     elif sort_key in GAP_SORT_TEXT:
         key = F.coalesce(F.col(sort_key).cast("string"), F.lit(""))
     else:
@@ -482,6 +485,8 @@ def extract_search(extract: DataFrame, q: str = "", page_no: int = 0, size: int
     Rows are ordered by all columns so that pages are stable.
     """
     cols = extract.columns
+    if not cols:  # an empty file has no header
+        return extract
     f = extract.filter(any_column_contains(cols, q))
     return page(f.orderBy(*[F.col(c).asc_nulls_first() for c in cols]), page_no, size)
 
@@ -492,6 +497,13 @@ def asset_counts_exploded(pairs: DataFrame) -> DataFrame:
     return pairs.select(*keys, F.explode("assets").alias("a")).select(*keys, "a.*")
 
 
+def recent_work_orders(pairs: DataFrame) -> DataFrame:
+    """F16 — the tracking numbers and descriptions of each group back to rows, from the native array of ``repeat_pairs_30d``."""
+    keys = ["store_nbr", "problem_type_desc", "problem_code_desc", "sc_trade_name", "category_name"]
+    rows = pairs.select(*keys, F.explode("recent").alias("x")).select(*keys, "x.*")
+    return rows.withColumn("description", F.trim("description")).filter(F.trim("tracking_nbr") != "")
+
+
 def asset_counts_from_text(pairs: DataFrame) -> DataFrame:
     """V19 on the export form: parse 'desc~tag~count,..' back to rows.
 
@@ -519,7 +531,7 @@ def gap_filter_options(detail: DataFrame) -> DataFrame:
     """
     items = F.array(
         F.struct(F.lit("trade").alias("field"), F.col("trade").alias("value"),
-                 strip_label_prefixes("trade", ("FM - ", "PM - ")).alias("label")),
+                 strip_label_prefixes("trade", LABEL_PREFIXES).alias("label")),
         F.struct(F.lit("state").alias("field"), F.col("state").alias("value"), F.col("state").alias("label")),
         F.struct(F.lit("director").alias("field"), first_non_empty("fm_director", "sr_director").alias("value"),
                  first_non_empty("fm_director", "sr_director").alias("label")))
@@ -527,8 +539,8 @@ def gap_filter_options(detail: DataFrame) -> DataFrame:
     return e.filter(F.col("value").isNotNull() & (F.col("value") != "")).distinct().orderBy("field", "value")
 
 
-def name_search(groups: DataFrame, q: str, limit: int = 20) -> DataFrame:
-    """V20 — type-ahead over the four organisation levels: distinct (level, name) containing q."""
+def name_search(groups: DataFrame, q: str, limit: int | None = None) -> DataFrame:
+    """V20 — type-ahead over the four organisation levels: distinct (level, name) containing q; the first ``limit``, or all."""
     items = F.array(*[F.struct(F.lit(k).alias("level"), F.col(k).alias("name")) for k in ORG_FILTERS])
     e = groups.select(F.explode(items).alias("x")).select("x.*")
     out = e.filter(F.col("name").isNotNull() & (F.col("name") != "") &

@@ -83,7 +83,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(d)
     return d
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a written intermediate table."""
-    return os.path.join(checkpoint_dir(spark), name)

@@ -1,84 +1,110 @@
 """S4–S9: saved results, BI CSV extracts, result sinks and exports.
 
-Results are persisted as parquet (typed, columnar); JSON and CSV are export
-formats.  Paths may be any Hadoop-compatible URI (object store, HDFS, local).
+A result is a folder of versions (``version=<n>/``, Parquet).  A write adds a
+version, and a reader takes the latest whose write was finished, so a failed or
+running write leaves the last good result in place.  JSON (one object per line)
+and CSV are export formats.  Paths may be any Hadoop-compatible URI.
 """
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_ROWS = 500_000  # the reference's result cap (parameter, off by default)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Driver-side metadata check through the Hadoop FileSystem of ``path``."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The finished versions of a result, oldest first.
+
+    A write shows its files when its job is committed (the default committer;
+    keep ``mapreduce.fileoutputcommitter.algorithm.version`` at 1), so a version
+    with files is a finished one.
+    """
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+        found = files.select(F.regexp_extract("path", r"version=(\d+)/[^/]+$", 1).alias("v")).where("v <> ''").distinct().collect()
+    except AnalysisException as e:
+        if e.getCondition() in ABSENT:
+            return []
+        raise
+    return sorted(int(r.v) for r in found)
+
+
 def load_result(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """S4 — a saved result set with its declared schema; an absent path reads as empty.
+    """S4 — a saved result with its declared schema; an absent one reads as empty.
 
-    ``fmt='json'`` reads a JSON-array export (``multiLine``) with the schema
-    (no inference), so numbers written as text are coerced once, here.
+    ``fmt='json'`` reads an export of :func:`export_json` with the schema (no
+    inference), so numbers written as text are coerced once, here.
     """
-    if not path_exists(spark, path):
-        return empty(spark, schema)
-    reader = spark.read.schema(schema)
     if fmt == "json":
-        return reader.option("multiLine", True).json(path)
-    return reader.format(fmt).load(path)
+        try:
+            return spark.read.schema(schema).json(path)
+        except AnalysisException as e:
+            if e.getCondition() in ABSENT:
+                return empty(spark, schema)
+            raise
+    found = versions(spark, path)
+    return spark.read.schema(schema).parquet(version_path(path, found[-1])) if found else empty(spark, schema)
 
 
-def read_extract(spark: SparkSession, path: str) -> DataFrame:
-    """S5 — a BI CSV extract: header row, every column text, columns known only at run time.
+def version_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/version={version}"
 
-    Quoted fields may hold commas and newlines (``multiLine``); malformed
-    UTF-8 bytes decode to U+FFFD instead of failing; an empty file is an
-    empty frame.
-    """
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], T.StructType([]))
-    df = (spark.read.option("header", True).option("multiLine", True).option("encoding", "UTF-8")
-          .option("mode", "PERMISSIVE").option("escape", '"').csv(path))
-    return df
 
+def write_result(df: DataFrame, path: str) -> str:
+    """S6 — a new version of one named result, all its rows; returns the version's path."""
+    at = version_path(path, time.time_ns())
+    df.write.parquet(at)
+    return at
 
-def write_result(df: DataFrame, path: str, fmt: str = "parquet", max_rows: int | None = None) -> None:
-    """S6 (+S8) — full overwrite of one named result; optional row cap (caps, never samples)."""
-    if max_rows is not None:
-        df = cap(df, max_rows)
-    df.write.mode("overwrite").format(fmt).save(path)
 
+def write_if_absent(spark: SparkSession, schema: T.StructType, path: str) -> None:
+    """S7 — an empty result with the declared schema where none was ever written, so readers keep working."""
+    if not versions(spark, path):
+        write_result(empty(spark, schema), path)
 
-def write_empty(spark: SparkSession, schema: T.StructType, path: str, fmt: str = "parquet") -> None:
-    """S7 — an empty result with the declared schema, so readers keep working."""
-    empty(spark, schema).write.mode("overwrite").format(fmt).save(path)
+
+def write_or_keep(spark: SparkSession, build, schema: T.StructType, path: str) -> str:
+    """S6/S7 — write ``build()``; on failure the last good result stays (an empty one if there is none), and the error goes on."""
+    try:
+        return write_result(build(), path)
+    except Exception:
+        write_if_absent(spark, schema, path)
+        raise
 
 
-def write_or_empty(spark: SparkSession, build, schema: T.StructType, path: str, fmt: str = "parquet") -> None:
-    """S6/S7 — write ``build()``; on failure leave an empty result behind, then re-raise.
+def read_extract(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """S5 — a BI CSV extract: header row, every column text, columns known only at run time.
 
-    (The reference swallows the failure; hiding it is the trap we avoid.)
+    Quoted fields may hold commas and, with ``multi_line``, line ends; such a file
+    is read by one task, so convert large ones once with :func:`ingest_extract`, or
+    turn it off where no field holds a line end and the file is split.  Malformed
+    UTF-8 decodes to U+FFFD; an empty or absent file is an empty frame.
     """
     try:
-        write_result(build(), path, fmt)
-    except Exception:
-        write_empty(spark, schema, path, fmt)
+        return (spark.read.option("header", True).option("multiLine", multi_line).option("encoding", "UTF-8")
+                .option("mode", "PERMISSIVE").option("escape", '"').csv(path))
+    except AnalysisException as e:
+        if e.getCondition() in ABSENT:
+            return spark.createDataFrame([], T.StructType([]))
         raise
 
 
-def cap(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """S8 — keep at most ``max_rows`` rows (the first ones of a sorted frame)."""
-    return df.limit(max_rows)
+def ingest_extract(spark: SparkSession, path: str, out: str, multi_line: bool = True) -> DataFrame:
+    """The extract as Parquet (all columns text), read again: queries on it are pruned and split."""
+    df = read_extract(spark, path, multi_line)
+    if not df.columns:
+        return df
+    return spark.read.parquet(write_result(df, out))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -7,7 +7,8 @@ sentinel technicians, unmatched dimension keys, padded asset names.
 
 Fixed values (must stay equal to the oracle SQL in ``oracle_queries.py``):
   AS_OF                = 2001-08-02 (orders run 1995-01-01 .. 2001-08-01)
-  store                = o_custkey % 100
+  fx_wo store          = o_custkey % 5 (few, so that groups are large)
+  fx_rec store         = o_custkey % 100
   fx_wo trade          = 'PM - HOUSEHOLD' for HOUSEHOLD, else 'FM - ' || segment
   fx_wo type           = 'PM' for '4-NOT SPECIFIED', else the order priority
   fx_wo code           = order status, NULL for 'P'
@@ -18,7 +19,7 @@ Fixed values (must stay equal to the oracle SQL in ``oracle_queries.py``):
   fx_dim fm_director   = '' when o_custkey % 13 = 0, else nation name
   fx_dim fs manager    = NULL when o_custkey % 4 = 0, else 'Manager ' || o_custkey % 25
   fx_dim technician    = 'None' / '' / NULL for o_custkey % 20 = 0 / 1 / 2, else 'Tech ' || o_custkey % 20
-  fx_rec trade         = NULL for BUILDING, else 'FM - ' || segment
+  fx_rec trade         = NULL for BUILDING, else 'FM - ' || segment, ' NIGHT' behind it when o_custkey // 100 is odd
   fx_rec flags         = gap <= 90 / 180 / 365 days to the customer's previous order
 """
 
@@ -53,7 +54,7 @@ def fx_workorders(spark: SparkSession, sf_dir: str) -> DataFrame:
     seg, key, cust = F.col("c_mktsegment"), F.col("o_orderkey"), F.col("o_custkey")
     return oc.select(
         key.alias("tracking_nbr"),
-        (cust % 100).alias("store_nbr"),
+        (cust % 5).alias("store_nbr"),
         F.when(seg == "HOUSEHOLD", F.lit("PM - HOUSEHOLD"))
          .otherwise(F.concat(F.lit("FM - "), seg)).alias("sc_trade_name"),
         seg.alias("category_name"),
@@ -106,7 +107,7 @@ def fx_recurring(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lag("o_orderkey").over(w).alias("prev_tracking_nbr"),
         (F.col("o_custkey") % 100).alias("store_nbr"),
         F.when(seg == "BUILDING", F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("FM - "), seg)).alias("sc_trade_name"),
+         .otherwise(F.concat(F.lit("FM - "), seg, F.when(F.expr("o_custkey div 100") % 2 == 1, " NIGHT").otherwise(""))).alias("sc_trade_name"),
         _txt(F.col("o_custkey")).alias("equip_tagid"),
         seg.alias("asset_type"),
         day.alias("call_date"),
@@ -122,11 +123,3 @@ def fx_recurring(spark: SparkSession, sf_dir: str) -> DataFrame:
         flag(90).alias("month3_flag"), flag(180).alias("month6_flag"), flag(365).alias("month12_flag"),
     )
 
-
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """R, W and S for one scale-factor directory."""
-    return {
-        "recurring": fx_recurring(spark, sf_dir),
-        "dim": fx_workorder_dim(spark, sf_dir),
-        "workorders": fx_workorders(spark, sf_dir),
-    }

@@ -1,4 +1,4 @@
-"""Paging, key-set paging, sort allow-lists, and the write-or-empty sink."""
+"""Paging, key-set paging, sort allow-lists, first-k, and the sink that keeps the last result."""
 
 import os
 import tempfile
@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recurwork import schemas
-from recurwork.operators.ordering import latest_k, page, page_after, sort_by_field
+from recurwork.operators.ordering import page, page_after, sort_by_field, top_k
 from recurwork.sources import files
 
 
@@ -42,20 +42,30 @@ def test_sort_field_allow_list(nums):
         sort_by_field(nums, "b; drop", True, {"x": "a"}, [])
 
 
-def test_latest_k_matches_plain_top_k(nums):
-    d = nums.select(F.date_add(F.lit("2001-01-01").cast("date"), F.col("a").cast("int")).alias("d"), "b")
-    order = [F.col("d").desc(), F.col("b").desc()]
-    for k in (1, 14, 15, 100, 236, 237, 500):
-        assert latest_k(d, "d", order, k).collect() == d.orderBy(*order).limit(k).collect()
+def test_first_k_bites_and_none_keeps_all(nums):
+    order = [F.col("a").desc(), F.col("b").desc()]
+    full = [tuple(r) for r in nums.orderBy(*order).collect()]
+    assert [tuple(r) for r in top_k(nums, order, 14).collect()] == full[:14]
+    assert [tuple(r) for r in top_k(nums, order, None).collect()] == full
 
 
-def test_write_or_empty_leaves_an_empty_result_and_raises(spark):
+def test_failed_write_keeps_the_last_result_and_raises(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="recurwork-fail-"), "pairs")
 
     def broken():
         raise RuntimeError("source unavailable")
 
     with pytest.raises(RuntimeError):
-        files.write_or_empty(spark, broken, schemas.REPEAT_PAIRS, path)
+        files.write_or_keep(spark, broken, schemas.REPEAT_PAIRS, path)
     back = files.load_result(spark, path, schemas.REPEAT_PAIRS)
-    assert back.count() == 0 and back.schema == schemas.REPEAT_PAIRS
+    assert back.count() == 0 and back.schema == schemas.REPEAT_PAIRS  # none before: an empty one
+
+    schema = spark.range(0).schema
+    for n in (7, 3):
+        files.write_or_keep(spark, lambda n=n: spark.range(n), schema, path + "2")
+    with pytest.raises(RuntimeError):
+        files.write_or_keep(spark, broken, schema, path + "2")
+    failing = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("late"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="late"):
+        files.write_or_keep(spark, lambda: failing, schema, path + "2")
+    assert files.load_result(spark, path + "2", schema).count() == 3

@@ -1,9 +1,11 @@
 """Plan checks: no Python in the plan, pushdown and pruning, bounded top-N and lists."""
 
+import re
+
 import pytest
 
-import __spark_entry__ as E
 from conftest import SMALL
+from recurwork.plans.catalog import QUERIES
 
 
 def plan_of(df) -> str:
@@ -12,7 +14,7 @@ def plan_of(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {k: plan_of(fn(spark, SMALL)) for k, fn in E.queries().items()}
+    return {k: plan_of(fn(spark, SMALL)) for k, fn in QUERIES.items()}
 
 
 def test_no_python_udf_anywhere(plans):
@@ -27,16 +29,17 @@ def test_no_cartesian_products(plans):
 
 
 def test_scans_are_pruned_and_filtered(spark):
-    p = plan_of(E.queries()["repeats_by_trade"](spark, SMALL))
+    p = plan_of(QUERIES["repeats_by_trade"](spark, SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in p \
         or "o_comment" not in p
     assert "o_comment" not in p and "o_clerk" not in p
     assert "PushedFilters: [IsNotNull(o_custkey)]" in p
 
 
-def test_top_k_is_take_ordered(plans):
-    for k in ("repeats_by_trade", "problem_codes", "store_hotspots", "tech_repeats", "trend_table"):
-        assert "TakeOrderedAndProject" in plans[k], k
+def test_a_first_k_is_take_ordered_and_no_range_sort_feeds_it(plans):
+    for k in ("trade_bands_first", "trade_chart", "problem_chart", "top_stores", "store_chart", "store_list", "gap_finder"):
+        assert "TakeOrderedAndProject" in plans[k] or "CollectLimit" in plans[k], k
+        assert "rangepartitioning" not in plans[k], k
 
 
 def test_bounded_lists_use_window_group_limit(plans):
@@ -44,8 +47,43 @@ def test_bounded_lists_use_window_group_limit(plans):
     assert plans["repeat_pairs_30d"].count("WindowGroupLimit") >= 4
 
 
-def test_detail_top_k_is_cut_by_a_date_subquery(plans):
-    assert "Subquery" in plans["repeat_detail"]
+R_KEYS = ("repeats_by_trade", "problem_codes", "store_hotspots", "monthly_trend", "repeat_detail", "kpi_overview", "trade_summary",
+          "trade_codes", "top5_trend", "month_totals")
+W_KEYS = ("tech_repeats", "store_list", "top_stores", "gap_finder", "gap_finder_search", "gap_count")
+
+
+def test_r_is_read_once(plans):
+    # the fixture R reads orders once, the fixture W once more
+    for k in R_KEYS + W_KEYS:
+        want = 2 if k in W_KEYS + ("store_hotspots",) else 1
+        assert plans[k].count("o_orderdate") and scans(plans[k], "orders") == want, k
+
+
+def scans(plan: str, table: str) -> int:
+    return len(re.findall(rf"FileScan parquet [^\n]*/{table}\.parquet", plan))
+
+
+def test_lists_assets_and_w_follow_the_surviving_groups(spark):
+    """Each of them is fed by a semi-join with the measures."""
+    p = spark_plan(QUERIES["repeat_pairs_30d"](spark, SMALL))
+    assert p.count("Join LeftSemi") >= 3  # organisation, lists and assets
+
+
+def spark_plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_operator_runs_a_job_when_called(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "building plans")
+    try:
+        for k in ("repeat_pairs_all", "store_slice", "by_problem_filtered", "gap_finder", "top5_trend", "kpi_overview"):
+            QUERIES[k](spark, SMALL)
+        # reading a Parquet footer for the schema is the only job a plan may need
+        assert all("parquet" in (stage.name if (stage := tracker.getStageInfo(s)) else "parquet")
+                   for j in tracker.getJobIdsForGroup("lazy") for s in tracker.getJobInfo(j).stageIds)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_cluster_conf_sizes_partitions():
@@ -56,20 +94,10 @@ def test_cluster_conf_sizes_partitions():
     assert int(cluster_conf(8, 1 << 20)["spark.sql.shuffle.partitions"]) == 24
 
 
-def test_capped_detail_prefilters_w_with_bounded_broadcast(spark):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if every table were large
-    try:
-        p = plan_of(E.queries()["gap_finder_search"](spark, SMALL))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin [tracking_nbr], [tracking_nbr], LeftSemi" in p.replace("#", " ").replace("  ", " ") \
-        or "LeftSemi, BuildRight" in p
-
-
 def test_w_gets_a_runtime_bloom_filter_at_scale(spark):
     """With scale-sized thresholds, Spark pre-filters W by the work orders' keys before shuffling it."""
-    from recurwork.operators.repeats import ranked
+    from recurwork.operators.dimension import enrich
+    from recurwork.operators.repeats import work_orders
     from recurwork.sources.fixtures import AS_OF, fx_workorder_dim, fx_workorders
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
@@ -78,7 +106,7 @@ def test_w_gets_a_runtime_bloom_filter_at_scale(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        p = plan_of(ranked(fx_workorders(spark, SMALL), fx_workorder_dim(spark, SMALL), AS_OF, 3))
+        p = plan_of(enrich(work_orders(fx_workorders(spark, SMALL), AS_OF, 3), fx_workorder_dim(spark, SMALL), ["fm_director"]))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
