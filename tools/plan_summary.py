@@ -1,6 +1,6 @@
-"""Summarise the physical plan of every registered query (docs/PLANS.md).
+"""Summarise the physical plan of every registered query as a table.
 
-usage: python tools/plan_summary.py [sf_dir] > docs/PLANS.md
+usage: python tools/plan_summary.py [sf_dir]
 
 Counts the operators that matter at scale in each query's physical plan
 (before AQE re-planning): shuffles by kind, broadcasts, join strategies,
@@ -41,8 +41,7 @@ def main(argv):
     head = ["query"] + [n for n, _ in NODES] + ["pushed filters", "python"]
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tools/plan_summary.py {sf_dir}` (plans before AQE re-planning; at this size AQE")
-    print("turns several sort-merge joins into broadcasts, and the pair views read a checkpointed `ranked`,")
-    print("so their plans start from the checkpoint).  Partial/final pairs count twice.\n")
+    print("turns several sort-merge joins into broadcasts).  Partial/final pairs count twice.\n")
     print("| " + " | ".join(head) + " |")
     print("|" + " --- |" * len(head))
     for key, fn in QUERIES.items():
