@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurwork.llm.common import code_points, map_rows, mix64, written
+from recurwork.llm.common import code_points, map_rows, mix64, slices, written
 from recurwork.llm.components import components
 
 WORDS = 5
@@ -201,11 +201,12 @@ def shingled(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spaces = space_table()
         for batch in batches:
-            own = [shingles_of(t or "", spaces) for t in batch.column("text").to_pylist()]
-            right = [len(s) > 0 and set_key(s) == k for s, k in zip(own, batch.column("key").to_pylist(), strict=True)]
-            at = batch.schema.get_field_index("text")
-            batch = batch.set_column(at, "own", pa.array([s.tobytes() for s in own], pa.binary()))
-            yield batch.filter(pa.array(right, pa.bool_()))
+            for part in slices(batch):
+                own = [shingles_of(t or "", spaces) for t in part.column("text").to_pylist()]
+                right = [len(s) > 0 and set_key(s) == k for s, k in zip(own, part.column("key").to_pylist(), strict=True)]
+                at = part.schema.get_field_index("text")
+                part = part.set_column(at, "own", pa.array([s.tobytes() for s in own], pa.binary()))
+                yield part.filter(pa.array(right, pa.bool_()))
 
     fields = ", ".join("own binary" if f.name == "text" else f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, fields)
@@ -234,7 +235,8 @@ def classes(docs: DataFrame, trees: int = 32, recall: float = 0.9999) -> tuple[D
     member = written(member.join(sizes, "cluster").withColumn("block", F.pmod(F.hash("key"), F.col("blocks"))), "ngram-members")
     texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), told(), "text")
     wanted = member.select("cluster", "key", "copies", "block", "blocks", F.col("rep.id").alias("id"), F.col("rep.told").alias("told"))
-    sets = shingled(wanted.join(texts, ["id", "told"]).select("cluster", "key", "copies", "block", "blocks", "text"))
+    # Always a shuffle join: the members grow with the corpus, so the plan is the same at every size.
+    sets = shingled(wanted.hint("merge").join(texts, ["id", "told"]).select("cluster", "key", "copies", "block", "blocks", "text"))
     paired = (sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "key", "copies", "block", "own"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -274,5 +276,5 @@ def one_of_each(docs: DataFrame, trees: int = 32, recall: float = 0.9999) -> Dat
     repeated = written(best.where("n > 1").drop("n"), "ngram-repeated")
     own = docs.withColumns({"_ng_id": F.coalesce("doc_id", F.lit(NO_ID)), "_ng_told": F.xxhash64("text")})
     on = ["_ng_id", "_ng_told"]
-    return (own.join(once, on, "left_semi").unionByName(own.join(repeated, on, "left_semi").dropDuplicates(on))
+    return (own.join(once.hint("merge"), on, "left_semi").unionByName(own.join(repeated, on, "left_semi").dropDuplicates(on))
             .select(*docs.columns))
