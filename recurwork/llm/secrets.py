@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recurwork.llm.common import map_rows, sha256_hex
+from recurwork.llm.common import map_rows, sha256_hex, slices
 
 # The base patterns, with the fewest characters that count, in the order of report.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -203,8 +203,9 @@ def redact_documents(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            clean = [redact(t, mark) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(clean, type=batch.schema.field(at).type))
+            for part in slices(batch):
+                clean = [redact(t, mark) for t in part.column(at).to_pylist()]
+                yield part.set_column(at, part.schema.field(at), pa.array(clean, type=part.schema.field(at).type))
 
     out = docs.mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
