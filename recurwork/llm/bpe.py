@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import base64
 import gc
+from array import array
+
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -80,9 +82,10 @@ class Transducer:
         self.forget()
 
     def forget(self) -> None:
-        #: Last token, pending bytes, and for each prefix of these its chain of tokens (None: no use any more).
-        self.states: list[tuple[int, bytes, tuple]] = [(NONE, b"", ((),))]
+        #: Last token, pending bytes, and the tokens of these if nothing follows.
+        self.states: list[tuple[int, bytes, tuple[int, ...]]] = [(NONE, b"", ())]
         self.index: dict[tuple, int] = {}
+        self.guards: dict[tuple[int, ...], tuple[int, ...]] = {}
         self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
 
     def right_edge(self, token: int) -> list[int]:
@@ -117,12 +120,12 @@ class Transducer:
                 i -= 1
             else:
                 j -= 1
-        if len(self.seams) >= 4 * self.max_states:
+        if len(self.seams) >= self.max_states:
             self.seams.clear()
         self.seams[(left, right)] = ok
         return ok
 
-    def guard(self, last: int, pending: bytes) -> tuple[tuple[int, int], ...]:
+    def guard(self, last: int, pending: bytes) -> tuple[int, ...]:
         """What of the last token can still matter: its parts at the seam that some
         token across the seam, consistent with the pending bytes, would take before
         the merge inside the last token does.  States that agree in this are one.
@@ -135,38 +138,45 @@ class Transducer:
             for i in range(1, len(pending) + 1):
                 over = text + pending[:i]
                 if self.ranks.get(over, NEVER) < end:
-                    out.append((part, end))
+                    out += part, end
                     break
                 if over not in self.open:
                     break
             else:
                 if self.open.get(text + pending, NEVER) < end:
-                    out.append((part, end))
-        return tuple(out)
+                    out += part, end
+        return self.guards.setdefault(tuple(out), tuple(out))
+
+    def chains(self, last: int, pending: bytes) -> list[tuple[int, ...] | None]:
+        """For each prefix of ``pending`` its chain of tokens after ``last``."""
+        out: list[tuple[int, ...] | None] = [()]
+        for end in range(1, len(pending) + 1):
+            found = None
+            for start in range(max(0, end - self.longest), end):
+                before, token = out[start], self.reachable.get(pending[start:end])
+                if token is not None and before is not None and self.adjacent(before[-1] if before else last, token):
+                    found = (*before, token)
+                    break
+            out.append(found)
+        return out
 
     def make_step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, pending, chains = self.states[state]
+        last, pending, _ = self.states[state]
         pending += bytes((byte,))
-        end, found = len(pending), None
-        for start in range(max(0, end - self.longest), end):
-            before, token = chains[start], self.reachable.get(pending[start:])
-            if token is not None and before is not None and self.adjacent(before[-1] if before else last, token):
-                found = (*before, token)
-                break
-        chains = (*(c if pending[i:] in self.open else None for i, c in enumerate(chains)), found)
-        live = [c for c in chains if c is not None]
+        chains = self.chains(last, pending)
+        # Only at these boundaries can a token start that is not yet read to its end.
+        live = [c for i, c in enumerate(chains) if c is not None and (i == len(pending) or pending[i:] in self.open)]
         emit = 0
         while all(len(c) > emit for c in live) and len({c[emit] for c in live}) == 1:
             emit += 1
-        out = live[0][:emit]
+        out, rest = live[0][:emit], chains[-1][emit:]
         if out:
-            last, cut = out[-1], sum(len(self.bytes_of[t]) for t in out)
-            pending, chains = pending[cut:], tuple(c if c is None else c[emit:] for c in chains[cut:])
+            last, pending = out[-1], pending[sum(len(self.bytes_of[t]) for t in out):]
         key = (self.guard(last, pending), pending)
         to = self.index.get(key)
         if to is None:
             to = self.index[key] = len(self.states)
-            self.states.append((last, pending, chains))
+            self.states.append((last, pending, rest))
             self.steps.append({})
         self.steps[state][byte] = (to, out)
         return to, out
@@ -184,7 +194,7 @@ class Transducer:
             state, emitted = step if step is not None else self.make_step(state, byte)
             if emitted:
                 out.extend(emitted)
-        out.extend(self.states[state][2][-1])
+        out.extend(self.states[state][2])
         return out
 
 
@@ -239,34 +249,44 @@ class StreamDecoder:
 
 
 class Codec:
-    """The transducer and decoder of one vocabulary, with a bounded memory of pieces."""
+    """The transducer and decoder of one vocabulary, with a bounded memory of pieces.
+
+    A piece is remembered among the ``young`` when first met and for good when met
+    again; either memory is emptied when full.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], parts: dict[int, tuple[int, int]], pattern: str, max_pieces: int = 3 << 18):
-        self.machine = Transducer(ranks, parts)
+    def __init__(self, ranks: dict[bytes, int], parts: dict[int, tuple[int, int]], pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 18):
+        self.machine = Transducer(ranks, parts, max_states)
         self.decoder = StreamDecoder(self.machine.bytes_of)
         self.pattern, self.compiled, self.max_pieces = pattern, None, max_pieces
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        #: Ids as four bytes each.
+        self.pieces: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
         self.decimal = {r: str(r) for r in ranks.values()}
 
     def __reduce__(self):
-        return Codec, (self.machine.ranks, self.machine.parts, self.pattern, self.max_pieces)
+        return Codec, (self.machine.ranks, self.machine.parts, self.pattern, self.max_pieces, self.machine.max_states)
+
+    def unknown(self, piece: str) -> bytes:
+        ids = self.young.pop(piece, None)
+        if ids is not None:
+            if len(self.pieces) >= self.max_pieces:
+                self.pieces.clear()
+            self.pieces[piece] = ids
+            return ids
+        ids = array("I", self.machine.encode(piece.encode("utf-8", "surrogatepass"))).tobytes()
+        if len(piece) <= 64:
+            if len(self.young) >= self.max_pieces // 2:
+                self.young.clear()
+            self.young[piece] = ids
+        return ids
 
     def encode(self, text: str) -> list[int]:
         if self.compiled is None:
             self.compiled = regex.compile(self.pattern)
-        out: list[int] = []
-        pieces, extend = self.pieces, out.extend
-        for m in self.compiled.finditer(text) if len(text) > 1 << 20 else self.compiled.findall(text):
-            piece = m if m.__class__ is str else m.group()
-            ids = pieces.get(piece)
-            if ids is None:
-                ids = tuple(self.machine.encode(piece.encode("utf-8", "surrogatepass")))
-                if len(piece) <= 64:
-                    if len(pieces) >= self.max_pieces:
-                        pieces.clear()
-                    pieces[piece] = ids
-            extend(ids)
-        return out
+        known, unknown = self.pieces.get, self.unknown
+        found = (m.group() for m in self.compiled.finditer(text)) if len(text) > 1 << 20 else self.compiled.findall(text)
+        return array("I", b"".join([known(p) or unknown(p) for p in found])).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return self.decoder.decode(ids)
@@ -275,32 +295,37 @@ class Codec:
         return ",".join(map(self.decimal.__getitem__, ids))
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 18) -> Codec:
     ranks = read_ranks(path)
-    return Codec(ranks, compile_merges(ranks), pattern)
+    return Codec(ranks, compile_merges(ranks), pattern, max_pieces, max_states)
 
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def encode_documents(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode_documents(spark: SparkSession, docs: DataFrame, path: str, pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 18) -> DataFrame:
     """Ids and digests of every text: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
     The vocabulary (a file of fixed size, read on the driver) is broadcast; a
-    worker keeps its machine from task to task.
+    worker keeps its machine from task to task.  ``max_pieces`` and ``max_states``
+    bound what it remembers (about 0.4 GB a worker by default); less makes it
+    slower and changes no result.
     """
-    shared = spark.sparkContext.broadcast(codec(path, pattern))
+    shared = spark.sparkContext.broadcast(codec(path, pattern, max_pieces, max_states))
 
     def run(columns: list[list]) -> list[list]:
-        gc.disable()  # the machine's tables hold no cycles, and looking for some costs more than encoding
         own = shared.value
         counts, ids_hex, back_hex = [], [], []
-        for text in columns[1]:
-            ids = own.encode(text or "")
-            counts.append(len(ids))
-            ids_hex.append(sha256_hex(own.joined(ids).encode()))
-            back_hex.append(sha256_hex(own.decode(ids).encode("utf-8", "surrogatepass")))
+        gc.disable()  # the machine's tables hold no cycles, and looking for some costs more than encoding
+        try:
+            for text in columns[1]:
+                ids = own.encode(text or "")
+                counts.append(len(ids))
+                ids_hex.append(sha256_hex(own.joined(ids).encode()))
+                back_hex.append(sha256_hex(own.decode(ids).encode("utf-8", "surrogatepass")))
+        finally:
+            gc.enable()
         return [columns[0], counts, ids_hex, back_hex]
 
     return map_rows(docs.select("doc_id", "text"), run, SCHEMA, ARROW)
