@@ -2,13 +2,21 @@
 
 A page is cut at its block-level tags into a flat list of text blocks.  Each has
 its word count and link density, those of its two neighbours, whether it stands
-in boilerplate elements or under names that say so, and where the article is.  A
+in boilerplate elements or under names that say so (2 for what is never the text
+itself, 1 for forms and names of mere layout), and where the article is.  A
 decision tree, grown by :func:`grow` from the labelled table ``LABELLED``, says
 which blocks are content; these make the text, joined by one line end, white
 space inside a block (line breaks too) turned into one space.
 
+A mark counts for all that is inside its element, except where the element only
+wraps the text (:func:`settle`): marks that hold most of the words of the page or
+article count for nothing, and those round an <article> or <main> end there, unless
+the article stands elsewhere (comments and teasers are often <article>s too).
+
 The markup may be broken: tags that are not closed are closed by what follows
-them, an unfinished tag or comment at the end is dropped.  Null or empty html
+them (of the elements that are skipped whole, all but script, style, textarea and
+title end at the next block tag then), an unfinished tag or comment at the end is
+dropped.  Null or empty html
 gives an empty text.  Pages are read whole, row by row; repeated rows give
 repeated rows; other columns are ignored.
 """
@@ -26,6 +34,8 @@ from recurwork.llm.common import map_rows
 # Kinds of elements, and names that mark boilerplate or the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg canvas object select button".split())
+RAW_TO_END = frozenset("script style textarea title".split())  # if not closed
+ONE_AT_A_TIME = frozenset("select button".split())  # the next one ends an open one
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
@@ -37,6 +47,11 @@ NAMES = frozenset(
     "widget disqus replies reply respond discussion login signup subscribe toolbar pagination pager skip masthead breadcrumb "
     "breadcrumbs overlay paywall topbar teaser recommended".split())
 STEMS = ("comment", "advert", "sponsor", "promo", "cookie", "consent", "gdpr", "newsletter", "sidebar", "notification", "disclaimer")
+#: Marks of layout, which text may stand in as well: the tree weighs its words and links.
+LAYOUT = frozenset("<form> <fieldset> @form widget teaser overlay".split())
+MOST_ROUNDS = 16  # then a mark that wraps goes from all that it is nested in, too
+#: Marks of what readers write, which may be far more than the text.
+TALK = frozenset("comment disqus replies reply respond discussion".split())
 OUTER_NAMES = frozenset("header".split())  # outside of the article only
 ARTICLE_NAMES = frozenset("article articlebody post entry story content maincontent main".split())
 UNNAMED = frozenset("html body article main".split())  # their names tell of the page, not of a part
@@ -49,9 +64,11 @@ TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
                  r"""|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORD = re.compile(r"[A-Za-z]+")
+BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 FEATURES = ("boiler", "named", "place", "words", "links", "before_words", "before_links", "after_words", "after_links")
+MARKS = 2  # the first features; each grade of them has a tree of its own below
 IN_MAIN, NO_MAIN, OUTSIDE = 2, 1, 0
 
 # The labelled table.  Per row the features in the order above, then 1 for content.
@@ -61,28 +78,41 @@ LABELLED = [
     (0, 0, 2, 1, 1.0, 1, 1.0, 1, 1.0, 1), (0, 0, 2, 2, 0.0, 0, 0.0, 0, 0.0, 1), (0, 0, 2, 12, 1.0, 30, 0.0, 9, 1.0, 1),
     (0, 0, 2, 7, 0.0, 3, 1.0, 6, 0.0, 1), (0, 0, 2, 25, 0.5, 0, 0.0, 4, 0.3, 1), (0, 0, 2, 300, 0.0, 0, 0.0, 0, 0.0, 1),
     (0, 0, 2, 4, 0.0, 2, 1.0, 200, 0.0, 1), (0, 0, 2, 3, 0.3, 1, 0.0, 1, 0.0, 1), (0, 0, 2, 40, 0.0, 5, 0.0, 6, 0.0, 1),
-    (1, 0, 2, 1, 1.0, 60, 0.0, 1, 1.0, 0), (1, 0, 2, 20, 0.0, 120, 0.0, 9, 0.0, 0), (1, 0, 2, 5, 0.0, 30, 0.0, 0, 0.0, 0),
-    (0, 1, 2, 30, 0.0, 90, 0.0, 40, 0.0, 0), (0, 1, 2, 6, 0.0, 2, 0.0, 4, 0.0, 0), (0, 1, 2, 3, 1.0, 3, 1.0, 3, 1.0, 0),
-    (0, 1, 2, 80, 0.0, 50, 0.0, 70, 0.0, 0), (1, 1, 2, 9, 0.2, 80, 0.0, 5, 0.0, 0), (1, 0, 2, 45, 0.1, 80, 0.0, 50, 0.0, 0),
-    (1, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (1, 0, 0, 1, 1.0, 1, 1.0, 9, 0.0, 0), (1, 0, 0, 14, 0.0, 60, 0.0, 0, 0.0, 0),
-    (1, 0, 0, 50, 0.0, 80, 0.0, 0, 0.0, 0), (0, 1, 0, 9, 0.0, 1, 1.0, 8, 0.0, 0), (0, 1, 0, 40, 0.0, 6, 0.0, 120, 0.0, 0),
+    (2, 0, 2, 1, 1.0, 60, 0.0, 1, 1.0, 0), (2, 0, 2, 20, 0.0, 120, 0.0, 9, 0.0, 0), (2, 0, 2, 5, 0.0, 30, 0.0, 0, 0.0, 0),
+    (0, 2, 2, 30, 0.0, 90, 0.0, 40, 0.0, 0), (0, 2, 2, 6, 0.0, 2, 0.0, 4, 0.0, 0), (0, 2, 2, 3, 1.0, 3, 1.0, 3, 1.0, 0),
+    (0, 2, 2, 80, 0.0, 50, 0.0, 70, 0.0, 0), (2, 2, 2, 9, 0.2, 80, 0.0, 5, 0.0, 0), (2, 0, 2, 45, 0.1, 80, 0.0, 50, 0.0, 0),
+    (2, 0, 0, 1, 1.0, 0, 0.0, 1, 1.0, 0), (2, 0, 0, 1, 1.0, 1, 1.0, 9, 0.0, 0), (2, 0, 0, 14, 0.0, 60, 0.0, 0, 0.0, 0),
+    (2, 0, 0, 50, 0.0, 80, 0.0, 0, 0.0, 0), (0, 2, 0, 9, 0.0, 1, 1.0, 8, 0.0, 0), (0, 2, 0, 40, 0.0, 6, 0.0, 120, 0.0, 0),
     (0, 0, 0, 6, 0.0, 1, 1.0, 60, 0.0, 0), (0, 0, 0, 35, 0.0, 4, 1.0, 70, 0.0, 0), (0, 0, 0, 80, 0.0, 90, 0.0, 0, 0.0, 0),
-    (0, 0, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0), (0, 0, 0, 2, 0.0, 0, 0.0, 5, 0.0, 0), (1, 1, 0, 5, 0.5, 5, 0.5, 5, 0.5, 0),
+    (0, 0, 0, 3, 1.0, 3, 1.0, 3, 1.0, 0), (0, 0, 0, 2, 0.0, 0, 0.0, 5, 0.0, 0), (2, 2, 0, 5, 0.5, 5, 0.5, 5, 0.5, 0),
     (0, 0, 1, 120, 0.0, 8, 0.0, 95, 0.0, 1), (0, 0, 1, 45, 0.1, 120, 0.0, 60, 0.0, 1), (0, 0, 1, 22, 0.0, 2, 1.0, 50, 0.0, 1),
     (0, 0, 1, 16, 0.2, 60, 0.0, 30, 0.0, 1), (0, 0, 1, 200, 0.05, 0, 0.0, 0, 0.0, 1), (0, 0, 1, 30, 0.0, 80, 0.0, 3, 1.0, 1),
     (0, 0, 1, 3, 0.0, 40, 0.0, 60, 0.0, 1), (0, 0, 1, 6, 0.0, 4, 1.0, 90, 0.0, 1), (0, 0, 1, 1, 0.0, 70, 0.0, 45, 0.1, 1),
     (0, 0, 1, 8, 0.0, 35, 0.0, 25, 0.0, 1), (0, 0, 1, 5, 0.0, 55, 0.0, 2, 1.0, 0), (0, 0, 1, 2, 0.0, 3, 1.0, 3, 1.0, 0),
     (0, 0, 1, 1, 1.0, 1, 1.0, 1, 1.0, 0), (0, 0, 1, 4, 1.0, 60, 0.0, 70, 0.0, 0), (0, 0, 1, 30, 0.9, 5, 1.0, 40, 0.0, 0),
     (0, 0, 1, 18, 1.0, 20, 1.0, 16, 0.9, 0), (0, 0, 1, 9, 0.0, 60, 0.0, 0, 0.0, 0), (0, 0, 1, 7, 0.3, 0, 0.0, 6, 0.6, 0),
-    (1, 0, 1, 60, 0.0, 80, 0.0, 0, 0.0, 0), (1, 0, 1, 2, 1.0, 2, 1.0, 2, 1.0, 0), (1, 0, 1, 20, 0.0, 40, 0.0, 90, 0.0, 0),
-    (0, 1, 1, 50, 0.0, 90, 0.0, 60, 0.0, 0), (0, 1, 1, 8, 0.0, 50, 0.0, 40, 0.0, 0), (0, 1, 1, 2, 1.0, 1, 1.0, 30, 0.0, 0),
+    (2, 0, 1, 60, 0.0, 80, 0.0, 0, 0.0, 0), (2, 0, 1, 2, 1.0, 2, 1.0, 2, 1.0, 0), (2, 0, 1, 20, 0.0, 40, 0.0, 90, 0.0, 0),
+    (0, 2, 1, 50, 0.0, 90, 0.0, 60, 0.0, 0), (0, 2, 1, 8, 0.0, 50, 0.0, 40, 0.0, 0), (0, 2, 1, 2, 1.0, 1, 1.0, 30, 0.0, 0),
+    # in forms and under names of layout
+    (0, 1, 2, 80, 0.0, 50, 0.0, 70, 0.0, 1), (0, 1, 2, 45, 0.1, 5, 0.0, 60, 0.0, 1), (0, 1, 2, 9, 0.0, 80, 0.0, 60, 0.0, 0),
+    (0, 1, 2, 3, 1.0, 3, 1.0, 3, 1.0, 0), (0, 1, 2, 40, 1.0, 60, 0.0, 50, 0.0, 0), (0, 1, 2, 14, 0.0, 2, 0.0, 4, 0.0, 0),
+    (1, 0, 2, 90, 0.0, 60, 0.0, 40, 0.0, 1), (1, 0, 2, 50, 0.1, 3, 0.0, 45, 0.0, 1), (1, 0, 2, 12, 0.0, 60, 0.0, 2, 0.0, 0),
+    (1, 0, 2, 2, 0.0, 90, 0.0, 1, 0.0, 0), (1, 1, 2, 70, 0.0, 60, 0.0, 60, 0.0, 1), (1, 1, 2, 6, 0.0, 40, 0.0, 2, 0.0, 0),
+    (0, 1, 1, 90, 0.0, 60, 0.0, 50, 0.0, 1), (0, 1, 1, 50, 0.1, 4, 0.0, 60, 0.0, 1), (0, 1, 1, 15, 0.0, 50, 0.0, 40, 0.0, 0),
+    (0, 1, 1, 4, 1.0, 4, 1.0, 4, 1.0, 0), (0, 1, 1, 45, 1.0, 60, 0.0, 60, 0.0, 0), (1, 0, 1, 80, 0.0, 50, 0.0, 60, 0.0, 1),
+    (1, 0, 1, 60, 0.1, 3, 0.0, 40, 0.0, 1), (1, 0, 1, 12, 0.0, 60, 0.0, 3, 0.0, 0), (1, 0, 0, 60, 0.0, 90, 0.0, 0, 0.0, 0),
+    (0, 1, 0, 70, 0.0, 60, 0.0, 9, 0.0, 0), (0, 1, 2, 70, 1.0, 50, 0.0, 45, 0.0, 0), (0, 1, 1, 90, 1.0, 60, 0.0, 50, 0.0, 0),
+    (1, 0, 2, 80, 0.9, 50, 0.0, 60, 0.0, 0), (1, 0, 1, 70, 0.9, 50, 0.0, 60, 0.0, 0),
+    (1, 1, 2, 60, 0.9, 40, 0.0, 50, 0.0, 0), (1, 1, 1, 60, 0.1, 50, 0.0, 50, 0.0, 1), (1, 1, 0, 60, 0.0, 50, 0.0, 50, 0.0, 0),
+    (1, 0, 2, 90, 0.0, 60, 0.0, 0, 0.0, 1), (1, 0, 2, 12, 0.0, 60, 0.0, 50, 0.0, 0), (1, 0, 1, 15, 0.0, 3, 0.0, 60, 0.0, 0),
+    (1, 1, 2, 70, 0.0, 2, 0.0, 0, 0.0, 1), (1, 1, 2, 6, 0.0, 60, 0.0, 50, 0.0, 0), (1, 1, 1, 8, 0.0, 50, 0.0, 60, 0.0, 0),
 ]
 
 Tree = tuple | int
 
 
 def grow(rows: list[tuple], least: int = 1) -> Tree:
-    """A decision tree by Gini impurity: (feature, bound, tree up to it, tree above it), or a label."""
+    """A decision tree by Gini impurity, split by marks first: (feature, bound, tree up to it, tree above it), or a label."""
 
     def impurity(part: list[tuple]) -> float:
         p = sum(r[-1] for r in part) / len(part)
@@ -91,7 +121,8 @@ def grow(rows: list[tuple], least: int = 1) -> Tree:
     if impurity(rows) == 0:
         return rows[0][-1]
     best = None
-    for f in range(len(FEATURES)):
+    marked = [f for f in range(MARKS) if len({r[f] for r in rows}) > 1]
+    for f in marked or range(len(FEATURES)):
         values = sorted({r[f] for r in rows})
         for a, b in zip(values, values[1:], strict=False):
             low, high = [r for r in rows if r[f] <= a], [r for r in rows if r[f] > a]
@@ -121,31 +152,128 @@ def name_words(attrs: dict[str, str]) -> list[list[str]]:
     return [[w.lower() for w in WORD.findall(CAMEL.sub(" ", name))] for name in (attrs.get("class", "") + " " + attrs.get("id", "")).split()]
 
 
-def is_named(words: list[list[str]], names: frozenset[str], stems: tuple[str, ...] = ()) -> bool:
-    return any((w in names or w.startswith(stems)) if stems else w in names
-               for own in words if not NEGATIONS & set(own) for w in own)
+def named_by(words: list[list[str]], names: frozenset[str], stems: tuple[str, ...] = ()) -> set[str]:
+    """The names and stems that the words of classes and id show."""
+    found = set()
+    for own in words:
+        if not NEGATIONS & set(own):
+            found.update(w for w in own if w in names)
+            found.update(k for w in own if w.startswith(stems) for k in stems if w.startswith(k))
+    return found
 
 
 class Element:
-    """An open element; the marks count for all that is inside it."""
+    """An element with its own marks; ``settle`` says which of them count, for it and for all that is inside it."""
 
-    __slots__ = ("article", "boiler", "hidden", "link", "main", "name", "named")
+    __slots__ = ("above", "article", "boiler", "closed", "free", "free_mains", "good", "hidden", "holds", "inside", "link", "main", "mains", "marks", "name",
+                 "named", "open", "opened", "own", "parent", "place")
 
     def __init__(self, name: str, attrs: dict[str, str], parent: Element | None):
-        up = parent or self
-        if parent is None:
-            self.boiler = self.named = self.main = self.article = self.link = self.hidden = False
-        words = name_words(attrs) if attrs and name not in UNNAMED else []
-        self.name = name
-        self.main = up.main or name in MAIN or attrs.get("role") in ("main", "article")
-        self.article = up.article or is_named(words, ARTICLE_NAMES) or attrs.get("itemprop") == "articleBody"
-        self.boiler = (up.boiler or name in BOILER or attrs.get("role", "").lower() in ROLES or "hidden" in attrs
-                       or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
-                       or (name == "header" and not self.main))
-        self.named = up.named or is_named(words, NAMES, STEMS) or (not self.main and is_named(words, OUTER_NAMES))
-        self.link = up.link or name == "a"
+        self.name, self.parent = name, parent
+        role = attrs.get("role", "").lower()
+        self.place = name in MAIN or role in MAIN  # is an article itself
+        words = name_words(attrs) if attrs and name not in UNNAMED and not self.place else []
+        self.main = self.place or parent is not None and parent.main
+        self.article = (parent is not None and parent.article or bool(words and named_by(words, ARTICLE_NAMES))
+                        or attrs.get("itemprop") == "articleBody")
+        self.marks: dict[str, int] = {}  # 1 for names, 0 for what else tells of boilerplate
+        if name in BOILER or name == "header" and not self.main:
+            self.marks[f"<{name}>"] = 0
+        if role in ROLES:
+            self.marks[f"@{role}"] = 0
+        if attrs and ("hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")):
+            self.marks["hidden"] = 0
+        if words:
+            self.marks |= dict.fromkeys(sorted(named_by(words, NAMES, STEMS) | (set() if self.main else named_by(words, OUTER_NAMES))), 1)
+        self.link = name == "a" or parent is not None and parent.link
         #: Boilerplate inside a line of text: its words do not join the block around it.
-        self.hidden = name not in BLOCK and (up.hidden or (self.boiler, self.named) != (up.boiler, up.named))
+        self.hidden = name not in BLOCK and (bool(self.marks) or parent is not None and parent.hidden)
+        self.boiler = self.named = 0
+        self.closed = self.opened = (0, 0)  # the grades that pass down; those that end at the next article
+        #: Words without links of its own, with those inside, and without those under marks; articles in the same way.
+        self.own = self.good = self.free = self.mains = self.free_mains = 0
+        self.holds = frozenset({"main"} if name == "main" or role == "main" else {"h1"} & {name})
+        self.inside: list[Element] = []  # the last one first
+
+
+def grouped(scope: Element, members: list[Element]) -> dict[str, list[Element]]:
+    """The outermost elements of each mark; counts anew what stands under no mark.  ``members`` in order."""
+    out: dict[str, list[Element]] = {}
+    scope.above = frozenset()
+    for e in members:
+        up = e.parent
+        e.above = up.above.union(up.marks) if up.marks and up is not scope else up.above
+        for k in e.marks:
+            if k not in e.above:
+                out.setdefault(k, []).append(e)
+    for e in (scope, *members):
+        if e is scope or not e.place:  # nested articles are counted already
+            e.free, e.free_mains = e.own, int(e.place)
+    for e in reversed(members):
+        if not e.marks:
+            e.parent.free += e.free
+            e.parent.free_mains += e.free_mains
+    return out
+
+
+def settle(page: Element, elements: list[Element], blocks: list[Block]) -> None:
+    """Which marks count, by ``boiler`` and ``named``; ``elements`` are in order, the page's root not among them.
+
+    Marks are held against the scope they stand in, the nearest article or the page;
+    all elements of a scope with the same mark make one group.
+
+    * A group that holds most of the scope's words, and <main> if that is there, wraps
+      the text and counts for nothing if it holds a title, or all articles that are under
+      no other mark, or if beside it hardly any word is under no mark.  The largest goes
+      first, then all is weighed again.  What readers write (``TALK``) is taken for the
+      text only if it holds a title or <main>, or if nothing else is under no mark.
+    * Else a mark round <main>, or round articles where the scope has no other one and
+      no more words beside them, does not pass into them.
+    """
+    for b in blocks:
+        b.element.own += b.words - b.links
+    for e in (page, *elements):
+        e.good, e.mains = e.own, int(e.place)
+    for e in reversed(elements):
+        e.parent.inside.append(e)
+        e.parent.good += e.good
+        e.parent.mains += e.mains
+        if e.holds:
+            e.parent.holds |= e.holds
+    for scope in (*(e for e in reversed(elements) if e.place), page):
+        members, todo = [], list(scope.inside)
+        while todo:
+            members.append(e := todo.pop())
+            if not e.place:  # that is a scope of its own
+                todo += e.inside
+        rounds, need = 0, {"main"} & frozenset().union(*(e.holds for e in scope.inside))
+        while True:
+            groups = grouped(scope, members)
+            others, all_mains = scope.free_mains - scope.place, scope.mains - scope.place
+            wraps, open_, most = None, set(), scope.good / 2
+            for k, group in groups.items():
+                good, mains = sum(e.good for e in group), sum(e.mains for e in group)
+                held = frozenset().union(*(e.holds for e in group))
+                whole = mains and not others and not (k in TALK and scope.free)
+                if "main" in held or whole and good >= scope.free:
+                    open_.add(k)
+                alone = mains == all_mains and (not scope.free if k in TALK else 20 * scope.free <= good)
+                if good > most and need <= held and ("h1" in held or whole or alone):
+                    wraps, most = k, good
+            if wraps is None:
+                break
+            rounds += 1
+            for e in groups[wraps] if rounds < MOST_ROUNDS else members:
+                e.marks.pop(wraps, None)
+        for e in members:
+            e.open = open_
+    for e in elements:
+        closed, opened = list(e.parent.closed), [0, 0] if e.place else list(e.parent.opened)
+        for k, name in e.marks.items():
+            into = opened if k in e.open and not e.place else closed
+            into[name] = max(into[name], 1 if k in LAYOUT else 2)
+        e.closed, e.opened = closed, opened
+        e.boiler, e.named = max(closed[0], opened[0]), max(closed[1], opened[1])
 
 
 class Block:
@@ -155,10 +283,28 @@ class Block:
         self.element, self.parts, self.words, self.links = element, [], 0, 0
 
 
+def ends_of(name: str, html: str) -> dict[int, int]:
+    """By the end of each start tag of the name that is closed, the end of what it holds."""
+    out: dict[int, int] = {}
+    open_: list[int] = []
+    for m in re.finditer(rf"<(/?){name}(?=[\s/>])[^>]*>?", html, re.I):
+        if m[1]:
+            if open_:
+                out[open_.pop()] = m.end()
+        elif not m[0].endswith("/>"):
+            if name in ONE_AT_A_TIME:
+                open_.clear()
+            open_.append(m.end())
+    return out
+
+
 def blocks_of(html: str) -> list[Block]:
     """The flat text blocks of a page in order."""
     out: list[Block] = []
-    stack: list[Element] = [Element("", {}, None)]
+    page = Element("", {}, None)
+    stack: list[Element] = [page]
+    elements: list[Element] = []
+    ends: dict[str, dict[int, int]] = {}
     block: Block | None = None
 
     def text(raw: str) -> None:
@@ -206,8 +352,17 @@ def blocks_of(html: str) -> list[Block]:
             text(" ")
         elif name in RAW:
             if not m[0].endswith("/>"):
-                close = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(html, at)
-                at = close.end() if close else len(html)
+                if name in RAW_TO_END:
+                    close = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(html, at)
+                    at = close.end() if close else len(html)
+                else:
+                    if name not in ends:
+                        ends[name] = ends_of(name, html)
+                    if at in ends[name]:
+                        at = ends[name][at]
+                    else:
+                        after = BLOCK_TAG.search(html, at)
+                        at = after.start() if after else len(html)
             text(" ")
         elif name not in VOID:
             shut = CLOSES.get(name, ()) + (("p",) if name in BLOCK else ())
@@ -218,15 +373,17 @@ def blocks_of(html: str) -> list[Block]:
                     break
             if not m[0].endswith("/>") or name in BLOCK:
                 stack.append(Element(name, attributes(m[3]) if m[3] else {}, stack[-1]))
+                elements.append(stack[-1])
     if at < len(html) and not re.match(r"</?[A-Za-z]", html[at:]):
         text(html[at:])
     end()
+    settle(page, elements, out)
     return out
 
 
 def rows_of(blocks: list[Block]) -> list[tuple]:
     """The features of each block."""
-    marked = any(b.element.main for b in blocks)
+    marked = any(b.element.main and not (b.element.boiler or b.element.named) for b in blocks)
     hinted = not marked and any(b.element.article for b in blocks)
     sizes = [(0, 0.0), *((b.words, b.links / b.words) for b in blocks), (0, 0.0)]
     out = []
@@ -234,7 +391,7 @@ def rows_of(blocks: list[Block]) -> list[tuple]:
         e = b.element
         inside = e.main if marked else e.article
         place = IN_MAIN if inside else OUTSIDE if marked or hinted else NO_MAIN
-        out.append((int(e.boiler), int(e.named), place, *sizes[i], *sizes[i - 1], *sizes[i + 1]))
+        out.append((e.boiler, e.named, place, *sizes[i], *sizes[i - 1], *sizes[i + 1]))
     return out
 
 

@@ -64,3 +64,35 @@ def test_nulls_repeats_and_empty(spark):
                                "page_id long, url string, html string, text long")
     assert sorted((r.text, r.n_chars) for r in extract_pages(df).collect()) == [("", 0), ("", 0), ("x", 1), ("x", 1)]
     assert extract_pages(df.limit(0)).count() == 0
+
+
+LONG, MORE = ("word " * 60).strip(), ("more " * 45).strip()
+
+
+def test_marks_of_wrappers_do_not_lose_the_article():
+    side = "<div class='sidebar'><p>who we are</p></div>"
+    assert text(f"<div class='content-sidebar-wrap'><main><h1>T</h1><p>short one</p></main>{side}</div>") == "T\nshort one"
+    assert text(f"<main><div class='content-sidebar-wrap'><article><p>a b</p></article>{side}</div></main><footer>{LONG}</footer>") == "a b"
+    assert text(f"<div class='sidebar-right'><nav><a>x</a></nav><div><p>{LONG}</p><p>short</p><p>{MORE}</p></div>{side}</div>") == f"{LONG}\nshort\n{MORE}"
+    assert text("".join(f"<div class='elementor-widget elementor-widget-text-editor'><p>{p}</p></div>" for p in (LONG, MORE))
+                + "<div class='elementor-widget elementor-widget-nav-menu'><a>n</a></div>") == f"{LONG}\n{MORE}"
+    assert text(f"<form id=aspnetForm><nav><a>q</a></nav><h1>T</h1><p>{LONG}</p><p>b</p><p>{MORE}</p><div class=comments><p>{LONG}</p></div></form>") \
+        == f"T\n{LONG}\nb\n{MORE}"
+
+
+def test_layout_names_are_weighed_by_words_and_links():
+    assert text(f"<article><p>{MORE}</p><div class=widget><p>{LONG}</p></div><div class=widget><p>tiny</p></div>"
+                f"<div class=widget><a>{LONG}</a></div></article>") == f"{MORE}\n{LONG}"
+
+
+def test_marks_that_do_not_wrap_stay():
+    assert text(f"<article><p>{MORE}</p></article><section class=comments><article><p>{LONG} {LONG} {LONG}</p></article></section>"
+                f"<aside><article><p>{LONG}</p></article></aside>") == MORE
+    assert text(f"<main><p>{MORE}</p><div class=comments><article>{LONG} {LONG}</article></div></main>") == MORE
+    assert text(f"<div class=post><p>{MORE}</p></div><footer>{LONG} {LONG}</footer>") == MORE
+
+
+def test_elements_that_are_not_closed_end_at_the_next_block():
+    assert text("<article><p>a<button>Open<p>b<svg><path d=1><p>c<button>x</button> d<object data=x>fall<p>e<select><option>1<div>f</div>"
+                "<canvas>g<p>h</article>") == "a\nb\nc d\ne\nf\nh"
+    assert text("<article><p>a<object><object>x</object><p>y</p></object>b<script>c<p>d") == "a b"
