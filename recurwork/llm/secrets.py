@@ -11,6 +11,11 @@ reported when their structure holds,
   of base64, in hex, or between the lines of a PEM block;
 * ``ssh_key``: the OpenSSH private key container with all inner lengths in place.
 
+A key may be wrapped over lines, its line ends written out or as escapes (``\\n`` in
+JSON and env files), with or without armour.  Its own lengths say where it ends, so
+there is no least length besides that of the structures, and what follows on the next
+line does not matter; more digits in the same run do.
+
 Public keys and random digits are not reported.  Positions are code points, the
 end exclusive.  Null text counts as empty; texts are read whole; repeated rows
 are scanned as they come; other columns are ignored.
@@ -39,13 +44,31 @@ KINDS = ("assign", "access", "hex", "signed_token", "private_key", "ssh_key")
 BASE = KINDS[:3]
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----([A-Za-z0-9+/=\s]+)-----END \1-----")
-RUN64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{56,}={0,2}")
-RUN16 = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){40,}(?![0-9A-Fa-f])")
+#: Between digits of a key: white space, and \n, \r and \t as escapes, escaped more than once too; JSON may escape / and =.
+GAP = r"\s|\\++(?:[nrt]|(?=[\s/]))"
+PAD = r"=|\\++u003[dD]"
+PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]{{1,40}})-----((?:[A-Za-z0-9+/]++|{GAP}|{PAD})++)-----END \1-----")
+PAD_ESCAPE = re.compile(r"\\+u003[dD]")
+GAPS = re.compile(rf"(?:{GAP})+")
+PADS = re.compile(rf"(?:{PAD}){{0,2}}")
+PADS_BEYOND = re.compile(rf"(?:{GAP})+(?:{PAD}){{1,2}}(?!{PAD})")
+RUN64, RUN16 = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[0-9A-Fa-f]+")
+#: Where a key may begin, not within a run: a DER sequence or the name of the container, in base64 and in hex.
+STARTS64 = (("M", re.compile(r"M(?:(?<![A-Za-z0-9+/_-]M)|(?<=\\[nrt]M))[A-I]")),
+            ("b3Blbn", re.compile(r"b3Blbn(?:(?<![A-Za-z0-9+/_-]b3Blbn)|(?<=\\[nrt]b3Blbn))")))
+STARTS16 = (("30", re.compile(r"30(?:(?<![0-9A-Fa-f]30)|(?<=\\[nrt]30))[0-8]")),
+            ("6", re.compile(r"6[fF]70656[eE](?:(?<![0-9A-Fa-f].{8})|(?<=\\[nrt].{8}))")))
+MAGIC = b"openssh-key-v1\0"
+FIRST = 18  # bytes read to see whether more are worth it: a header, the first tags, the container's name
 
 Span = tuple[int, int, str]
 
 
+def bare(text: str) -> str:
+    """The digits without gaps and escapes."""
+    return GAPS.sub("", PAD_ESCAPE.sub("=", text))
+
+
 def decode64(text: str) -> bytes | None:
     text = "".join(text.split()).rstrip("=").replace("-", "+").replace("_", "/")
     try:
@@ -97,25 +120,43 @@ def is_private_der(data: bytes) -> bool:
     return tags[:2] == [INTEGER, OCTETS] and inner[0][1] == b"\1" and len(inner[1][1]) in (28, 32, 48, 66)  # SEC 1
 
 
-def is_ssh_key(data: bytes) -> bool:
-    magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
-        return False
-    at = len(magic)
-
-    def string() -> bytes | None:
-        nonlocal at
+def ssh_size(data: bytes) -> int | None:
+    """The size of the container that ``data`` begins with, or at least so many bytes as tell more of it; None if it is none."""
+    at, left, keys = len(MAGIC), 3, False  # cipher, key derivation and its options; then the keys
+    if not data.startswith(MAGIC):
+        return None
+    while left or not keys:
+        if at + 4 > len(data):
+            return at + 4
         n = int.from_bytes(data[at:at + 4], "big")
-        if at + 4 + n > len(data):
+        at += 4
+        if left:
+            if keys and not n:
+                return None
+            at, left = at + n, left - 1
+        elif 1 <= n <= 64:
+            left, keys = n + 1, True
+        else:
             return None
-        at += 4 + n
-        return data[at - n:at]
+    return at
 
-    if any(string() is None for _ in range(3)):  # cipher, key derivation and its options
-        return False
-    keys = int.from_bytes(data[at:at + 4], "big")
-    at += 4
-    return 1 <= keys <= 64 and all(string() for _ in range(keys + 1)) and at == len(data)
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_size(data) == len(data)
+
+
+def der_size(data: bytes) -> int | None:
+    """The size of the DER sequence that ``data`` begins with."""
+    if len(data) < 2 or data[0] != SEQUENCE:
+        return None
+    n, size = data[1], 0
+    if n >= 0x80:
+        size = n & 0x7F
+        if not 1 <= size <= 4 or len(data) < 2 + size:
+            return None
+        n = int.from_bytes(data[2:2 + size], "big")
+    inner = data[2 + size:2 + size + 2]
+    return 2 + size + n if inner[:1] == bytes([SEQUENCE]) or inner == b"\2\1" else None
 
 
 def is_signed_token(header: str, payload: str, signature: str) -> bool:
@@ -136,6 +177,60 @@ def kind_of_key(data: bytes | None) -> str | None:
     return "ssh_key" if is_ssh_key(data) else "private_key" if is_private_der(data) else None
 
 
+def digits_at(text: str, at: int, n: int, run: re.Pattern) -> tuple[str, int]:
+    """The next n digits, or as many as there are, over gaps; and where they end."""
+    parts: list[str] = []
+    end = at
+    while n > 0 and (m := run.match(text, at, at + n)):
+        parts.append(m[0])
+        n, at = n - len(m[0]), m.end()
+        end = at
+        if n > 0 and (gap := GAPS.match(text, at)):
+            at = gap.end()
+    return "".join(parts), end
+
+
+def decode16(text: str) -> bytes | None:
+    return bytes.fromhex(text[:len(text) // 2 * 2])
+
+
+def key_at(text: str, at: int, hexed: bool) -> Span | None:
+    """The key that begins here."""
+    run, decode = (RUN16, decode16) if hexed else (RUN64, decode64)
+    need = FIRST
+    while True:
+        n = 2 * need if hexed else -(-4 * need // 3)
+        digits, end = digits_at(text, at, n, run)
+        short = len(digits) < n
+        data = decode(digits if hexed or len(digits) % 4 != 1 else digits[:-1]) or b""
+        size = ssh_size(data) if data.startswith(MAGIC) else der_size(data)
+        if size is None or size > len(text) - at or short and size > len(data):  # a byte takes more than a digit
+            return None
+        if size == need:
+            break
+        need = size
+    if not (kind := kind_of_key(data[:size])) or run.match(text, end):
+        return None
+    if not hexed and (pads := PADS.match(text, end)):
+        if pads.end() == end and n % 4 and (beyond := PADS_BEYOND.match(text, end)):
+            pads = beyond
+        end = pads.end()
+    return at, end, kind
+
+
+def keys_of(text: str, at: list[Span]) -> list[Span]:
+    """The keys without armour; ``at`` are those with it."""
+    found: list[Span] = []
+    for hexed, starts in ((False, STARTS64), (True, STARTS16)):
+        for literal, pattern in starts:
+            done = 0
+            for m in pattern.finditer(text) if literal in text else ():
+                if m.start() >= done and not any(a <= m.start() < b for a, b, _ in at) and (key := key_at(text, m.start(), hexed)):
+                    found.append(key)
+                    done = key[1]
+    return found
+
+
 def scan(text: str) -> list[Span]:
     """All spans of a text by start, then kind."""
     found: list[Span] = []
@@ -147,14 +242,9 @@ def scan(text: str) -> list[Span]:
     found += ((*m.span(), "hex") for m in HEX.finditer(text))
     if "eyJ" in text:
         found += ((*m.span(), "signed_token") for m in TOKEN.finditer(text) if is_signed_token(*m.groups()))
-    blocks = list(PEM.finditer(text)) if "-----BEGIN " in text else []
-    for m in blocks:
-        if kind := kind_of_key(decode64(m[2])):
-            found.append((*m.span(), kind))
-    for pattern, decode in ((RUN64, decode64), (RUN16, bytes.fromhex)):
-        for m in pattern.finditer(text):
-            if not any(b.start() <= m.start() < b.end() for b in blocks) and (kind := kind_of_key(decode(m[0]))):
-                found.append((*m.span(), kind))
+    armoured = [(*m.span(), kind) for m in PEM.finditer(text) if (kind := kind_of_key(decode64(bare(m[2]))))] if "-----BEGIN " in text else []
+    found += armoured
+    found += keys_of(text, armoured)
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

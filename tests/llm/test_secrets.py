@@ -97,3 +97,43 @@ def test_redaction_takes_effect_and_keeps_the_rest(spark):
     rows = {r.doc_id: r for r in secrets.redact_documents(df).collect()}
     assert rows[1].text == "a [SECRET] z" and rows[1].n_chars == 12 and rows[1].key == "k"
     assert rows[2].text is None and rows[3].text == "clean" and rows[4].text == "[SECRET]"
+
+
+def wrapped(digits, width, end):
+    return end.join(digits[i:i + width] for i in range(0, len(digits), width))
+
+
+SMALLEST = tlv(0x30, tlv(2, b"\0") + tlv(0x30, tlv(6, b"\x2a")) + tlv(4, b""))  # the least that the parser accepts, near enough
+PLAIN_SEC1 = tlv(0x30, tlv(2, b"\1") + tlv(4, bytes(range(32))))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n", "\\\\n", "\n    "])
+@pytest.mark.parametrize(("data", "kind"), [(RSA, "private_key"), (PKCS8, "private_key"), (SEC1, "private_key"), (SSH, "ssh_key")])
+def test_keys_over_lines(data, kind, end):
+    for width in (64, 76, 50):
+        lines = wrapped(b64(data), width, end)
+        block = f"-----BEGIN PRIVATE KEY-----{end}{lines}{end}-----END PRIVATE KEY-----"
+        assert secrets.scan('{"private_key": "' + block + '"}') == [(17, 17 + len(block), kind)]
+        for before, after in (("", ""), ("see ", " and on"), (f"first{end}", f"{end}last word"), ('k="', f'{end}"')):
+            got = secrets.scan(before + lines + after)
+            assert got == [(len(before), len(before + lines), kind)], (width, before, after)
+    assert not [k for *_, k in secrets.scan(wrapped(b64(data[:-1]), 64, end) + ".") if k not in secrets.BASE]
+
+
+@pytest.mark.parametrize("data", [PLAIN_SEC1, SMALLEST])
+def test_smallest_structures(data):
+    assert len(PLAIN_SEC1) == 39
+    for digits in (b64(data), b64(data).rstrip("="), data.hex().upper(), "x " + b64(data) + " y"):
+        assert [k for *_, k in secrets.scan(digits) if k not in secrets.BASE] == ["private_key"]
+    assert secrets.scan("x" + b64(data)) == secrets.scan(b64(data) + "x" if not b64(data).endswith("=") else "x") == []
+
+
+def test_escaped_digits_and_redaction():
+    digits = b64(bytes(RSA)).replace("/", "\\/").replace("=", "\\u003d")
+    assert secrets.scan('"' + digits + '"') == [(1, 1 + len(digits), "private_key")]
+    assert secrets.redact("a\n" + wrapped(b64(RSA), 64, "\n") + "\nz", "[X]") == "a\n[X]\nz"
+
+
+def test_public_key_over_lines_is_not_reported():
+    assert secrets.scan(wrapped(b64(SPKI), 64, "\n")) == []
+    assert secrets.scan("-----BEGIN PUBLIC KEY-----\\n" + wrapped(b64(SPKI), 64, "\\n") + "\\n-----END PUBLIC KEY-----") == []
