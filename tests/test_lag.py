@@ -22,3 +22,16 @@ def test_day_table_lag_equals_plain_lag(orders):
     b = previous_date_plain(orders, ["k"], "d", "t", "p").select("t", "p")
     assert a.count() == b.count() == orders.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_gaps_over_the_whole_history(spark):
+    from recurwork.operators import repeats
+    from recurwork.plans.catalog import QUERIES
+    from recurwork.sources.fixtures import AS_OF, fx_workorders
+
+    got = QUERIES["work_order_gaps_all"](spark, MEDIUM)
+    every = repeats.work_orders(fx_workorders(spark, MEDIUM), AS_OF, 1200)  # 100 years: no lookback
+    plain = previous_date_plain(every, repeats.KEY, "completion_date", "tracking_nbr", "prev_completion")
+    want = plain.withColumn("days_since_prev", F.datediff("completion_date", "prev_completion")).select(got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert got.count() > QUERIES["work_order_gaps"](spark, MEDIUM).count()
