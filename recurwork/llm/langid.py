@@ -223,9 +223,16 @@ def identify(spark: SparkSession, docs: DataFrame, sample_rows: int = 3000) -> D
     return map_rows(docs.select("doc_id", held_out().alias("held_out"), "text"), run, SCHEMA, ARROW)
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, least: float = 0.3, sample_rows: int = 3000) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told: no letters, or a score under ``least``."""
-    predict = predictor(spark, learn(spark, docs, sample_rows))
+def least_score(n_langs: int, gain: float) -> float:
+    """The score that lies ``gain`` of the way from chance, one in ``n_langs``, to certainty."""
+    return 1 - (1 - gain) * (1 - 1 / max(1, n_langs))
+
+
+def keep_identified(spark: SparkSession, docs: DataFrame, gain: float = 1 / 3, sample_rows: int = 3000) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told: no letters, or a score under ``least_score``."""
+    model = learn(spark, docs, sample_rows)
+    least = least_score(len(model.langs) if model else 1, gain)
+    predict = predictor(spark, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
