@@ -404,21 +404,35 @@ def month_totals(trend: DataFrame) -> DataFrame:
     return trend.groupBy("month").agg(F.sum("total_repeats").alias("total_repeats")).orderBy("month")
 
 
-def top_trend(trend: DataFrame, k: int = 5) -> DataFrame:
-    """V16 — dense month × top-k-trade grid of repeats, 0 where a trade has no row.
+TREND_PARTS = 256
 
-    The trend is folded to a row per trade, then to one row with the months and
-    the first ``k`` trades, and that row is exploded into the grid: the trend is
-    read once and nothing is joined.  A trade has at most a value per month.
-    """
+
+def _first_items(each: DataFrame, items: Column, k: int, *keys: Column) -> DataFrame:
+    """Per key the months and the first ``k`` items of ``each``."""
+    first = F.slice(F.array_sort(items, lambda a, b: F.when(a["rank"] != b["rank"], F.sign(a["rank"] - b["rank"]).cast("int"))
+                                 .when(a["trade"] < b["trade"], -1).when(a["trade"] > b["trade"], 1).otherwise(0)), 1, k)
+    return each.groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("months")))).alias("months"), first.alias("items"))
+
+
+def top_trend_parts(trend: DataFrame, k: int) -> DataFrame:
+    """The months and the first ``k`` trades of each of ``TREND_PARTS`` parts of the trades."""
     each = trend.groupBy("trade").agg(
         F.sum("total_repeats").alias("tot"), F.map_from_entries(F.collect_list(F.struct("month", "total_repeats"))).alias("by_month"))
     item = F.struct((-F.col("tot")).alias("rank"), "trade", "by_month")
-    one = each.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("by_month"))))).alias("months"),
-                   F.collect_list(item).alias("items"))
-    first = F.slice(F.array_sort("items", lambda a, b: F.when(a["rank"] != b["rank"], F.sign(a["rank"] - b["rank"]).cast("int"))
-                                 .when(a["trade"] < b["trade"], -1).when(a["trade"] > b["trade"], 1).otherwise(0)), 1, k)
-    grid = one.select(F.explode("months").alias("month"), first.alias("items")).select("month", F.explode("items").alias("x"))
+    return _first_items(each.withColumn("months", F.map_keys("by_month")), F.collect_list(item), k,
+                        F.pmod(F.xxhash64("trade"), F.lit(TREND_PARTS)).alias("part"))
+
+
+def top_trend(trend: DataFrame, k: int = 5) -> DataFrame:
+    """V16 — dense month × top-k-trade grid of repeats, 0 where a trade has no row.
+
+    The trend is folded to a row per trade, these to the months and first ``k`` trades
+    of each part, and those to one row, which holds no more than ``TREND_PARTS`` × k
+    trades and is exploded into the grid: the trend is read once and nothing is joined.
+    A trade has at most a value per month.
+    """
+    one = _first_items(top_trend_parts(trend, k), F.flatten(F.collect_list("items")), k)
+    grid = one.select(F.explode("months").alias("month"), "items").select("month", F.explode("items").alias("x"))
     return grid.select("month", F.col("x.trade").alias("trade"), strip_label_prefixes(F.col("x.trade"), LABEL_PREFIXES).alias("label"),
                        F.coalesce(F.try_element_at("x.by_month", "month"), F.lit(0)).cast("bigint").alias("total_repeats"),
                        (-F.col("x.rank")).alias("trade_total")) \

@@ -86,3 +86,16 @@ def test_kpis_from_uncapped_r(spark):
     assert (k.total_repeats, k.repeats_90d, k.stores_affected) == (20, 20, 3)
     assert (k.top_trade, k.top_trade_label, k.pct_90d) == ("FM - A", "A", 100)
     assert (k.top_code_trade, k.top_code, k.top_code_count) == ("FM - A", "P1", 10)
+
+
+def test_top_trend_meets_few_trades_in_one_row(spark):
+    trades = [(f"FM - T{i:04}", f"2001-0{1 + i % 7}", i * 37 % 1000) for i in range(2000)] + [("FM - T0007", "2001-09", 5000), (None, "2001-08", 3)]
+    trend = spark.createDataFrame(trades, "trade string, month string, total_repeats long")
+    parts = views.top_trend_parts(trend, 3).collect()
+    assert len(parts) <= views.TREND_PARTS and all(len(p["items"]) <= 3 for p in parts)
+    totals = {}
+    for t, _, n in trades:
+        totals[t] = totals.get(t, 0) + n
+    first = sorted(totals, key=lambda t: (-totals[t], t or ""))[:3]
+    want = [(m, t, sum(n for a, b, n in trades if (a, b) == (t, m)), totals[t]) for m in sorted({m for _, m, _ in trades}) for t in first]
+    assert [(r.month, r.trade, r.total_repeats, r.trade_total) for r in views.top_trend(trend, 3).collect()] == want
