@@ -55,9 +55,9 @@ def _s(spark, d):
     return fx_workorders(spark, d)
 
 
-def work_order_gaps(spark: SparkSession, d: str, lookback_months: int = PAIRS_LOOKBACK_MONTHS) -> DataFrame:
+def work_order_gaps(spark: SparkSession, d: str) -> DataFrame:
     """W1, W2 row by row: days since the previous work order of the same store, type and code."""
-    orders = repeats.work_orders(_s(spark, d), AS_OF, lookback_months)
+    orders = repeats.work_orders(_s(spark, d), AS_OF, PAIRS_LOOKBACK_MONTHS)
     rows = previous_date(orders, repeats.KEY, "completion_date", "tracking_nbr", "prev_completion")
     return rows.select(*repeats.KEY, "tracking_nbr", "completion_date", "prev_completion",
                        F.datediff("completion_date", "prev_completion").alias("days_since_prev"))
@@ -173,7 +173,6 @@ QUERIES = {
     "repeat_pairs_30d": lambda s, d: pairs(s, d, lookback_months=3),
     "repeat_pairs_6m": lambda s, d: pairs(s, d, lookback_months=6),
     "repeat_pairs_all": lambda s, d: pairs(s, d),
-    "work_order_gaps": lambda s, d: work_order_gaps(s, d, 12),
-    "work_order_gaps_all": lambda s, d: work_order_gaps(s, d),
+    "work_order_gaps_all": work_order_gaps,
     **VIEW_QUERIES,
 }

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM
+from helpers import MEDIUM
 from recurwork.plans import catalog, reports, views
 from recurwork.sources.fixtures import AS_OF
 

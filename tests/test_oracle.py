@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, norm, rows_key  # noqa: E402
-from conftest import MEDIUM  # noqa: E402
+from helpers import MEDIUM  # noqa: E402
 from recurwork.plans.catalog import QUERIES  # noqa: E402
 
 KEYS = sorted(QUERIES)

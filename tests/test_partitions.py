@@ -4,7 +4,7 @@ import os
 import re
 import tempfile
 
-from conftest import MEDIUM
+from helpers import MEDIUM
 from recurwork.operators.repeats import repeat_pairs_30d
 from recurwork.plans import reports
 from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders

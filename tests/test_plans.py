@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SMALL
+from helpers import SMALL
 from recurwork.plans.catalog import QUERIES
 
 

@@ -5,7 +5,7 @@ import tempfile
 
 import pytest
 
-from conftest import MEDIUM
+from helpers import MEDIUM
 from recurwork.plans import refresh as rf
 from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders
 

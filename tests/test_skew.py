@@ -12,7 +12,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 import oracle_queries as O
-from conftest import MEDIUM
+from helpers import MEDIUM
 from oracle_check import norm, rows_key
 from recurwork.operators.repeats import repeat_pairs_30d
 from recurwork.sources.fixtures import AS_OF, fx_workorder_dim, fx_workorders
