@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurwork.llm import ann, bpe, chat, html_text, langid, mixing, ngram_join, secrets, syncmers, warc
+from recurwork.llm import ann, bpe, chat, fim, html_text, langid, line_dedup, mixing, ngram_join, secrets, spelling, syncmers, warc
 from recurwork.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -75,6 +75,18 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_html_text": op2_html_text,
@@ -86,6 +98,9 @@ QUERIES = {
     "op8_mixture": op8_mixture,
     "op9_ngram_join": op9_ngram_join,
     "op10_syncmers": op10_syncmers,
+    "op11_fim": op11_fim,
+    "op12_spelling": op12_spelling,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 SQL = {}
@@ -182,6 +197,49 @@ JOIN (SELECT x AS r, min(doc_id) AS class_id FROM reached JOIN numbered ON numbe
 JOIN (SELECT numbered.r, count(links.y) AS n_links FROM numbered LEFT JOIN links ON links.x = numbered.r GROUP BY numbered.r) USING (r)
 """
 
+SQL["op11_fim"] = r"""
+WITH dealt AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS parts,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), units AS (
+  SELECT *, CASE WHEN t = '' THEN 0 ELSE len(parts) - CASE WHEN parts[-1] = '' THEN 1 ELSE 0 END END AS n FROM dealt
+), cuts AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+         WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM units
+), pieces AS (
+  SELECT doc_id, t, n, form, least(c1, c2) AS a, greatest(c1, c2) AS b, parts,
+    array_to_string(parts[1:least(c1, c2)], chr(10)) || CASE WHEN least(c1, c2) BETWEEN 1 AND len(parts) - 1 THEN chr(10) ELSE '' END AS prefix,
+    array_to_string(parts[greatest(c1, c2) + 1:], chr(10)) AS suffix FROM cuts
+), dealt_out AS (
+  SELECT *, array_to_string(parts[a + 1:b], chr(10)) || CASE WHEN b > a AND b < len(parts) THEN chr(10) ELSE '' END AS middle FROM pieces
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+         ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM dealt_out
+"""
+
+SQL["op13_line_dedup"] = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM split
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), often AS (
+  SELECT k, max(doc_id) AS owner FROM (SELECT DISTINCT r, doc_id, k FROM keyed WHERE length(k) >= 40) GROUP BY k HAVING count(*) >= 5
+), marked AS (
+  SELECT r, keyed.doc_id, line, i, often.k IS NOT NULL AND keyed.doc_id IS DISTINCT FROM owner AS gone FROM keyed LEFT JOIN often ON keyed.k = often.k
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

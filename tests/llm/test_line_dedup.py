@@ -1,0 +1,88 @@
+import random
+from collections import defaultdict
+
+import numpy as np
+
+from recurwork.llm import line_dedup
+from recurwork.llm.line_dedup import HASH, Limits, PerfectHash
+
+DOCS = "doc_id long, text string"
+
+
+def plain_version(rows, limits=Limits()):
+    holders = defaultdict(set)
+    key = lambda line: "".join(c.lower() if c < "\x7f" else c for c in line.strip(" \t\n\v\f\r"))
+    for r, (_, text) in enumerate(rows):
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= limits.min_chars:
+                holders[key(line)].add(r)
+    owner = {k: max((rows[r][0] for r in h if rows[r][0] is not None), default=None) for k, h in holders.items() if len(h) >= limits.min_docs}
+    out = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if key(x) not in owner or owner[key(x)] == doc_id]
+        out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def check(spark, rows, limits=Limits()):
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", "'x' AS doc", "'y' AS lines", "1 AS part")
+    got = line_dedup.dedup_lines(docs, limits).collect()
+    want = plain_version(rows, limits)
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    return want
+
+
+def test_perfect_hash_numbers_each_once():
+    r = np.random.default_rng(1)
+    for n in (0, 1, 2, 77, 5000):
+        hashes = np.empty(n, dtype=HASH)
+        hashes["hi"], hashes["lo"] = r.integers(0, 3, n), np.arange(n)  # distinct in the second half only
+        perfect = PerfectHash.of(hashes)
+        assert sorted(perfect.numbers(hashes)) == list(range(n))
+        assert 8 * len(perfect.bits) <= 5 * n + 64
+        hashes["lo"] += np.uint64(10**6)
+        others = perfect.numbers(hashes)
+        assert n < 77 or ((others >= -1) & (others < n)).all()
+
+
+def test_same_as_a_plain_version(spark):
+    r = random.Random(2)
+    common = [f"Line {i} that many documents share, É in it " + "z" * r.randint(0, 30) for i in range(60)]
+    case = lambda x: r.choice([x, x.upper(), "  " + x, x + "\t\v\r", " " + x])
+    text = lambda: "\n".join(case(r.choice(common)) if r.random() < 0.6 else r.choice(["", "short", "own " + "q" * r.randint(30, 50)]) for _ in range(r.randint(0, 12)))
+    rows = [(r.choice([None, r.randint(0, 40)]), r.choice([None, "", text(), text(), text()])) for _ in range(300)]
+    rows += rows[:40]
+    want = check(spark, rows)
+    assert any(w[2] for w in want) and any(w[1] > w[2] for w in want)
+    check(spark, rows, Limits(min_chars=45, min_docs=9, shard_keys=4))
+
+
+def test_bounds_of_length_and_count(spark):
+    exact, less = "é" * 40, "é" * 39
+    rows = [(i, f"{exact}\n{less}\n" + ("f" * 41 if i < 4 else "")) for i in range(5)]
+    want = check(spark, rows)
+    assert [w[2] for w in want] == [1, 1, 1, 1, 0]
+
+
+def test_only_null_ids_keep_their_lines(spark):
+    assert all(w[2] == 0 for w in check(spark, [(None, "n" * 50)] * 6))
+    assert sum(w[2] for w in check(spark, [(None, "n" * 50)] * 6 + [(-3, "N" * 50)])) == 6
+
+
+def test_a_hot_line_and_a_long_text(spark):
+    hot = "the line of a third of all rows, over and over again"
+    rows = [(i, hot) for i in range(500)] + [(1000 + i, f"{i} " * 30) for i in range(500)] + [(2000, (hot + "\n") * 50_000)]
+    want = check(spark, rows, Limits(shard_keys=64))
+    assert sum(w[2] for w in want) == 500
+    parts = line_dedup.parts_of(spark.createDataFrame(rows, DOCS).selectExpr("*", "0L AS doc"), 40)
+    asked = line_dedup.questions(parts, 3).selectExpr("sum(length(lines)) / 16 AS n").first().n
+    assert asked <= 600 + parts.count()  # once a part, however many documents hold it
+
+
+def test_empty_table(spark):
+    assert line_dedup.digests(line_dedup.dedup_lines(spark.createDataFrame([], DOCS))).collect() == []
+
+
+def test_query_equals_its_sql(spark, same_as_sql):
+    same_as_sql(spark, "op13_line_dedup")
