@@ -16,8 +16,9 @@ Decoding.  :class:`StreamDecoder` turns ids into text as they arrive; its state
 is the unfinished UTF-8 sequence (at most three bytes) and its transitions, per
 state and token, are made when first met.
 
-Null text counts as empty: no tokens, and the digests of the empty string.
-Repeated rows are encoded as they come; other columns are ignored.
+Null text counts as empty: no tokens, and the digests of the empty string.  A very
+long text is encoded piece by piece and held once with its ids.  Repeated rows are
+encoded as they come, an empty table gives none, and other columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,11 +69,12 @@ def compile_merges(ranks: dict[bytes, int]) -> dict[int, tuple[int, int]]:
 class Transducer:
     """Bytes in, token ids out; see the module's text."""
 
-    def __init__(self, ranks: dict[bytes, int], parts: dict[int, tuple[int, int]], max_states: int = 1 << 18):
+    def __init__(self, ranks: dict[bytes, int], parts: dict[int, tuple[int, int]], max_states: int = 1 << 19):
         self.ranks, self.parts, self.max_states = ranks, parts, max_states
         self.reachable = {t: r for t, r in ranks.items() if len(t) == 1 or r in parts}
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, self.reachable), default=1)
+        self.sizes = {r: len(t) for t, r in ranks.items()}
         #: For each proper prefix of a token: the lowest rank of the tokens that extend it.
         self.open: dict[bytes, int] = {}
         for token, rank in ranks.items():
@@ -82,8 +84,9 @@ class Transducer:
         self.forget()
 
     def forget(self) -> None:
-        #: Last token, pending bytes, and the tokens of these if nothing follows.
-        self.states: list[tuple[int, bytes, tuple[int, ...]]] = [(NONE, b"", ())]
+        #: Last token, pending bytes, the tokens of these if nothing follows, for each prefix of them the token that
+        #: ends it, the boundaries at which a token can start that is not yet read to its end, and the guard.
+        self.states: list[tuple[int, bytes, tuple[int, ...], array, tuple[int, ...], tuple[int, ...]]] = [(NONE, b"", (), array("i", [NONE]), (), ())]
         self.index: dict[tuple, int] = {}
         self.guards: dict[tuple[int, ...], tuple[int, ...]] = {}
         self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
@@ -147,36 +150,53 @@ class Transducer:
                     out += part, end
         return self.guards.setdefault(tuple(out), tuple(out))
 
-    def chains(self, last: int, pending: bytes) -> list[tuple[int, ...] | None]:
-        """For each prefix of ``pending`` its chain of tokens after ``last``."""
-        out: list[tuple[int, ...] | None] = [()]
-        for end in range(1, len(pending) + 1):
-            found = None
-            for start in range(max(0, end - self.longest), end):
-                before, token = out[start], self.reachable.get(pending[start:end])
-                if token is not None and before is not None and self.adjacent(before[-1] if before else last, token):
-                    found = (*before, token)
-                    break
-            out.append(found)
+    def chain(self, ends: list[int], at: int) -> list[int]:
+        """The tokens of the prefix that ends at ``at``."""
+        out, sizes = [], self.sizes
+        while at:
+            token = ends[at]
+            out.append(token)
+            at -= sizes[token]
+        out.reverse()
         return out
 
     def make_step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, pending, _ = self.states[state]
+        last, pending, _, ends, starts, guard = self.states[state]
         pending += bytes((byte,))
-        chains = self.chains(last, pending)
-        # Only at these boundaries can a token start that is not yet read to its end.
-        live = [c for i, c in enumerate(chains) if c is not None and (i == len(pending) or pending[i:] in self.open)]
-        emit = 0
-        while all(len(c) > emit for c in live) and len({c[emit] for c in live}) == 1:
-            emit += 1
-        out, rest = live[0][:emit], chains[-1][emit:]
+        size, open_, token_of, token = len(pending), self.open, self.reachable.get, NONE
+        live = []
+        for at in (*starts, size - 1):  # what starts at any other boundary is read to its end
+            text = pending[at:]
+            if token == NONE:  # only one token ends the chain of all that is pending
+                found = token_of(text)
+                if found is not None and self.adjacent(ends[at] if at else last, found):
+                    token = found
+            if text in open_:
+                live.append(at)
+        ends = [*ends, token]
+        whole = self.chain(ends, size)
+        emit = len(whole)
+        for at in live:
+            other, same = self.chain(ends, at), 0
+            for x, y in zip(whole[:emit], other):
+                if x != y:
+                    break
+                same += 1
+            emit = same
+            if not emit:
+                break
+        out, rest = tuple(whole[:emit]), tuple(whole[emit:])
         if out:
-            last, pending = out[-1], pending[sum(len(self.bytes_of[t]) for t in out):]
-        key = (self.guard(last, pending), pending)
+            cut = sum(map(self.sizes.__getitem__, out))
+            last, pending = out[-1], pending[cut:]
+            ends, live = [NONE, *ends[cut + 1:]], [at - cut for at in live]  # all live boundaries are past the cut
+        if out or guard:  # else what does not matter now will not matter later
+            guard = self.guard(last, pending)
+        key = (guard, pending)
         to = self.index.get(key)
         if to is None:
             to = self.index[key] = len(self.states)
-            self.states.append((last, pending, rest))
+            self.states.append((last, pending, rest, array("i", ends), tuple(live), guard))
             self.steps.append({})
         self.steps[state][byte] = (to, out)
         return to, out
@@ -255,7 +275,7 @@ class Codec:
     again; either memory is emptied when full.
     """
 
-    def __init__(self, ranks: dict[bytes, int], parts: dict[int, tuple[int, int]], pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 18):
+    def __init__(self, ranks: dict[bytes, int], parts: dict[int, tuple[int, int]], pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 19):
         self.machine = Transducer(ranks, parts, max_states)
         self.decoder = StreamDecoder(self.machine.bytes_of)
         self.pattern, self.compiled, self.max_pieces = pattern, None, max_pieces
@@ -295,7 +315,7 @@ class Codec:
         return ",".join(map(self.decimal.__getitem__, ids))
 
 
-def codec(path: str, pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 18) -> Codec:
+def codec(path: str, pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 19) -> Codec:
     ranks = read_ranks(path)
     return Codec(ranks, compile_merges(ranks), pattern, max_pieces, max_states)
 
@@ -304,12 +324,12 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 ARROW = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def encode_documents(spark: SparkSession, docs: DataFrame, path: str, pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 18) -> DataFrame:
+def encode_documents(spark: SparkSession, docs: DataFrame, path: str, pattern: str, max_pieces: int = 1 << 18, max_states: int = 1 << 19) -> DataFrame:
     """Ids and digests of every text: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
     The vocabulary (a file of fixed size, read on the driver) is broadcast; a
     worker keeps its machine from task to task.  ``max_pieces`` and ``max_states``
-    bound what it remembers (about 0.4 GB a worker by default); less makes it
+    bound what it remembers (about 0.7 GB a worker by default); less makes it
     slower and changes no result.
     """
     shared = spark.sparkContext.broadcast(codec(path, pattern, max_pieces, max_states))
