@@ -18,8 +18,9 @@ from recurwork.functions.exprs import (UNASSIGNED, any_column_contains, blank_to
                                        strip_first, strip_label_prefixes, unassigned_prefix)
 from recurwork.functions.measures import (band_above, band_at_least, code_if_distinct, gap_score,
                                           pair_severity, pct, rate_pct, urgency_band)
-from recurwork.operators.ordering import page, sort_by_field, top_k
+from recurwork.operators.ordering import Key, cursor_page, page, sort_by_field, top_k
 from recurwork.plans import reports
+from recurwork.sources.files import ROW
 
 # Label prefixes, and the bounds of the bands.
 LABEL_PREFIXES = ("FM - ", "PM - ")
@@ -152,6 +153,23 @@ def repeat_detail_view(groups: DataFrame, filters: dict | None = None, require_o
     return sort_by_field(f, sort_field, descending, DETAIL_SORT, _detail_order())
 
 
+def detail_order(sort_field: str = "r30", descending: bool = True) -> list[Key]:
+    """The total order of the repeat groups under a chosen sort."""
+    if sort_field not in DETAIL_SORT:
+        raise ValueError(f"unknown sort field {sort_field!r}; allowed: {sorted(DETAIL_SORT)}")
+    keys = [Key(DETAIL_SORT[sort_field], descending), Key("r30", True), Key("nte", True), *[Key(c) for c in ("sn", "prob", "pcd", "trade", "cat")]]
+    return [k for i, k in enumerate(keys) if k.name not in {x.name for x in keys[:i]}]
+
+
+def detail_page(groups: DataFrame, filters: dict | None = None, require_org_filter: bool = True, size: int = 50,
+                after: tuple | None = None, before: tuple | None = None, sort_field: str = "r30", descending: bool = True) -> DataFrame:
+    """V6 by cursor."""
+    order = detail_order(sort_field, descending)
+    f = filter_groups(groups, filters, require_org_filter)
+    f = f.select("*", code_if_distinct("pcd", "prob").alias("pcd_display"), pair_severity("r30", two_levels=True).alias("severity"))
+    return cursor_page(f, order, size, after, before)
+
+
 def filtered_kpis(groups: DataFrame, filters: dict | None = None, require_org_filter: bool = True) -> DataFrame:
     """V7 — pairs, Σ 30-day repeats, stores and problem types under the filters (one row)."""
     gated = _gate(filters, require_org_filter)
@@ -372,16 +390,30 @@ def store_filtered(hotspots: DataFrame, q: str = "", state: str = "") -> DataFra
     return f.filter(contains_text(["store_nbr", "city", "state", "fm_director", "sr_director", "banner"], q))
 
 
+def store_order(sort_key: str = "total_repeats") -> list[Key]:
+    if sort_key not in STORE_SORT:
+        raise ValueError(f"sort_key must be one of {STORE_SORT}")
+    return [Key(sort_key, True), *([Key("total_repeats", True)] if sort_key != "total_repeats" else []), Key("store_nbr")]
+
+
+def store_rows(hotspots: DataFrame, q: str = "", state: str = "") -> DataFrame:
+    """V14 unpaged — search and state filter; adds the first trades and the severity (M6)."""
+    return store_filtered(hotspots, q, state).select("*", trade_badges(), band_above("repeats_90d", *STORE_BAND).alias("severity"))
+
+
 def store_list(hotspots: DataFrame, q: str = "", state: str = "", sort_key: str = "total_repeats",
                page_no: int = 0, size: int = 50) -> DataFrame:
     """V14 — search, state filter, sort by a measure (desc), severity (M6), one page."""
-    if sort_key not in STORE_SORT:
-        raise ValueError(f"sort_key must be one of {STORE_SORT}")
-    f = store_filtered(hotspots, q, state).select("*", trade_badges(), band_above("repeats_90d", *STORE_BAND).alias("severity"))
-    f = f.orderBy(F.col(sort_key).desc(), F.col("total_repeats").desc(), F.col("store_nbr").asc())
+    f = store_rows(hotspots, q, state).orderBy(*[k.column() for k in store_order(sort_key)])
     return page(f, page_no, size)
 
 
+def store_page(hotspots: DataFrame, size: int = 50, after: tuple | None = None, before: tuple | None = None,
+               q: str = "", state: str = "", sort_key: str = "total_repeats") -> DataFrame:
+    """V14 by cursor."""
+    return cursor_page(store_rows(hotspots, q, state), store_order(sort_key), size, after, before)
+
+
 def store_chart(hotspots: DataFrame, q: str = "", state: str = "", sort_key: str = "total_repeats",
                 k: int | None = None) -> DataFrame:
     """T5 — the first ``k`` stores of the store list, labelled '#store city', with 90-day repeats."""
@@ -470,39 +502,72 @@ def gap_filtered(detail: DataFrame, q: str = "", trade: str = "", state: str = "
     return d.filter(cond & contains_text(GAP_SEARCH, q)).drop("provider")
 
 
-def gap_finder(detail: DataFrame, q: str = "", trade: str = "", state: str = "", director: str = "",
-               urgency: int = 0, sort_key: str = "call_date", descending: bool = True,
-               page_no: int = 0, size: int = 50) -> DataFrame:
-    """V10 — filter, search, sort and page the enriched repeat detail; adds the urgency band (M5)."""
+def gap_order(sort_key: str = "call_date", descending: bool = True) -> list[Key]:
+    """The order of the gap finder: the chosen key, then the latest call, then the work order."""
+    if sort_key not in GAP_SORT_NUM + GAP_SORT_TEXT:
+        raise ValueError(f"unknown sort key {sort_key!r}")
+    rest = [Key("call_date", True), Key("tracking_nbr", True)]
+    return [Key("sort_value", descending), *rest]
+
+
+def gap_rows(detail: DataFrame, q: str = "", trade: str = "", state: str = "", director: str = "",
+             urgency: int = 0, sort_key: str = "call_date", descending: bool = True) -> DataFrame:
+    """V10 unpaged — filter and search the enriched repeat detail; adds the urgency band (M5) and ``sort_value``."""
+    gap_order(sort_key, descending)
     f = gap_filtered(detail, q, trade, state, director, urgency)
     if sort_key in GAP_SORT_NUM:
         key = F.coalesce(F.col(sort_key), F.lit(0)) if sort_key == "days_between" else F.col(sort_key)
-    elif sort_key in GAP_SORT_TEXT:
-        key = F.coalesce(F.col(sort_key).cast("string"), F.lit(""))
     else:
-        raise ValueError(f"unknown sort key {sort_key!r}")
-    key = key.desc() if descending else key.asc()
-    f = f.withColumn("urgency", urgency_band("days_between"))
-    f = f.orderBy(key, F.col("call_date").desc(), F.col("tracking_nbr").desc())
+        key = F.coalesce(F.col(sort_key).cast("string"), F.lit(""))
+    return f.withColumns({"urgency": urgency_band("days_between"), "sort_value": key})
+
+
+def gap_finder(detail: DataFrame, q: str = "", trade: str = "", state: str = "", director: str = "",
+               urgency: int = 0, sort_key: str = "call_date", descending: bool = True,
+               page_no: int = 0, size: int = 50) -> DataFrame:
+    """V10 — filter, search, sort and page the enriched repeat detail; adds the urgency band (M5)."""
+    f = gap_rows(detail, q, trade, state, director, urgency, sort_key, descending)
+    f = f.orderBy(*[k.column() for k in gap_order(sort_key, descending)]).drop("sort_value")
     return page(f, page_no, size)
 
 
+def gap_page(detail: DataFrame, size: int = 50, after: tuple | None = None, before: tuple | None = None, **chosen) -> DataFrame:
+    """V10 by cursor: the rows behind ``after`` or just before ``before``, with ``sort_value`` (see ``ordering.cursor``).
+
+    ``chosen`` are the filters, search and sort of :func:`gap_rows`.
+    """
+    order = gap_order(**{k: v for k, v in chosen.items() if k in ("sort_key", "descending")})
+    return cursor_page(gap_rows(detail, **chosen), order, size, after, before)
+
+
 def gap_count(detail: DataFrame, **filters) -> DataFrame:
     return gap_filtered(detail, **filters).agg(F.count(F.lit(1)).alias("repeat_wos"))
 
 
 # ── V18–V20 ─────────────────────────────────────────────────────────────────
 
+def extract_order(extract: DataFrame) -> list[Key]:
+    """All columns, and the row number where the extract has one (``files.ingest_extract``)."""
+    return [Key(c) for c in [c for c in extract.columns if c != ROW] + [c for c in extract.columns if c == ROW]]
+
+
 def extract_search(extract: DataFrame, q: str = "", page_no: int = 0, size: int = 100) -> DataFrame:
     """V18 — any-column search over an extract whose columns are known only at run time, one page.
 
     Rows are ordered by all columns so that pages are stable.
     """
-    cols = extract.columns
-    if not cols:  # an empty file has no header
+    if not extract.columns:  # an empty file has no header
         return extract
-    f = extract.filter(any_column_contains(cols, q))
-    return page(f.orderBy(*[F.col(c).asc_nulls_first() for c in cols]), page_no, size)
+    f = extract.filter(any_column_contains([c for c in extract.columns if c != ROW], q))
+    return page(f.orderBy(*[k.column() for k in extract_order(extract)]), page_no, size)
+
+
+def extract_page(extract: DataFrame, q: str = "", size: int = 100, after: tuple | None = None, before: tuple | None = None) -> DataFrame:
+    """V18 by cursor, over an extract with row numbers."""
+    if ROW not in extract.columns:
+        raise ValueError("equal rows cannot be told apart: ingest the extract first")
+    f = extract.filter(any_column_contains([c for c in extract.columns if c != ROW], q))
+    return cursor_page(f, extract_order(extract), size, after, before)
 
 
 def asset_counts_exploded(pairs: DataFrame) -> DataFrame:

@@ -38,14 +38,21 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_by_month(df: DataFrame, path: str, date_col: str) -> None:
-    """Write a fact table partitioned by the calendar month of ``date_col``.
+    """Write the months of ``date_col`` that ``df`` holds; other months of the table stay as they are.
 
-    The month lookbacks of the operators then also filter the partition
-    column, and the scan opens only the directories of the months in range.
+    Rows are gathered by month first, so a task opens one file a month: small months
+    share a task, and AQE deals a month of more than the advisory size to several.
+    The files are staged, and the months exchanged when all tasks are done: a write
+    that fails leaves the old ones.  A month is replaced whole; one that should become
+    empty has to be deleted.  Rows without a date go to the default partition, which
+    no lookback reads.
+
+    The month lookbacks of the operators also filter the partition column, so the
+    scan opens only the directories of the months in range.
     """
     month = MONTH_COLUMNS[date_col]
-    df.withColumn(month, F.date_format(date_col, "yyyy-MM")) \
-      .write.mode("overwrite").partitionBy(month).parquet(path)
+    rows = df.withColumn(month, F.date_format(date_col, "yyyy-MM")).hint("rebalance", F.col(month))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
 
 
 def since_month_filter(df: DataFrame, date_col: str, start) -> F.Column:
