@@ -17,10 +17,14 @@ follow a row of their own day.  So one window over that count table, whose size
 per key is bounded by days and categories however hot the key, gives every gap.
 This equals LAG ordered by (date, tracking number, NULL first), copies included.
 
-Lists, assets and the organisation from W are read for surviving groups only:
-semi-joins to the measures come first.  The measures feed several of these joins;
-a caller who runs large inputs writes them once and passes the written table as
-``measures`` (see ``plans.refresh``).
+``surviving_rows`` the rows of the keys that have a surviving group, with its measures' key.
+
+Lists, assets and the organisation from W are read for surviving groups only: one
+semi-join of S to the keys of the measures comes first, and its rows know whether
+their own group survives.  Lazily, each list then plans S and the measures again.  A
+caller who runs large inputs writes both once and passes the written tables as
+``measures`` and ``survivors`` (:func:`in_two_reads`, ``plans.refresh``): S is then
+read twice in all, for the measures and for these rows.
 """
 
 from __future__ import annotations
@@ -106,6 +110,19 @@ def group_measures(orders: DataFrame, repeat_days: int = 30, min_repeats: int =
     ).filter(F.col("repeat_count_30d") >= min_repeats)
 
 
+def surviving_rows(orders: DataFrame, measures: DataFrame) -> DataFrame:
+    """The rows of the keys that have a surviving group, with ``gk`` (NULL where the row's own group does not survive).
+
+    One join on the key: the groups of a key, few trades and categories, travel with it.
+    """
+    groups = measures.select(*[F.col("gk")[c].alias(c) for c in KEY], "gk").groupBy(*KEY).agg(F.collect_set("gk").alias("groups"))
+    # A predecessor from the pad is no member of a group, but the assets count by key within the lookback too.
+    rows = orders.filter(F.col("completion_date") >= F.col("edge")).join(groups, KEY)
+    # A written key reads as nullable.  With the very type of the measures' key, joins on it need no cast and unread lists are pruned.
+    own = _group_struct().cast(measures.schema["gk"].dataType)
+    return rows.select(*KEY, F.when(F.array_contains("groups", own), own).alias("gk"), "tracking_nbr", "completion_date", "problem_desc", "equipment_desc", "equipment_tagid")
+
+
 def organisation(rows: DataFrame, w: DataFrame, w_unique: bool = False) -> DataFrame:
     """The organisation of each group from W; '' where W has none."""
     j = enrich(rows.select("gk", "tracking_nbr"), w, list(ORGANISATION), dedupe=not w_unique)
@@ -156,21 +173,19 @@ def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3
                      trade_prefix: str = FM_TRADE_PREFIX, lookback_pad_days: int = 0,
                      keep_arrays: bool = False, sort: bool = True, w_unique: bool = False,
                      n_tracking: int = N_TRACKING, n_descs: int = N_DESCRIPTIONS, n_assets: int = N_ASSETS,
-                     description_chars: int | None = DESCRIPTION_CHARS, measures: DataFrame | None = None) -> DataFrame:
+                     description_chars: int | None = DESCRIPTION_CHARS, measures: DataFrame | None = None,
+                     survivors: DataFrame | None = None) -> DataFrame:
     """Store + problem groups with at least ``min_repeats`` repeats within ``repeat_days``.
 
     ``problem_code_desc`` is output as ``NULLIF(code_key, '')``.  With
     ``keep_arrays`` the native arrays ``assets`` and ``recent`` are kept next to
-    their strings.  ``measures`` may be the written result of
-    :func:`group_measures` for the same parameters.
+    their strings.  ``measures`` and ``survivors`` may be the written results of
+    :func:`group_measures` and :func:`surviving_rows` for the same parameters.
     """
     orders = work_orders(s, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days)
     m = measures if measures is not None else group_measures(orders, repeat_days, min_repeats)
-    # A predecessor from the pad is no member of a group, but the assets count by key within the lookback too.
-    orders = orders.filter(F.col("completion_date") >= F.col("edge"))
-    keys = m.select(*[F.col("gk")[c].alias(c) for c in KEY]).distinct()
-    of_keys = orders.join(keys, KEY, "left_semi")
-    of_groups = orders.withColumn("gk", _group_struct()).join(m.select("gk"), "gk", "left_semi")
+    of_keys = survivors if survivors is not None else surviving_rows(orders, m)
+    of_groups = of_keys.filter(F.col("gk").isNotNull())
     # Every group has these rows; LEFT lets a branch that is not read be pruned.
     out = m.join(organisation(of_groups, w, w_unique), "gk", "left") \
         .join(recent(of_groups, n_tracking, n_descs, description_chars), "gk", "left")
@@ -187,3 +202,19 @@ def repeat_pairs_30d(s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3
                             ["store_nbr", "problem_type_desc", "problem_code_desc", "sc_trade_name",
                              "category_name"]])
     return out
+
+
+def in_two_reads(write, s: DataFrame, w: DataFrame, as_of, lookback_months: int = 3, repeat_days: int = 30,
+                 min_repeats: int = 2, excluded_types=EXCLUDED_PROBLEM_TYPES, trade_prefix: str = FM_TRADE_PREFIX,
+                 lookback_pad_days: int = 0, rows: bool = True, **kw) -> DataFrame:
+    """:func:`repeat_pairs_30d` with the measures and the surviving rows written first.
+
+    ``write(df, name)`` writes a table and reads it again (``session.written``).  Unlike
+    the lazy form this runs two jobs when called; S is read once in each.  A caller
+    that reads neither lists nor assets leaves the rows out (``rows=False``).
+    """
+    orders = work_orders(s, as_of, lookback_months, excluded_types, trade_prefix, lookback_pad_days)
+    measures = write(group_measures(orders, repeat_days, min_repeats), "repeat-measures")
+    survivors = write(surviving_rows(orders, measures), "repeat-rows") if rows else None
+    return repeat_pairs_30d(s, w, as_of, lookback_months, repeat_days, min_repeats, excluded_types, trade_prefix,
+                            lookback_pad_days, measures=measures, survivors=survivors, **kw)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from recurwork.operators import repeats
 from recurwork.operators.lag import previous_date
 from recurwork.plans import reports, views
+from recurwork.session import written
 from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders
 
 # The fixture history spans 1995-01 .. 2001-08; 100 months reaches all of it,
@@ -64,11 +65,22 @@ def work_order_gaps(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, d: str, **kw) -> DataFrame:
+    """The repeat pairs in two reads of S: the measures and surviving rows are written when this is called."""
     kw.setdefault("lookback_months", PAIRS_LOOKBACK_MONTHS)
-    return repeats.repeat_pairs_30d(_s(spark, d), _w(spark, d), AS_OF, **kw)
+    return repeats.in_two_reads(written, _s(spark, d), _w(spark, d), AS_OF, **kw)
 
 
 def _groups(spark, d):
+    """The groups for views that read no list and no asset: only the measures are written, and S is read a second time for W."""
+    return views.repeat_groups(pairs(spark, d, sort=False, rows=False))
+
+
+def _measured_groups(spark, d):
+    """The groups for views that read measures only: lazy, as S is read once."""
+    return views.repeat_groups(repeats.repeat_pairs_30d(_s(spark, d), _w(spark, d), AS_OF, PAIRS_LOOKBACK_MONTHS, sort=False))
+
+
+def _whole_groups(spark, d):
     return views.repeat_groups(pairs(spark, d, sort=False))
 
 
@@ -103,28 +115,28 @@ def _detail_enriched(spark, d):
 
 VIEW_QUERIES = {
     "kpi_overview": lambda s, d: views.kpi_overview(_r(s, d), AS_OF),
-    "repeat_groups": lambda s, d: _groups(s, d),
-    "by_problem": lambda s, d: views.by_problem(_groups(s, d)),
+    "repeat_groups": lambda s, d: _whole_groups(s, d),
+    "by_problem": lambda s, d: views.by_problem(_measured_groups(s, d)),
     "by_store": lambda s, d: views.by_store(_groups(s, d)),
     "by_director": lambda s, d: views.by_director(_groups(s, d)),
-    "repeat_detail_view": lambda s, d: views.repeat_detail_view(_groups(s, d), ORG_FILTER),
+    "repeat_detail_view": lambda s, d: views.repeat_detail_view(_whole_groups(s, d), ORG_FILTER),
     "filtered_kpis": lambda s, d: views.filtered_kpis(_groups(s, d), ORG_FILTER),
     "by_store_filtered": lambda s, d: views.by_store_filtered(_groups(s, d), ORG_FILTER),
     "by_director_filtered": lambda s, d: views.by_director_filtered(_groups(s, d), ORG_FILTER),
     "by_problem_filtered": lambda s, d: views.by_problem_filtered(_groups(s, d), FACET_FILTER),
     "facets": lambda s, d: views.facets(_groups(s, d), FACET_FILTER),
-    "store_slice": lambda s, d: views.store_slice(_groups(s, d), SLICE_STORE),
+    "store_slice": lambda s, d: views.store_slice(_whole_groups(s, d), SLICE_STORE),
     "store_slice_summary": lambda s, d: views.store_slice_summary(_groups(s, d), SLICE_STORE),
     "gap_finder": lambda s, d: views.gap_finder(_detail_enriched(s, d), sort_key="days_between",
                                                 descending=False, page_no=1, **GAP_FILTER),
     "gap_finder_search": lambda s, d: views.gap_finder(_detail_enriched(s, d), **GAP_SEARCH),
     "gap_count": lambda s, d: views.gap_count(_detail_enriched(s, d), **GAP_SEARCH),
-    "by_problem_sorted": lambda s, d: views.by_problem(_groups(s, d), "rate", False),
+    "by_problem_sorted": lambda s, d: views.by_problem(_measured_groups(s, d), "rate", False),
     "by_store_sorted": lambda s, d: views.by_store(_groups(s, d), "total_nte", True),
     "by_director_sorted": lambda s, d: views.by_director(_groups(s, d), "store_count", False),
     "by_store_filtered_sorted": lambda s, d: views.by_store_filtered(_groups(s, d), ORG_FILTER, sort_field="rm", descending=False),
     "by_director_filtered_sorted": lambda s, d: views.by_director_filtered(_groups(s, d), ORG_FILTER, sort_field="top_problem", descending=False),
-    "repeat_detail_view_sorted": lambda s, d: views.repeat_detail_view(_groups(s, d), ORG_FILTER, sort_field="lc", descending=False),
+    "repeat_detail_view_sorted": lambda s, d: views.repeat_detail_view(_whole_groups(s, d), ORG_FILTER, sort_field="lc", descending=False),
     "gap_finder_state_trade": lambda s, d: views.gap_finder(_detail_enriched(s, d), state="EUROPE", trade="FM - FURNITURE", size=100),
     "store_list_state": lambda s, d: views.store_list(_hotspots(s, d), state="EUROPE"),
     "trade_options": lambda s, d: views.options(_trade(s, d), "trade"),

@@ -14,28 +14,45 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recurwork import schemas
 from recurwork.operators.dimension import dedupe_dim
-from recurwork.operators.repeats import group_measures, repeat_pairs_30d, work_orders
+from recurwork.operators.repeats import group_measures, repeat_pairs_30d, surviving_rows, work_orders
 from recurwork.plans import reports, views
-from recurwork.sources import files
+from recurwork.sources import files, layout
+
+#: The tables that readers export (V3–V6).
+CSV_EXPORTS = ("by_problem", "by_store", "by_director", "repeat_detail_view")
 
 
 def refresh(spark: SparkSession, s: DataFrame, w: DataFrame, r: DataFrame, out_dir: str, as_of,
-            lookback_days: int = 365, lookback_months: int = 3, json_export: bool = False) -> dict[str, str]:
+            lookback_days: int = 365, lookback_months: int = 3, json_export: bool = False, csv_export: bool = False,
+            buckets: int | None = None) -> dict[str, str]:
     """Write every report and unfiltered view, all rows; returns name -> path of the version written.
 
-    W is reduced to a row per work order once, and the measures of the repeat groups
-    are written once for the joins that read them; both are versions in ``out_dir``.
+    W is reduced to a row per work order once, and the measures and rows of the
+    surviving repeat groups are written once for what reads them; all are versions in
+    ``out_dir``.  With ``buckets`` (see ``layout.buckets_for``) W and the year of R are
+    also laid out by work order, and the reports join them without moving either.
+    ``json_export`` and ``csv_export`` add those forms of every result, CSV of the
+    tables that are exported for readers (S9).
     """
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
         paths[name] = files.write_result(df, os.path.join(out_dir, name))
-        back = spark.read.schema(df.schema).parquet(paths[name])  # lineage cut: later steps read the written table
+        return export(name, files.load_result(spark, os.path.join(out_dir, name), df.schema))  # lineage cut: later steps read the written table
+
+    def export(name: str, back: DataFrame) -> DataFrame:
         if json_export:
             files.export_json(back, os.path.join(out_dir, "json", name))
+        if csv_export and name in CSV_EXPORTS:
+            files.export_csv(back, os.path.join(out_dir, "csv", name))
         return back
 
+    def by_work_order(df: DataFrame, name: str) -> DataFrame:
+        return layout.open_bucketed(spark, layout.write_bucketed(df, os.path.join(out_dir, "layout"), buckets, name=name))
+
     w = put("work_order_dim", dedupe_dim(w))
+    if buckets:
+        w, r = by_work_order(w, "work_order_dim"), by_work_order(reports.recent(r, as_of, lookback_days), "recurring")
     trade = put("repeats_by_trade", reports.repeats_by_trade(r, as_of, lookback_days))
     put("problem_codes", reports.problem_codes(r, as_of, lookback_days))
     put("store_hotspots", reports.store_hotspots(r, w, as_of, lookback_days, w_unique=True))
@@ -43,17 +60,20 @@ def refresh(spark: SparkSession, s: DataFrame, w: DataFrame, r: DataFrame, out_d
     put("repeat_detail", reports.repeat_detail(r, as_of, lookback_days, w=w, w_unique=True))
     put("tech_repeats", reports.tech_repeats(r, w, as_of, lookback_days, w_unique=True))
 
-    measures = put("repeat_measures", group_measures(work_orders(s, as_of, lookback_months)))
+    orders = work_orders(s, as_of, lookback_months)
+    measures = put("repeat_measures", group_measures(orders))
+    survivors = put("repeat_rows", surviving_rows(orders, measures))
     at = os.path.join(out_dir, "repeat_pairs_30d")
     paths["repeat_pairs_30d"] = files.write_or_keep(
-        spark, lambda: repeat_pairs_30d(s, w, as_of, lookback_months, keep_arrays=True, w_unique=True, measures=measures),
+        spark, lambda: repeat_pairs_30d(s, w, as_of, lookback_months, keep_arrays=True, w_unique=True, measures=measures, survivors=survivors),
         schemas.REPEAT_PAIRS, at)
-    pairs = spark.read.parquet(paths["repeat_pairs_30d"])
+    pairs = export("repeat_pairs_30d", spark.read.parquet(paths["repeat_pairs_30d"]))
     groups = views.repeat_groups(pairs)
     put("repeat_groups", groups)
     put("by_problem", views.by_problem(groups))
     put("by_store", views.by_store(groups))
     put("by_director", views.by_director(groups))
+    put("repeat_detail_view", views.repeat_detail_view(groups, require_org_filter=False))
     put("facets", views.facets(groups, {}))
     put("asset_counts_exploded", views.asset_counts_exploded(pairs))
     put("recent_work_orders", views.recent_work_orders(pairs))
@@ -87,13 +107,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--lookback-days", type=int, default=365)
     ap.add_argument("--lookback-months", type=int, default=3)
     ap.add_argument("--json", action="store_true", help="also export every result as JSON lines")
+    ap.add_argument("--csv", action="store_true", help="also export the repeat tables as CSV")
+    ap.add_argument("--buckets", type=int, help="lay W and R out in so many buckets by work order")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("recurwork-refresh").getOrCreate()
     checkpoint_dir(spark)
     paths = refresh(spark, scan_workorders(spark, a.workorders), scan_workorder_dim(spark, a.dim),
                     scan_recurring(spark, a.recurring), a.out, dt.date.fromisoformat(a.as_of),
-                    a.lookback_days, a.lookback_months, a.json)
+                    a.lookback_days, a.lookback_months, a.json, a.csv, a.buckets)
     for name, p in paths.items():
         print(f"{name}\t{p}")
 

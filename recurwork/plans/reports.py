@@ -19,14 +19,14 @@ from recurwork.operators.ordering import top_k
 from recurwork.sources.tables import since_month_filter
 
 
-def _recent(r: DataFrame, as_of, lookback_days: int) -> DataFrame:
+def recent(r: DataFrame, as_of, lookback_days: int) -> DataFrame:
     start = F.date_sub(as_of_lit(as_of), lookback_days)
     return r.filter(since_month_filter(r, "call_date", start) & day_lookback("call_date", as_of, lookback_days))
 
 
 def repeats_by_trade(r: DataFrame, as_of, lookback_days: int = 365, limit: int | None = None) -> DataFrame:
     """Repeats per trade with distinct stores / assets and the cumulative 90/180/365-day counts."""
-    base = _recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
+    base = recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
     out = base.groupBy(default("sc_trade_name", UNKNOWN).alias("trade")).agg(
         F.count(F.lit(1)).alias("total_repeats"),
         F.countDistinct("store_nbr").alias("stores_affected"),
@@ -47,7 +47,7 @@ def problem_codes(r: DataFrame, as_of, lookback_days: int = 365, min_count: int
 
 def problem_code_groups(r: DataFrame, as_of, lookback_days: int = 365, min_count: int = 3) -> DataFrame:
     """The unsorted aggregate behind :func:`problem_codes` (for consumers that re-aggregate)."""
-    base = _recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
+    base = recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
     return base.groupBy(
         default("sc_trade_name", UNKNOWN).alias("trade"),
         default("problem_code_desc", UNKNOWN).alias("problem_code"),
@@ -71,7 +71,7 @@ def store_hotspots(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365,
     rows are counted per (store, trade) first, then per store: R is read once, and
     a store gathers one row per trade.
     """
-    base = _recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
+    base = recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
         .select("tracking_nbr", "store_nbr", "sc_trade_name", "month3_flag", "month6_flag")
     j = enrich(base, w, ["store_city", "store_state", "fm_sr_director", "fm_director", "store_type_name"],
                dedupe=not w_unique)
@@ -105,7 +105,7 @@ def monthly_trend(r: DataFrame, as_of, lookback_days: int = 365) -> DataFrame:
 
 def monthly_trend_groups(r: DataFrame, as_of, lookback_days: int = 365) -> DataFrame:
     """The unsorted aggregate behind :func:`monthly_trend` (for views that re-aggregate it)."""
-    base = _recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
+    base = recent(r, as_of, lookback_days).filter(F.col("sc_trade_name").isNotNull())
     return base.groupBy(
         F.date_format("call_date", "yyyy-MM").alias("month"),
         default("sc_trade_name", UNKNOWN).alias("trade"),
@@ -128,7 +128,7 @@ def repeat_detail(r: DataFrame, as_of, lookback_days: int = 365, limit: int | No
     With ``w`` the rows are enriched from W (city, state, directors, technician),
     the columns the gap finder filters and searches on.
     """
-    base = _recent(r, as_of, lookback_days).filter(
+    base = recent(r, as_of, lookback_days).filter(
         (F.col("month3_flag") == 1) & F.col("sc_trade_name").isNotNull())
     out = base.select(
         "tracking_nbr", "prev_tracking_nbr", "store_nbr",
@@ -161,7 +161,7 @@ def tech_repeats(r: DataFrame, w: DataFrame, as_of, lookback_days: int = 365, mi
     makes it an inner join; Catalyst rewrites it the same way.  Only 90-day
     repeats are read, so ``within_90d`` equals ``repeat_wos`` by construction.
     """
-    base = _recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
+    base = recent(r, as_of, lookback_days).filter(F.col("month3_flag") == 1) \
         .select("tracking_nbr", "store_nbr", "sc_trade_name", "equip_tagid", "month3_flag")
     j = enrich(base, w, ["latest_activity_tech"], dedupe=not w_unique).filter(present_tech("latest_activity_tech"))
     out = j.groupBy(

@@ -271,7 +271,7 @@ def kpi_overview(r: DataFrame, as_of, lookback_days: int = 365, min_count: int =
     # One scan of R: every row plays up to three roles — its
     # (trade, store), its (trade, code), and its store when it is a 90-day repeat — and one
     # aggregate over (role, key) with map-side combining feeds the fold.
-    base = reports._recent(r, as_of, lookback_days)
+    base = reports.recent(r, as_of, lookback_days)
     trade, m3 = F.col("sc_trade_name"), F.col("month3_flag")
 
     def role(cond, kind, k1, k2, r90):

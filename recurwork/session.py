@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  Dates are compared as calendar days, so the
 # session time zone is pinned; AQE re-plans joins and coalesces partitions at
@@ -62,6 +63,13 @@ def cluster_conf(total_cores: int, input_bytes: int, target_partition_bytes: int
     }
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, read again: cuts the lineage.  The folder's own retention removes it."""
+    at = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 

@@ -1,11 +1,18 @@
 """Plan checks: no Python in the plan, pushdown and pruning, bounded top-N and lists."""
 
+import os
 import re
+import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import SMALL
+from recurwork.operators import repeats
+from recurwork.plans import catalog, views
 from recurwork.plans.catalog import QUERIES
+from recurwork.session import written
+from recurwork.sources.fixtures import AS_OF, fx_workorder_dim, fx_workorders
 
 
 def plan_of(df) -> str:
@@ -14,7 +21,10 @@ def plan_of(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {k: plan_of(fn(spark, SMALL)) for k, fn in QUERIES.items()}
+    """Whole plans: what the pair queries write on the way is planned with the rest."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(catalog, "written", lambda df, name: df)
+        return {k: plan_of(fn(spark, SMALL)) for k, fn in QUERIES.items()}
 
 
 def test_no_python_udf_anywhere(plans):
@@ -63,10 +73,40 @@ def scans(plan: str, table: str) -> int:
     return len(re.findall(rf"FileScan parquet [^\n]*/{table}\.parquet", plan))
 
 
-def test_lists_assets_and_w_follow_the_surviving_groups(spark):
-    """Each of them is fed by a semi-join with the measures."""
-    p = spark_plan(QUERIES["repeat_pairs_30d"](spark, SMALL))
-    assert p.count("Join LeftSemi") >= 3  # organisation, lists and assets
+@pytest.fixture(scope="module")
+def fact(spark):
+    """S as one table of its own, so that its scans can be counted."""
+    path = os.path.join(tempfile.mkdtemp(prefix="recurwork-plans-"), "s.parquet")
+    odd = F.when(F.col("tracking_nbr") % 5 > 0, F.col("category_name"))  # groups without a category too
+    fx_workorders(spark, SMALL).withColumn("category_name", odd).write.parquet(path)
+    return spark.read.parquet(path), fx_workorder_dim(spark, SMALL)
+
+
+def test_lists_assets_and_w_follow_the_surviving_groups(spark, fact):
+    """Each of them reads S through an inner join with the keys of the measures."""
+    p = spark_plan(repeats.repeat_pairs_30d(*fact, AS_OF, 100))
+    assert p.count("Join Inner") >= 3 and p.count("collect_set") >= 2  # organisation and lists; assets need the keys alone
+
+
+def test_pairs_read_s_twice_at_most_and_views_that_need_measures_once(spark, fact):
+    steps = []
+
+    def write(df, name):
+        steps.append(plan_of(df))
+        return written(df, name)
+
+    df = repeats.in_two_reads(write, *fact, AS_OF, 100)
+    assert len(steps) == 2 and sum(scans(p, "s") for p in [*steps, plan_of(df)]) == 2 and scans(plan_of(df), "s") == 0
+    same = repeats.repeat_pairs_30d(*fact, AS_OF, 100)
+    assert [tuple(r) for r in df.collect()] == [tuple(r) for r in same.collect()] and df.count() > 20
+
+    steps.clear()
+    groups = views.repeat_groups(repeats.in_two_reads(write, *fact, AS_OF, 100, rows=False, sort=False))
+    for view in (views.by_store(groups), views.by_store_filtered(groups, {"sr": "ASIA"}), views.store_slice_summary(groups, 3), views.name_search(groups, "a"),
+                 views.by_director(groups), views.filtered_kpis(groups, {"sr": "ASIA"}), views.facets(groups, {})):
+        assert sum(scans(p, "s") for p in [*steps, plan_of(view)]) == 2
+    lazy = views.by_problem(views.repeat_groups(repeats.repeat_pairs_30d(*fact, AS_OF, 100, sort=False)))
+    assert scans(plan_of(lazy), "s") == 1
 
 
 def spark_plan(df) -> str:
@@ -77,8 +117,9 @@ def test_no_operator_runs_a_job_when_called(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("lazy", "building plans")
     try:
-        for k in ("repeat_pairs_all", "store_slice", "by_problem_filtered", "gap_finder", "top5_trend", "kpi_overview"):
+        for k in ("by_problem", "gap_finder", "top5_trend", "kpi_overview"):
             QUERIES[k](spark, SMALL)
+        views.store_slice(views.repeat_groups(repeats.repeat_pairs_30d(fx_workorders(spark, SMALL), fx_workorder_dim(spark, SMALL), AS_OF)), 3)
         # reading a Parquet footer for the schema is the only job a plan may need
         assert all("parquet" in (stage.name if (stage := tracker.getStageInfo(s)) else "parquet")
                    for j in tracker.getJobIdsForGroup("lazy") for s in tracker.getJobInfo(j).stageIds)

@@ -22,6 +22,19 @@ def test_refresh_writes_every_result(spark):
     assert spark.read.parquet(paths["repeats_by_trade"]).count() == 8
 
 
+def test_refresh_over_buckets_gives_the_same_and_exports(spark):
+    s, w, r = fx_workorders(spark, MEDIUM), fx_workorder_dim(spark, MEDIUM), fx_recurring(spark, MEDIUM)
+    outs = [tempfile.mkdtemp(prefix="recurwork-refresh-") for _ in range(2)]
+    a, b = (rf.refresh(spark, s, w, r, o, AS_OF, lookback_months=100, **kw) for o, kw in zip(outs, ({"csv_export": True}, {"buckets": 4})))
+    assert a.keys() == b.keys()
+    for name in ("store_hotspots", "tech_repeats", "repeat_detail", "repeat_pairs_30d", "by_store"):
+        x, y = (sorted(map(str, spark.read.parquet(p[name]).collect())) for p in (a, b))
+        assert x == y and x, name
+    for name in rf.CSV_EXPORTS:
+        assert spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{outs[0]}/csv/{name}").count() == spark.read.parquet(a[name]).count()
+    assert len(os.listdir(f"{outs[1]}/layout")) == 2
+
+
 def test_failed_refresh_leaves_the_last_good_rows(spark):
     from pyspark.sql import functions as F
 
