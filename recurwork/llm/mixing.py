@@ -143,8 +143,9 @@ def mixed_documents(docs: DataFrame, domain: Column, weights: tuple[Weights, Wei
     Texts meet the plan, a row per leaf, where they are read: Spark broadcasts it
     while it is small, and splits common leaves in a shuffle join beyond that.
     """
-    own = with_leaf(docs, domain)
+    # The document is one value on the way, so none of its columns can clash with the plan's.
+    own = with_leaf(docs.select(F.struct("*").alias("_mix_doc"), "doc_id", "text", "lang", "source"), domain)
     counted = written(own.select("doc_id", *LEAF, "_mix_tokens"), "mix-counted")
     leaves = written(plan(counted, weights, total, max_epochs, seed).select(*LEAF, "epochs", "bound"), "mix-plan")
     taken = own.join(leaves, LEAF).withColumn("_mix_times", times(seed)).where("_mix_times > 0")
-    return taken.withColumn("_mix_one", F.explode(F.sequence(F.lit(1).cast("long"), "_mix_times"))).select(*docs.columns)
+    return taken.withColumn("_mix_one", F.explode(F.sequence(F.lit(1).cast("long"), "_mix_times"))).select("_mix_doc.*")

@@ -1,12 +1,14 @@
-"""Similarity join of documents on word shingles: a MinHash LSH forest, then exact verification.
+"""Similarity join of documents on word shingles: banded MinHash LSH, then exact verification.
 
 A document is the set of its runs of ``WORDS`` words (words end at white space; a
 shorter text is one run).  Documents of equal sets are one node with a number of
-copies, so copies never meet each other.  Each node has a label, a sequence of
-MinHash values, in each of ``trees`` prefix tries.  The matched prefix starts at
-``deepest`` values and is shortened until two sets at the similarity bound share a
-prefix in some trie with probability ``recall`` (:func:`matched_depth`; 6 values in
-32 tries for 0.8 and 0.9999; pairs above the bound are found more surely).
+copies, so copies never meet each other.  Each node has a prefix of MinHash values in
+each of ``trees`` bands, all of one length: the longest at which two sets at the
+similarity bound share a prefix in some band with probability ``recall``
+(:func:`matched_depth`; 6 values in 32 bands for 0.8 and 0.9999; pairs above the bound
+are found more surely).  This takes the place of an LSH forest, whose tries would
+shorten prefixes node by node: links are counted exactly, so every pair at the bound
+has to meet, and a prefix kept longer at a crowded node would part some.
 
 Nodes that share a prefix are led to the least of them, which makes clusters; any
 two nodes that share a prefix are in one cluster.  All pairs of a cluster are
@@ -274,7 +276,8 @@ def one_of_each(docs: DataFrame, trees: int = 32, recall: float = 0.9999) -> Dat
     wordless = signed.where("key is null").select("_ng_id", "_ng_told").distinct()
     once = written(best.where("n = 1").drop("n").unionByName(wordless), "ngram-once")
     repeated = written(best.where("n > 1").drop("n"), "ngram-repeated")
-    own = docs.withColumns({"_ng_id": F.coalesce("doc_id", F.lit(NO_ID)), "_ng_told": F.xxhash64("text")})
+    # The document is one value on the way, so none of its columns can clash with these.
+    own = docs.select(F.struct("*").alias("_ng_doc"), F.coalesce("doc_id", F.lit(NO_ID)).alias("_ng_id"), F.xxhash64("text").alias("_ng_told"))
     on = ["_ng_id", "_ng_told"]
     return (own.join(once.hint("merge"), on, "left_semi").unionByName(own.join(repeated, on, "left_semi").dropDuplicates(on))
-            .select(*docs.columns))
+            .select("_ng_doc.*"))

@@ -95,6 +95,23 @@ def test_nulls_repeats_zero_weight_and_empty(spark):
     assert kept.columns == df.columns and kept.count() == 10 and mixing.mixed_documents(df.limit(0), F.lit("d"), FLAT, total(1).cast("long"), 1, 1).count() == 0
 
 
+def test_columns_of_the_plan_may_be_columns_of_the_documents(spark):
+    rows = [(i, "one two three", "de", "bc"[i % 2]) for i in range(40)] + [(None, "four five", "de", "b")] * 3
+    names = ["epochs", "bound", "budget", "n", "key", "room", "_mix_domain", "_mix_tokens", "_mix_times", "_mix_doc", "domain", "rest"]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.concat(F.lit(c), "source") for c in names})
+    got = mixing.mixed_documents(df, F.substring("source", 1, 1), FLAT, total(60).cast("long"), 2, 1)
+    plain = mixing.mixed_documents(df.select("doc_id", "text", "lang", "source"), F.substring("source", 1, 1), FLAT, total(60).cast("long"), 2, 1)
+    assert got.columns == df.columns
+    assert sorted(map(str, got.select(plain.columns).collect())) == sorted(map(str, plain.collect())) and got.count() > 10
+    assert all(r[c] == c + r.source for r in got.collect() for c in names)
+
+
+def test_all_ids_null(spark):
+    df = spark.createDataFrame([(None, "one two", "de", "b")] * 30, SCHEMA)
+    assert mixing.mixed_documents(df, F.substring("source", 1, 1), FLAT, total(200).cast("long"), 2, 1).count() == 60
+    assert mix(df, 200).count() == 30
+
+
 def test_no_python(spark):
     plan = queries.op8_mixture(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

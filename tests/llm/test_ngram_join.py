@@ -76,6 +76,22 @@ def test_one_stays_of_rows_that_repeat(spark):
     assert sorted(r.text for r in ngram_join.one_of_each(df).collect()) == ["a b c d e f", "g h i j k l"]
 
 
+def test_columns_of_the_join_may_be_columns_of_the_documents(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, None), (None, "a b c d e f"), (None, "x y")]
+    names = ["_ng_id", "_ng_told", "_ng_doc", "key", "n", "kept", "told", "class_id"]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.concat(F.lit(c), F.coalesce("text", F.lit("-"))) for c in names})
+    got = ngram_join.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(1, "a b c d e f"), (3, None), (None, "x y")], key=repr)
+    assert all(r[c] == c + (r.text or "-") for r in got.collect() for c in names)
+
+
+def test_all_ids_null(spark):
+    df = spark.createDataFrame([(None, "a b c d e f")] * 7 + [(None, "other words")], "doc_id long, text string")
+    assert {(r.doc_id, r.class_id, r.n_links) for r in ngram_join.join_similar(df).collect()} == {(None, None, 6), (None, None, 0)}
+    assert ngram_join.one_of_each(df).count() == 2
+
+
 def test_prefix_is_as_long_as_the_recall_allows():
     for trees, recall in ((32, 0.9999), (8, 0.9), (64, 0.999)):
         depth = ngram_join.matched_depth(trees, recall)

@@ -22,7 +22,7 @@ def test_each_stage_works_on_what_its_predecessor_kept(spark):
     tables = langid.tables()
     for i, r in before.items():
         counts, letters = langid.grams(r.text or "", tables)
-        assert (i in after) == bool(letters and model.predict(counts)[1] >= 0.3)
+        assert (i in after) == bool(letters and model.predict(counts)[1] >= langid.least_score(len(model.langs), 1 / 3))
 
     before, after = rows["near_copies"]
     classes = {r.doc_id: r.class_id for r in ngram_join.join_similar(at["near_copies"][0]).collect()}
