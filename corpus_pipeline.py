@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(spark, docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN,
-                                max_pieces=1 << 17, max_states=1 << 17)  # executors still hold the memory of the joins before
+                                max_pieces=1 << 16, max_states=1 << 16)  # executors still hold the memory of the joins before
 
 
 STAGES: list[tuple[str, Stage]] = [
