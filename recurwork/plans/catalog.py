@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from recurwork.operators import repeats
 from recurwork.operators.lag import previous_date
-from recurwork.plans import reports, views
+from recurwork.plans import reports, selection, trend_sets, views
 from recurwork.session import written
 from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders
 
@@ -113,6 +113,16 @@ def _detail_enriched(spark, d):
     return reports.repeat_detail(_r(spark, d), AS_OF, w=_w(spark, d))
 
 
+def _sets(spark, d):
+    """The trend as sets, written when this is called, as the refresh does."""
+    return written(trend_sets.trend_sets(_r(spark, d), AS_OF), "trend-sets")
+
+
+def _index(spark, d):
+    """The index of the groups, written when this is called, as the refresh does."""
+    return written(selection.group_index(_groups(spark, d)), "group-index")
+
+
 VIEW_QUERIES = {
     "kpi_overview": lambda s, d: views.kpi_overview(_r(s, d), AS_OF),
     "repeat_groups": lambda s, d: _whole_groups(s, d),
@@ -159,6 +169,15 @@ VIEW_QUERIES = {
         as_text(reports.tech_repeats(_r(s, d), _w(s, d), AS_OF)), "tech 1"),
     "asset_counts_exploded": lambda s, d: views.asset_counts_exploded(pairs(s, d, keep_arrays=True, sort=False)),
     "recent_work_orders": lambda s, d: views.recent_work_orders(pairs(s, d, keep_arrays=True, sort=False)),
+    "trend_by_month": lambda s, d: trend_sets.roll_up(_sets(s, d), "month"),
+    "trend_by_quarter": lambda s, d: trend_sets.roll_up(_sets(s, d), "quarter"),
+    "trend_by_quarter_and_trade": lambda s, d: trend_sets.roll_up(_sets(s, d), "quarter", by_trade=True),
+    "trend_by_trade": lambda s, d: trend_sets.roll_up(_sets(s, d), None, by_trade=True),
+    "trend_total": lambda s, d: trend_sets.roll_up(_sets(s, d), None),
+    "facets_indexed": lambda s, d: selection.facets_indexed(_index(s, d), FACET_FILTER),
+    "filtered_kpis_indexed": lambda s, d: selection.kpis_indexed(_index(s, d), ORG_FILTER),
+    "by_problem_filtered_indexed": lambda s, d: selection.problems_indexed(
+        _index(s, d), views.by_problem(_measured_groups(s, d)), FACET_FILTER),
     "name_search": lambda s, d: views.name_search(_groups(s, d), "manager"),
     "asset_counts_parsed": lambda s, d: views.asset_counts_from_text(pairs(s, d, sort=False)),
     "gap_filter_options": lambda s, d: views.gap_filter_options(_detail_enriched(s, d)),

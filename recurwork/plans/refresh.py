@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from recurwork import schemas
 from recurwork.operators.dimension import dedupe_dim
 from recurwork.operators.repeats import group_measures, repeat_pairs_30d, surviving_rows, work_orders
-from recurwork.plans import reports, views
+from recurwork.plans import reports, selection, trend_sets, views
 from recurwork.sources import files, layout
 
 #: The tables that readers export (V3–V6).
@@ -57,6 +57,9 @@ def refresh(spark: SparkSession, s: DataFrame, w: DataFrame, r: DataFrame, out_d
     put("problem_codes", reports.problem_codes(r, as_of, lookback_days))
     put("store_hotspots", reports.store_hotspots(r, w, as_of, lookback_days, w_unique=True))
     trend = put("monthly_trend", reports.monthly_trend(r, as_of, lookback_days))
+    sets = put("trend_sets", trend_sets.trend_sets(r, as_of, lookback_days))
+    for of in ("month", "quarter", "year"):
+        put(f"trend_by_{of}", trend_sets.roll_up(sets, of))
     put("repeat_detail", reports.repeat_detail(r, as_of, lookback_days, w=w, w_unique=True))
     put("tech_repeats", reports.tech_repeats(r, w, as_of, lookback_days, w_unique=True))
 
@@ -74,7 +77,7 @@ def refresh(spark: SparkSession, s: DataFrame, w: DataFrame, r: DataFrame, out_d
     put("by_store", views.by_store(groups))
     put("by_director", views.by_director(groups))
     put("repeat_detail_view", views.repeat_detail_view(groups, require_org_filter=False))
-    put("facets", views.facets(groups, {}))
+    put("facets", selection.facets_indexed(put("group_index", selection.group_index(groups)), {}))
     put("asset_counts_exploded", views.asset_counts_exploded(pairs))
     put("recent_work_orders", views.recent_work_orders(pairs))
 
