@@ -1,8 +1,10 @@
 """Chat formatting with Spark expressions only.
 
-The turns of a conversation are collected as structs and sorted, adjacent turns
-of one role are merged into runs by an array aggregation, and the runs are
-concatenated.  A run is ``<s>[INST]role[/INST]`` + its texts, joined by
+The turns of a conversation are sorted; where the role changes a run begins.  The
+turns of a run are collected as sorted structs and merged by array functions, then the
+runs are concatenated.  Borders and offsets come from a window in turn order, so the
+work is linear in the turns; window and both groupings share one exchange.  A run is
+``<s>[INST]role[/INST]`` + its texts, joined by
 ``[SEP]``, + ``</s>``.  Control strings inside roles and texts are escaped: a
 backslash goes behind their first character, and one more where there are
 backslashes already, so :func:`unescaped` gives back every text exactly.
@@ -15,19 +17,24 @@ between merged turns is under the mask.
 and its mask alone.
 
 Null text and null role count as empty.  Turns are ordered by turn, null first,
-then role, then text; repeated rows stay.  Rows of one conversation meet in one
-row of the result, as that is what the result is; rows with a null conv_id form
-one conversation.  Other columns are ignored.
+then role, then text; repeated rows stay.  Rows with a null conv_id form one
+conversation.  Other columns are ignored, whatever their names; no rows give no rows.
+A conversation is one row of the result, as that is what the result is: its formatted
+text must fit in a row (2 GB), and its turns in a task (they are sorted with spill,
+then held once as arrays).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The marks of the template.
 OPEN, ROLE, TEXT, NEXT, CLOSE = "<s>", "[INST]", "[/INST]", "[SEP]", "</s>"
 LEARNED = "assistant"
+SPANS = "array<struct<start:bigint,length:bigint>>"
+#: Code points of a piece in which spans are looked up.
+PIECE = 4096
 #: First character of a mark, backslashes that stand behind it, and the rest of the mark.
 MARKS = r"(/?s>|/?INST\]|SEP\])"
 
@@ -40,58 +47,40 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"([<\[])\\(\\*)" + MARKS, r"$1$2$3")
 
 
-def turns_of(rows: DataFrame) -> DataFrame:
-    """``conv_id, turns``: the sorted turns as structs (turn, role, text)."""
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.select("conv_id", turn.alias("one")).groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("turns"))
+def placed_turns(rows: DataFrame) -> DataFrame:
+    """Each turn with its place ``n``, its run of adjacent turns of one role, its escaped text and where that starts in the formatted text."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    turns = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    turns = turns.select("*", F.row_number().over(order).alias("n"), F.lag("role").over(order).alias("before"))
+    fresh = F.col("before").isNull() | (F.col("before") != F.col("role"))
+    opening = F.concat(F.when(F.col("n") > 1, CLOSE).otherwise(""), F.lit(OPEN + ROLE), escaped(F.col("role")), F.lit(TEXT))
+    turns = turns.withColumn("said", escaped(F.col("text"))).withColumn("length", F.length("said").cast("long")).withColumn(
+        "ahead", F.length(F.when(fresh, opening).otherwise(NEXT)).cast("long"))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return turns.select("conv_id", "n", "role", "said", "length", F.sum(F.when(fresh, 1).otherwise(0)).over(so_far).alias("run"),
+                        (F.sum(F.col("ahead") + F.col("length")).over(so_far) - F.col("length")).alias("start"))
 
 
-def merged(turns: Column) -> Column:
-    """Runs of turns with one role: array of (role, texts)."""
-    empty = F.array().cast("array<struct<role:string,texts:array<string>>>")
-
-    def add(runs: Column, turn: Column) -> Column:
-        last = F.element_at(runs, -1)
-        fresh = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        longer = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-        same = (F.size(runs) > 0) & (F.try_element_at(runs, F.lit(-1))["role"] == turn["role"])
-        return F.when(same, F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(longer))).otherwise(F.concat(runs, F.array(fresh)))
-
-    return F.aggregate(turns, empty, add)
-
-
-def pieces(runs: Column) -> Column:
-    """The formatted text in pieces: array of (text, learned)."""
-
-    def piece(text: Column, learned: Column) -> Column:
-        return F.struct(text.alias("text"), learned.alias("learned"))
-
-    def of_run(run: Column) -> Column:
-        head = piece(F.concat(F.lit(OPEN + ROLE), escaped(run["role"]), F.lit(TEXT)), F.lit(False))
-        body = F.transform(run["texts"], lambda t, i: F.array(
-            piece(F.when(i == 0, "").otherwise(NEXT), F.lit(False)), piece(escaped(t), run["role"] == LEARNED)))
-        return F.concat(F.array(head), F.flatten(body), F.array(piece(F.lit(CLOSE), F.lit(False))))
-
-    return F.flatten(F.transform(runs, of_run))
-
-
-def spans(parts: Column) -> Column:
-    """Where the learned pieces lie in their concatenation: array of (start, length)."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("found"))
-
-    def add(acc: Column, part: Column) -> Column:
-        n = F.length(part["text"]).cast("long")
-        own = F.array(F.struct(acc["at"].alias("start"), n.alias("length")))
-        return F.struct((acc["at"] + n).alias("at"), F.when(part["learned"], F.concat(acc["found"], own)).otherwise(acc["found"]).alias("found"))
-
-    return F.aggregate(parts, start, add, lambda acc: acc["found"])
+def merged_runs(placed: DataFrame) -> DataFrame:
+    """``conv_id, run``: the turns of a run collected, sorted and merged into one formatted ``text``, with the ``spans`` to learn."""
+    turn = F.struct("n", "role", "said", "start", "length")
+    runs = placed.select("conv_id", "run", turn.alias("one")).groupBy("conv_id", "run").agg(F.sort_array(F.collect_list("one")).alias("turns"))
+    role = F.get("turns", F.lit(0))["role"]
+    text = F.concat(F.lit(OPEN + ROLE), escaped(role), F.lit(TEXT), F.concat_ws(NEXT, F.col("turns.said")), F.lit(CLOSE))
+    spans = F.transform("turns", lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length")))
+    return runs.select("conv_id", "run", text.alias("text"), F.when(role == LEARNED, spans).otherwise(F.array().cast(SPANS)).alias("spans"))
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
     """``conv_id, formatted, loss_mask``."""
-    return (turns_of(rows)
-            .select("conv_id", pieces(merged(F.col("turns"))).alias("parts"))
-            .select("conv_id", F.concat_ws("", F.transform("parts", lambda p: p["text"])).alias("formatted"), spans(F.col("parts")).alias("loss_mask")))
+    runs = merged_runs(placed_turns(rows)).select("conv_id", F.struct("run", "text", "spans").alias("one"))
+    return (runs.groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("runs"))
+            .select("conv_id", F.concat_ws("", F.col("runs.text")).alias("formatted"), F.flatten("runs.spans").alias("loss_mask")))
+
+
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often a lambda inside ``use`` is called."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -101,9 +90,19 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     def of_run(run: Column) -> Column:
         halves = F.split(F.substr(run, F.lit(len(OPEN + ROLE) + 1)), quoted[TEXT], 2)
-        return F.transform(F.split(halves[1], quoted[NEXT]), lambda t: F.struct(unescaped(halves[0]).alias("role"), unescaped(t).alias("text")))
+        return once(halves, lambda h: once(unescaped(h[0]), lambda role: F.transform(
+            F.split(h[1], quoted[NEXT]), lambda t: F.struct(role.alias("role"), unescaped(t).alias("text")))))
+
+    # a place in UTF-8 is found by counting from the start, so spans are cut from pieces of PIECE code points
+    size = F.lit(PIECE)
+    pieces = F.transform(F.sequence(F.lit(0), F.expr(f"length(formatted) div {PIECE}").cast("int")), lambda i: F.substr("formatted", i * size + 1, size))
+
+    def cut(of: Column, m: Column) -> Column:
+        first = F.floor(m["start"] / size).cast("int")
+        many = F.floor((m["start"] + m["length"]) / size).cast("int") - first + 1
+        return unescaped(F.substr(F.concat_ws("", F.slice(of, first + 1, many)), (m["start"] % size + 1).cast("int"), m["length"].cast("int")))
 
-    masked = F.transform("loss_mask", lambda m: unescaped(F.substring("formatted", (m["start"] + 1).cast("int"), m["length"].cast("int"))))
+    masked = once(pieces, lambda of: F.transform("loss_mask", lambda m: cut(of, m)))
     return formatted.select("conv_id", F.flatten(F.transform(runs, of_run)).alias("turns"), F.concat_ws("", masked).alias("learned"), "formatted")
 
 

@@ -1,5 +1,7 @@
 import hashlib
 import random
+import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -46,6 +48,26 @@ def test_long_conversation_nulls_ties_and_repeats(spark):
     assert chat.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_spans_over_pieces_of_the_text(spark):
+    r = random.Random(8)
+    turns = [(1, i, r.choice(["user", "assistant"]), r.choice(["", "é😀", "[SEP]", "x" * r.randrange(9000), "😀é" * r.randrange(3000), "y" * (chat.PIECE - i)])) for i in range(60)]
+    f = chat.format_conversations(spark.createDataFrame(turns, SCHEMA))
+    assert tuple(chat.digests(f).first())[1:5] == told([t[2:] for t in turns])
+    row = f.first()
+    assert [re.sub(r"([<\[])\\(\\*)(/?s>|/?INST\]|SEP\])", r"\1\2\3", row.formatted[m.start:m.start + m.length]) for m in row.loss_mask] == [t for _, _, role, t in turns if role == "assistant"]
+
+
+def test_work_grows_with_the_turns(spark):
+    def seconds(n):
+        rows = spark.range(n).selectExpr("1L conv_id", "id turn", "IF(id % 3 = 0, 'user', 'assistant') role", "repeat('text ', 10) text")
+        begin = time.perf_counter()
+        assert chat.digests(chat.format_conversations(rows)).first().n_turns == n
+        return time.perf_counter() - begin
+
+    start_up = min(seconds(2) for _ in range(2))
+    assert seconds(16_000) - start_up < 10
+
+
 def test_spark_expressions_only(spark):
     plan = chat.digests(chat.format_conversations(spark.createDataFrame([], SCHEMA)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
