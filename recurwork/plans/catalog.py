@@ -6,13 +6,16 @@ tables of ``sf_dir`` on every call (all lazy).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recurwork.operators import repeats
 from recurwork.operators.lag import previous_date
 from recurwork.plans import reports, selection, trend_sets, views
-from recurwork.session import written
+from recurwork.session import checkpoint_dir, written
+from recurwork.sources import text_index
 from recurwork.sources.fixtures import AS_OF, fx_recurring, fx_workorder_dim, fx_workorders
 
 # The fixture history spans 1995-01 .. 2001-08; 100 months reaches all of it,
@@ -90,6 +93,7 @@ FACET_FILTER = {"sr": "MIDDLE EAST", "prob": "1-URGENT"}
 SLICE_STORE = 3
 GAP_FILTER = {"director": "ASIA", "urgency": 60}
 GAP_SEARCH = {"q": "tech 1"}
+SEARCH_PARTS = 16  # parts of a searchable table; text_index.parts_for gives the number for a table's size
 
 
 def _trade(spark, d):
@@ -123,6 +127,25 @@ def _index(spark, d):
     return written(selection.group_index(_groups(spark, d)), "group-index")
 
 
+def _searchable(df: DataFrame, columns, cluster, q: str) -> DataFrame:
+    """The rows of ``df`` that can hold ``q``, by an index that is written when this is called."""
+    at = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/searchable-{uuid.uuid4().hex}"
+    return text_index.narrowed(df.sparkSession, text_index.write_searchable(df, at, columns, SEARCH_PARTS, cluster), q)
+
+
+def _gaps_with(spark, d, q):
+    return _searchable(_detail_enriched(spark, d), views.gap_columns(), ["tech_name", "store_nbr"], q)
+
+
+def _stores_with(spark, d, q):
+    return _searchable(_hotspots(spark, d), views.STORE_SEARCH, ["state", "city"], q)
+
+
+def _extract_with(spark, d, q):
+    extract = as_text(reports.tech_repeats(_r(spark, d), _w(spark, d), AS_OF))
+    return _searchable(extract, extract.columns, ["tech_name"], q)
+
+
 VIEW_QUERIES = {
     "kpi_overview": lambda s, d: views.kpi_overview(_r(s, d), AS_OF),
     "repeat_groups": lambda s, d: _whole_groups(s, d),
@@ -167,6 +190,10 @@ VIEW_QUERIES = {
     "trend_table_one": lambda s, d: views.trend_table(_trend(s, d), "FM - MACHINERY"),
     "extract_search": lambda s, d: views.extract_search(
         as_text(reports.tech_repeats(_r(s, d), _w(s, d), AS_OF)), "tech 1"),
+    "gap_finder_search_indexed": lambda s, d: views.gap_finder(_gaps_with(s, d, "tech 1"), **GAP_SEARCH),
+    "gap_count_indexed": lambda s, d: views.gap_count(_gaps_with(s, d, "tech 1"), **GAP_SEARCH),
+    "store_list_search_indexed": lambda s, d: views.store_list(_stores_with(s, d, "nation_1"), q="nation_1", page_no=0, size=20),
+    "extract_search_indexed": lambda s, d: views.extract_search(_extract_with(s, d, "tech 1"), "tech 1"),
     "asset_counts_exploded": lambda s, d: views.asset_counts_exploded(pairs(s, d, keep_arrays=True, sort=False)),
     "recent_work_orders": lambda s, d: views.recent_work_orders(pairs(s, d, keep_arrays=True, sort=False)),
     "trend_by_month": lambda s, d: trend_sets.roll_up(_sets(s, d), "month"),

@@ -382,12 +382,13 @@ def top_stores(hotspots: DataFrame, k: int, badges: int = 3) -> DataFrame:
     return top_k(out, [F.col("total_repeats").desc(), F.col("store_nbr").asc()], k)
 
 
+STORE_SEARCH = ["store_nbr", "city", "state", "fm_director", "sr_director", "banner"]
 STORE_SORT = ("total_repeats", "repeats_90d", "repeats_180d", "trades_affected")
 
 
 def store_filtered(hotspots: DataFrame, q: str = "", state: str = "") -> DataFrame:
     f = hotspots.filter(F.col("state") == F.lit(state)) if state else hotspots
-    return f.filter(contains_text(["store_nbr", "city", "state", "fm_director", "sr_director", "banner"], q))
+    return f.filter(contains_text(STORE_SEARCH, q))
 
 
 def store_order(sort_key: str = "total_repeats") -> list[Key]:
@@ -487,6 +488,11 @@ GAP_SORT_TEXT = ("call_date", "prev_call_date", "trade", "problem_code", "asset_
 GAP_SORT_NUM = ("days_between", "store_nbr", "tracking_nbr")
 
 
+def gap_columns() -> list:
+    """The searched columns of a detail without a provider, for an index of it."""
+    return [F.lit("") if c == "provider" else c for c in GAP_SEARCH]
+
+
 def gap_filtered(detail: DataFrame, q: str = "", trade: str = "", state: str = "", director: str = "",
                  urgency: int = 0) -> DataFrame:
     d = detail.withColumn("provider", F.lit("")) if "provider" not in detail.columns else detail

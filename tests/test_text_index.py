@@ -1,0 +1,71 @@
+"""Searches through the gram index: equal to the plain search on random texts, with fewer parts read."""
+
+import random
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from recurwork.functions.exprs import any_column_contains, contains_text
+from recurwork.sources import text_index
+
+COLUMNS = ["id", "name", "place"]
+WORDS = ["Alpha", "beta", "GAMMA", "été", "日本語", "a%b", "x_y", "", "tech 1", "tech 10", "😀", "Σας", "é", "q'q"]
+
+
+def made(spark, n=4000):
+    rng = random.Random(2)
+    text = lambda: rng.choice([None, " ".join(rng.choice(WORDS) for _ in range(rng.randrange(4)))])
+    return spark.createDataFrame([(i, text(), f"Place{i // 50} {text() or ''}") for i in range(n)] * 2, "id int, name string, place string")
+
+
+@pytest.fixture(scope="module")
+def indexed(spark):
+    df = made(spark)
+    return df, text_index.write_searchable(df, tempfile.mkdtemp(prefix="recurwork-text-") + "/t", COLUMNS, 20, ["id"])
+
+
+def rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def queries(df, n):
+    rng, seen = random.Random(n), df.limit(800).collect()
+    for i in range(n):
+        r = rng.choice(seen)
+        text = f"{r.id} {r['name'] or ''} {r.place}"
+        at = rng.randrange(len(text))
+        yield text[at:at + rng.choice([1, 2, 3, 4, 9, 30])]
+
+
+def test_equal_to_contains(spark, indexed):
+    df, at = indexed
+    for q in ["", "e", "zz", "place7 ", "TECH 1", "%", "_", "日本", "σας", "none of these", *queries(df, 6)]:
+        got = text_index.narrowed(spark, at, q)
+        assert got.columns == df.columns
+        for found in (contains_text(COLUMNS, q), any_column_contains(COLUMNS, q)):
+            assert rows(got.filter(found)) == rows(df.filter(found)), q
+
+
+def test_parts_read_shrink_with_the_hits(spark, indexed):
+    at = indexed[1]
+    read = {q: text_index.parts_with(spark, at, q).count() for q in ("place", "place33 ", "place3x")}
+    assert read["place"] == 20 and 1 <= read["place33 "] <= 3 and read["place3x"] == 0
+
+
+def test_the_scan_is_pruned_and_the_postings_filtered(spark, indexed):
+    plan = text_index.narrowed(spark, indexed[1], "place33")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "In(_gram" in plan and "Python" not in plan
+
+
+def test_empty_table_and_clashing_names(spark):
+    none = made(spark, 1).limit(0)
+    at = text_index.write_searchable(none, tempfile.mkdtemp(prefix="recurwork-text-") + "/t", COLUMNS, 4, ["id"])
+    assert [text_index.narrowed(spark, at, q).collect() for q in ("", "a", "place")] == [[], [], []]
+    with pytest.raises(ValueError):
+        text_index.write_searchable(none.withColumn("_part", F.lit(1)), at, COLUMNS, 4, ["id"])
+
+
+def test_grams():
+    assert text_index.grams_of("AbAb") == ["aba", "bab"] and text_index.grams_of("Ab") == ["ab"] and text_index.grams_of("") == []
+    assert text_index.parts_for(0) == 1 and text_index.parts_for(100 << 40) == 819200
