@@ -4,21 +4,23 @@ Patterns find the base kinds (``assign``, ``access``, ``hex``).  Runs of base64
 or hex digits and dotted triples are only candidates: they are decoded and
 reported when their structure holds,
 
-* ``signed_token``: header and payload are JSON objects, the header names an
-  algorithm, and a signature follows unless that is "none";
+* ``signed_token``: header and payload are JSON objects, white space before and in
+  them or not, the header names an algorithm, and a signature follows unless that is "none";
 * ``private_key``: DER whose nested lengths add up exactly and whose members are
   those of a PKCS#1, PKCS#8 (plain or encrypted) or SEC 1 private key, in a run
-  of base64, in hex, or between the lines of a PEM block;
+  of base64, in hex, or between the lines of a PEM block, which may be in base64 or hex
+  as a whole (also after blocks without a key);
 * ``ssh_key``: the OpenSSH private key container with all inner lengths in place.
 
 A key may be wrapped over lines, its line ends written out or as escapes (``\\n`` in
-JSON and env files), with or without armour.  Its own lengths say where it ends, so
+JSON and env files), each line quoted (``> ``) or a string literal of its own, with or
+without armour.  Its own lengths say where it ends, so
 there is no least length besides that of the structures, and what follows on the next
 line does not matter; more digits in the same run do.
 
 Public keys and random digits are not reported.  Positions are code points, the
 end exclusive.  Null text counts as empty; texts are read whole; repeated rows
-are scanned as they come; other columns are ignored.
+are scanned as they come; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,13 +45,18 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "signed_token", "private_key", "ssh_key")
 BASE = KINDS[:3]
 
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+#: Three dotted runs, the first of which begins like an object or white space; only the first is consumed.
+TOKEN = re.compile(r"[eICD](?<![A-Za-z0-9_-].)[A-Za-z0-9_-]{7,}+(?=\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+))")
 #: Between digits of a key: white space, and \n, \r and \t as escapes, escaped more than once too; JSON may escape / and =.
 GAP = r"\s|\\++(?:[nrt]|(?=[\s/]))"
 PAD = r"=|\\++u003[dD]"
-PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]{{1,40}})-----((?:[A-Za-z0-9+/]++|{GAP}|{PAD})++)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:[^-]++|-(?!----))*+)-----END \1-----")
+#: A block that may go on: what a longer part of the text can turn into one.
+PEM_BEGUN = re.compile(r"-----BEGIN [A-Z0-9 ]{1,40}-----(?:[^-]++|-(?!----))*+(?:-{5}(?:E|EN|END|END [A-Z0-9 ]{0,40}-{0,5})?)?")
 PAD_ESCAPE = re.compile(r"\\+u003[dD]")
-GAPS = re.compile(rf"(?:{GAP})+")
+#: A line end between string literals or behind marks of quoting, which may stand between digits too.
+FOLD = r"""(?:\\++[nrt])*+["'`]?[ \t]*+(?:[+,.&\\][ \t]*+)?\r?\n[ \t>|\#*]*+["'`]?"""
+GAPS = re.compile(rf"(?:{FOLD}|(?:{GAP})++)++")
 PADS = re.compile(rf"(?:{PAD}){{0,2}}")
 PADS_BEYOND = re.compile(rf"(?:{GAP})+(?:{PAD}){{1,2}}(?!{PAD})")
 RUN64, RUN16 = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[0-9A-Fa-f]+")
@@ -58,6 +65,9 @@ STARTS64 = (("M", re.compile(r"M(?:(?<![A-Za-z0-9+/_-]M)|(?<=\\[nrt]M))[A-I]")),
             ("b3Blbn", re.compile(r"b3Blbn(?:(?<![A-Za-z0-9+/_-]b3Blbn)|(?<=\\[nrt]b3Blbn))")))
 STARTS16 = (("30", re.compile(r"30(?:(?<![0-9A-Fa-f]30)|(?<=\\[nrt]30))[0-8]")),
             ("6", re.compile(r"6[fF]70656[eE](?:(?<![0-9A-Fa-f].{8})|(?<=\\[nrt].{8}))")))
+#: Where an encoded block of armour may begin.
+ARMOUR64 = ("LS0tLS1CRUdJTi", re.compile(r"LS0tLS1CRUdJTi(?:(?<![A-Za-z0-9+/_-].{14})|(?<=\\[nrt].{14}))"))
+ARMOUR16 = ("424547494", re.compile(r"(?:2[dD]){5}424547494[eE]20(?:(?<![0-9A-Fa-f].{22})|(?<=\\[nrt].{22}))"))
 MAGIC = b"openssh-key-v1\0"
 FIRST = 18  # bytes read to see whether more are worth it: a header, the first tags, the container's name
 
@@ -218,6 +228,49 @@ def key_at(text: str, at: int, hexed: bool) -> Span | None:
     return at, end, kind
 
 
+def encoded_armour_at(text: str, at: int, hexed: bool) -> Span | None:
+    """The encoded blocks of armour that begin here, up to the last one that holds a key and the line ends after it."""
+    run, decode = (RUN16, decode16) if hexed else (RUN64, decode64)
+    n = 256
+    while True:
+        digits, _ = digits_at(text, at, n, run)
+        told = (decode(digits if hexed or len(digits) % 4 != 1 else digits[:-1]) or b"").decode("latin-1")
+        done, kind, size = 0, None, 0
+        while m := PEM.match(told, done):
+            done = m.end() + len(told) - m.end() - len(told[m.end():].lstrip("\r\n"))
+            if own := kind_of_key(decode64(bare(m[2]))):
+                kind, size = own, done
+        if len(digits) < n or done < len(told) and not PEM_BEGUN.fullmatch(told, done) and not "-----BEGIN ".startswith(told[done:]):
+            break
+        n *= 2
+    if kind is None:
+        return None
+    _, end = digits_at(text, at, 2 * size if hexed else -(-4 * size // 3), run)
+    return at, end if hexed else PADS.match(text, end).end(), kind
+
+
+def encoded_armour_of(text: str) -> list[Span]:
+    """The keys whose armour is itself in base64 or hex."""
+    found: list[Span] = []
+    for hexed, (literal, pattern) in ((False, ARMOUR64), (True, ARMOUR16)):
+        done = 0
+        for m in pattern.finditer(text) if literal in text else ():
+            if m.start() >= done and (key := encoded_armour_at(text, m.start(), hexed)):
+                found.append(key)
+                done = key[1]
+    return found
+
+
+def tokens_of(text: str) -> list[Span]:
+    found: list[Span] = []
+    done = 0
+    for m in TOKEN.finditer(text):
+        if m.start() >= done and is_signed_token(m[0], m[1], m[2]):
+            done = m.end(2)
+            found.append((m.start(), done, "signed_token"))
+    return found
+
+
 def keys_of(text: str, at: list[Span]) -> list[Span]:
     """The keys without armour; ``at`` are those with it."""
     found: list[Span] = []
@@ -240,9 +293,9 @@ def scan(text: str) -> list[Span]:
     if "AKIA" in text:
         found += ((*m.span(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LEAST)
     found += ((*m.span(), "hex") for m in HEX.finditer(text))
-    if "eyJ" in text:
-        found += ((*m.span(), "signed_token") for m in TOKEN.finditer(text) if is_signed_token(*m.groups()))
+    found += tokens_of(text)
     armoured = [(*m.span(), kind) for m in PEM.finditer(text) if (kind := kind_of_key(decode64(bare(m[2]))))] if "-----BEGIN " in text else []
+    armoured += encoded_armour_of(text)
     found += armoured
     found += keys_of(text, armoured)
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))

@@ -137,3 +137,46 @@ def test_escaped_digits_and_redaction():
 def test_public_key_over_lines_is_not_reported():
     assert secrets.scan(wrapped(b64(SPKI), 64, "\n")) == []
     assert secrets.scan("-----BEGIN PUBLIC KEY-----\\n" + wrapped(b64(SPKI), 64, "\\n") + "\\n-----END PUBLIC KEY-----") == []
+
+
+def pem(data, label="PRIVATE KEY"):
+    return f"-----BEGIN {label}-----\n{wrapped(b64(data), 64, chr(10))}\n-----END {label}-----\n"
+
+
+@pytest.mark.parametrize("data", [RSA, PKCS8, SEC1])
+def test_armour_that_is_encoded_as_a_whole(data):
+    block = pem(data)
+    for whole in (block, block.rstrip("\n"), pem(SPKI, "CERTIFICATE") + block):
+        for digits in (b64(whole.encode()), whole.encode().hex().upper(), wrapped(b64(whole.encode()), 76, "\n  ")):
+            for before, after in (("", ""), ("tls.key: ", "\nkind: Secret and more"), ('"', '"')):
+                got = [s for s in secrets.scan(before + digits + after) if s[2] not in secrets.BASE]
+                assert got == [(len(before), len(before + digits), "private_key")], (before, digits[-20:])
+    for whole in (pem(SPKI, "PUBLIC KEY"), block.replace("M", "N"), block[:-20], "-----BEGIN " * 2000):
+        assert not [s for s in secrets.scan(b64(whole.encode())) if s[2] not in secrets.BASE]
+
+
+@pytest.mark.parametrize(("first", "line"), [("", "> {}\n"), ("", "  | {}\n"), ('k = "', '{}\\n" +\n    "'), ("k = '", "{}' \\\n  '"), ("", "# {}\n"), ('["', '{}",\n "')])
+def test_quoted_lines_and_literals(first, line):
+    text = first + "".join(line.format(part) for part in pem(RSA).splitlines())
+    at, end = text.index("-----BEGIN"), text.rindex("-----") + 5
+    assert secrets.scan(text) == [(at, end, "private_key")]
+    digits = wrapped(b64(RSA), 64, "\n").splitlines()
+    text = first + "".join(line.format(part) for part in digits)
+    assert secrets.scan(text) == [(text.index(digits[0]), text.index(digits[-1]) + len(digits[-1]), "private_key")]
+
+
+def raw(text):
+    return base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+
+
+@pytest.mark.parametrize("head", ['{ "alg": "RS256" }', '{\n  "alg": "RS256"}', ' {"alg":"RS256"}', '\t{"alg":"RS256"}', '\r\n{"alg":"RS256"}', '{\r\n"alg":"RS256"}'])
+def test_tokens_whose_json_holds_white_space(head):
+    token = raw(head) + "." + raw('\n{ "sub": 1 }') + ".c2ln"
+    for before in ("", "Internal.address.", "see ", "Cookie.of."):
+        assert secrets.scan(before + token) == [(len(before), len(before + token), "signed_token")]
+    assert secrets.scan("x" + token) == secrets.scan("Internal.address.example and Internet.words.e.g.") == []
+
+
+def test_folds_are_linear():
+    for text in (b64(RSA)[:40] + " " * 300_000, (b64(RSA)[:40] + "\n") * 5000, "LS0tLS1CRUdJTiAg " * 20_000, "eyJh." * 60_000, "-----BEGIN A-----" * 20_000):
+        assert [s for s in secrets.scan(text) if s[2] not in secrets.BASE] == []
