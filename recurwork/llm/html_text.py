@@ -8,6 +8,11 @@ decision tree, grown by :func:`grow` from the labelled table ``LABELLED``, says
 which blocks are content; these make the text, joined by one line end, white
 space inside a block (line breaks too) turned into one space.
 
+On a page that marks no article, a second tree, from the table ``SECOND``, then weighs
+the unmarked blocks that are left by the decisions on their neighbours: short sentences
+beside the text and headings before it belong to it, and if nothing was taken, the
+page's sentences do, or else all its unmarked text without links.
+
 A mark counts for all that is inside its element, except where the element only
 wraps the text (:func:`settle`): marks that hold most of the words of the page or
 article count for nothing, and those round an <article> or <main> end there, unless
@@ -17,8 +22,8 @@ The markup may be broken: tags that are not closed are closed by what follows
 them (of the elements that are skipped whole, all but script, style, textarea and
 title end at the next block tag then), an unfinished tag or comment at the end is
 dropped.  Null or empty html
-gives an empty text.  Pages are read whole, row by row; repeated rows give
-repeated rows; other columns are ignored.
+gives an empty text, an empty table an empty one.  Pages are read whole, row by row;
+repeated rows give repeated rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -49,7 +54,6 @@ NAMES = frozenset(
 STEMS = ("comment", "advert", "sponsor", "promo", "cookie", "consent", "gdpr", "newsletter", "sidebar", "notification", "disclaimer")
 #: Marks of layout, which text may stand in as well: the tree weighs its words and links.
 LAYOUT = frozenset("<form> <fieldset> @form widget teaser overlay".split())
-MOST_ROUNDS = 16  # then a mark that wraps goes from all that it is nested in, too
 #: Marks of what readers write, which may be far more than the text.
 TALK = frozenset("comment disqus replies reply respond discussion".split())
 OUTER_NAMES = frozenset("header".split())  # outside of the article only
@@ -63,6 +67,7 @@ HOLDERS = frozenset("html body article section div ul ol dl table nav aside form
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                  r"""|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+UNQUOTED = re.compile(r"""=\s*[^\s"'=<>`]*/\Z""")  # a slash that belongs to a value: the tag does not close itself
 WORD = re.compile(r"[A-Za-z]+")
 BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -108,11 +113,31 @@ LABELLED = [
     (1, 1, 2, 70, 0.0, 2, 0.0, 0, 0.0, 1), (1, 1, 2, 6, 0.0, 60, 0.0, 50, 0.0, 0), (1, 1, 1, 8, 0.0, 50, 0.0, 60, 0.0, 0),
 ]
 
+SECOND_FEATURES = ("sibling", "sentence", "heading", "links", "before_taken", "after_taken", "told")
+ALL_TEXT, SENTENCES, LONG = 0, 1, 2
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+RIGHTS = ("©", "(c)", "copyright")  # how a line on rights begins
+ENDS = tuple(".!?…。！？")
+
+# The labelled table of the second pass, over unmarked blocks that the first one left on a page that
+# marks no article.  sibling: stands beside a taken block in one element; told: what the page shows, 2 blocks that are
+# taken, 1 none, but sentences, 0 neither.
+SECOND = [
+    (1, 1, 0, 0.0, 1, 0, 2, 1), (1, 1, 0, 0.0, 0, 1, 2, 1), (1, 1, 0, 0.1, 1, 1, 2, 1), (1, 1, 0, 0.2, 0, 0, 2, 1), (0, 1, 0, 0.0, 1, 0, 2, 0),
+    (0, 1, 0, 0.0, 0, 0, 2, 0), (0, 1, 0, 0.1, 0, 1, 2, 0), (1, 0, 0, 0.0, 1, 0, 2, 0), (1, 0, 0, 0.0, 0, 0, 2, 0), (0, 0, 0, 0.0, 1, 0, 2, 0),
+    (0, 0, 0, 0.0, 0, 0, 2, 0), (0, 0, 0, 0.0, 0, 1, 2, 0), (1, 0, 0, 0.0, 0, 1, 2, 0), (1, 1, 0, 0.8, 1, 0, 2, 0), (1, 1, 0, 1.0, 0, 1, 2, 0),
+    (0, 0, 1, 0.0, 0, 1, 2, 1), (1, 0, 1, 0.0, 0, 1, 2, 1), (1, 0, 1, 0.0, 1, 1, 2, 1), (0, 1, 1, 0.0, 0, 1, 2, 1), (0, 0, 1, 0.0, 0, 0, 2, 0),
+    (1, 0, 1, 0.0, 0, 0, 2, 0), (1, 0, 1, 0.0, 1, 0, 2, 0), (0, 0, 1, 0.0, 1, 0, 2, 0), (0, 0, 1, 1.0, 0, 1, 2, 0), (1, 0, 1, 1.0, 1, 1, 2, 0),
+    (0, 1, 0, 0.0, 0, 0, 1, 1), (0, 1, 0, 0.2, 0, 0, 1, 1), (0, 1, 1, 0.0, 0, 0, 1, 1), (0, 0, 0, 0.0, 0, 0, 1, 0), (0, 0, 1, 0.0, 0, 0, 1, 0),
+    (0, 1, 0, 0.9, 0, 0, 1, 0), (0, 0, 0, 1.0, 0, 0, 1, 0), (0, 0, 1, 1.0, 0, 0, 1, 0), (0, 0, 0, 0.0, 0, 0, 0, 1), (0, 0, 0, 0.3, 0, 0, 0, 1),
+    (0, 0, 1, 0.0, 0, 0, 0, 1), (0, 0, 0, 0.9, 0, 0, 0, 0), (0, 0, 0, 1.0, 0, 0, 0, 0), (0, 0, 1, 1.0, 0, 0, 0, 0),
+]
+
 Tree = tuple | int
 
 
-def grow(rows: list[tuple], least: int = 1) -> Tree:
-    """A decision tree by Gini impurity, split by marks first: (feature, bound, tree up to it, tree above it), or a label."""
+def grow(rows: list[tuple], least: int = 1, marks: int = MARKS) -> Tree:
+    """A decision tree by Gini impurity, split by marks (the first features) first: (feature, bound, tree up to it, tree above it), or a label."""
 
     def impurity(part: list[tuple]) -> float:
         p = sum(r[-1] for r in part) / len(part)
@@ -121,8 +146,8 @@ def grow(rows: list[tuple], least: int = 1) -> Tree:
     if impurity(rows) == 0:
         return rows[0][-1]
     best = None
-    marked = [f for f in range(MARKS) if len({r[f] for r in rows}) > 1]
-    for f in marked or range(len(FEATURES)):
+    marked = [f for f in range(marks) if len({r[f] for r in rows}) > 1]
+    for f in marked or range(len(rows[0]) - 1):
         values = sorted({r[f] for r in rows})
         for a, b in zip(values, values[1:], strict=False):
             low, high = [r for r in rows if r[f] <= a], [r for r in rows if r[f] > a]
@@ -133,7 +158,7 @@ def grow(rows: list[tuple], least: int = 1) -> Tree:
     if best is None:
         return int(2 * sum(r[-1] for r in rows) >= len(rows))
     _, f, bound, low, high = best
-    return f, bound, grow(low, least), grow(high, least)
+    return f, bound, grow(low, least, marks), grow(high, least, marks)
 
 
 def decide(tree: Tree, row: tuple) -> int:
@@ -216,6 +241,15 @@ def grouped(scope: Element, members: list[Element]) -> dict[str, list[Element]]:
     return out
 
 
+def same_inside(e: Element, mark: str) -> Element | None:
+    """The next element of the mark inside that holds all that ``e`` holds."""
+    while e is not None:
+        e = None if e.place else next((c for c in e.inside if (c.good, c.mains, c.holds) == (e.good, e.mains, e.holds)), None)
+        if e is not None and mark in e.marks:
+            return e
+    return None
+
+
 def settle(page: Element, elements: list[Element], blocks: list[Block]) -> None:
     """Which marks count, by ``boiler`` and ``named``; ``elements`` are in order, the page's root not among them.
 
@@ -246,7 +280,7 @@ def settle(page: Element, elements: list[Element], blocks: list[Block]) -> None:
             members.append(e := todo.pop())
             if not e.place:  # that is a scope of its own
                 todo += e.inside
-        rounds, need = 0, {"main"} & frozenset().union(*(e.holds for e in scope.inside))
+        need = {"main"} & frozenset().union(*(e.holds for e in scope.inside))
         while True:
             groups = grouped(scope, members)
             others, all_mains = scope.free_mains - scope.place, scope.mains - scope.place
@@ -262,9 +296,11 @@ def settle(page: Element, elements: list[Element], blocks: list[Block]) -> None:
                     wraps, most = k, good
             if wraps is None:
                 break
-            rounds += 1
-            for e in groups[wraps] if rounds < MOST_ROUNDS else members:
-                e.marks.pop(wraps, None)
+            layer = groups[wraps]
+            while all(layer):  # a group nested in it that holds the same would wrap in the next round
+                for e in layer:
+                    e.marks.pop(wraps)
+                layer = [same_inside(e, wraps) for e in layer]
         for e in members:
             e.open = open_
     for e in elements:
@@ -371,7 +407,7 @@ def blocks_of(html: str) -> list[Block]:
                     del stack[i:]
                 elif stack[i].name in HOLDERS:
                     break
-            if not m[0].endswith("/>") or name in BLOCK:
+            if not m[0].endswith("/>") or name in BLOCK or UNQUOTED.search(m[3]):
                 stack.append(Element(name, attributes(m[3]) if m[3] else {}, stack[-1]))
                 elements.append(stack[-1])
     if at < len(html) and not re.match(r"</?[A-Za-z]", html[at:]):
@@ -395,23 +431,53 @@ def rows_of(blocks: list[Block]) -> list[tuple]:
     return out
 
 
-def main_text(html: str, tree: Tree) -> tuple[str, int, int]:
+def block_element(e: Element) -> Element:
+    """The block-level element that an element belongs to."""
+    while e.name not in BLOCK and e.parent is not None:
+        e = e.parent
+    return e
+
+
+def second_pass(blocks: list[Block], rows: list[tuple], texts: list[str], taken: list[int], tree: Tree) -> list[int]:
+    """The blocks taken, with those that the decisions on their neighbours speak for.
+
+    Twice, since a heading may stand before a short paragraph that the first time takes.
+    """
+    left = [i for i, row in enumerate(rows) if not taken[i] and row[:3] == (0, 0, NO_MAIN)]
+    if not left:
+        return taken
+    own = [block_element(b.element) for b in blocks]
+    sentence = {i: int(texts[i].rstrip("\"'”’»)] ").endswith(ENDS) and not texts[i].lower().startswith(RIGHTS)) for i in left}
+    for _ in range(2):
+        told = LONG if any(taken) else SENTENCES if any(sentence[i] and rows[i][4] < 0.5 for i in left) else ALL_TEXT
+        beside = {own[i].parent for i, t in enumerate(taken) if t}
+        known = [0, *taken, 0]
+        taken = list(taken)
+        for i in left:
+            taken[i] = taken[i] or decide(tree, (int(own[i].parent in beside), sentence[i], int(own[i].name in HEADINGS), rows[i][4],
+                                                 known[i], known[i + 2], told))
+    return taken
+
+
+def main_text(html: str, tree: Tree, second: Tree) -> tuple[str, int, int]:
     """The text, and the numbers of blocks and of those taken."""
     blocks = blocks_of(html)
-    taken = [" ".join("".join(b.parts).split()) for b, row in zip(blocks, rows_of(blocks), strict=True) if decide(tree, row)]
-    return "\n".join(taken), len(blocks), len(taken)
+    rows = rows_of(blocks)
+    texts = [" ".join("".join(b.parts).split()) for b in blocks]
+    taken = second_pass(blocks, rows, texts, [decide(tree, row) for row in rows], second)
+    return "\n".join(t for t, take in zip(texts, taken, strict=True) if take), len(blocks), sum(taken)
 
 
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks int, n_taken int"
 ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_blocks", pa.int32()), ("n_taken", pa.int32())])
 
 
-def extract_pages(pages: DataFrame, labelled: list[tuple] = LABELLED) -> DataFrame:
+def extract_pages(pages: DataFrame, labelled: list[tuple] = LABELLED, second: list[tuple] = SECOND) -> DataFrame:
     """``page_id, url, text, n_chars, n_blocks, n_taken`` per page; no shuffle."""
-    tree = grow(labelled)
+    tree, tree_of_rest = grow(labelled), grow(second, marks=0)
 
     def run(columns: list[list]) -> list[list]:
-        found = [main_text(html or "", tree) for html in columns[2]]
+        found = [main_text(html or "", tree, tree_of_rest) for html in columns[2]]
         return [columns[0], columns[1], [f[0] for f in found], [len(f[0]) for f in found], [f[1] for f in found], [f[2] for f in found]]
 
     return map_rows(pages.select("page_id", "url", "html"), run, SCHEMA, ARROW)

@@ -1,13 +1,16 @@
 import re
+import time
 from html import unescape
 
-from recurwork.llm.html_text import LABELLED, decide, extract_pages, grow, main_text
+import pytest
 
-TREE = grow(LABELLED)
+from recurwork.llm.html_text import LABELLED, SECOND, decide, extract_pages, grow, main_text
+
+TREE, REST = grow(LABELLED), grow(SECOND, marks=0)
 
 
 def text(html):
-    return main_text(html, TREE)[0]
+    return main_text(html, TREE, REST)[0]
 
 
 def test_tree_fits_its_table_and_is_not_a_list_of_it():
@@ -96,3 +99,53 @@ def test_elements_that_are_not_closed_end_at_the_next_block():
     assert text("<article><p>a<button>Open<p>b<svg><path d=1><p>c<button>x</button> d<object data=x>fall<p>e<select><option>1<div>f</div>"
                 "<canvas>g<p>h</article>") == "a\nb\nc d\ne\nf\nh"
     assert text("<article><p>a<object><object>x</object><p>y</p></object>b<script>c<p>d") == "a b"
+
+
+def test_second_tree_fits_its_table():
+    assert all(decide(REST, r) == r[-1] for r in SECOND)
+
+
+LINES = [f"Short words number {i}." for i in range(12)]
+MENU = "<div><a href=/>Home</a> <a href=/a>About</a></div>"
+RIGHTS = "<div>© 2020 Us. All rights reserved.</div>"
+
+
+@pytest.mark.parametrize(("body", "want"), [
+    ("<h1>Title</h1><p>One short paragraph.</p>", ["Title", "One short paragraph."]),
+    ("<div>" + "".join(f"<p>{x}</p>" for x in LINES) + "</div>", LINES),
+    ("<h2>Head</h2>" + "".join(f"<p>{x}</p>" for x in LINES), ["Head", *LINES]),
+    ("<div><p>" + "word " * 40 + "</p><p>" + "more " * 50 + "</p><p>The end.</p></div>", [("word " * 40).strip(), ("more " * 50).strip(), "The end."]),
+    ("<div><p>“To be?”</p><p>" + "more " * 50 + "</p></div>", ["“To be?”", ("more " * 50).strip()]),
+    ("<div>No stop here<br>nor there</div>", ["No stop here nor there"]),
+])
+def test_short_paragraphs_of_a_page_without_an_article(body, want):
+    assert text(body) == "\n".join(want)
+    if want[0][-1] != "e":  # a page of no sentence has nothing that tells its text from what stands around
+        assert text(MENU + body + RIGHTS) == text(f"<body>{MENU}<main-part>{body}</main-part>{RIGHTS}") == "\n".join(want)
+
+
+def test_what_stands_apart_from_the_text_stays_out():
+    long = "<div><p>" + "word " * 40 + "</p><p>" + "more " * 50 + "</p></div>"
+    for rest in (RIGHTS, MENU, "<div>Follow us.</div>", "<div><h4>Latest</h4><a href=x>One</a><a href=y>Two</a></div>", "<nav>Short words here.</nav>",
+                 '<div class="cookie-bar">We use cookies.</div>'):
+        assert text(MENU + long + rest) == ("word " * 40).strip() + "\n" + ("more " * 50).strip()
+    assert text("<nav><p>Short words.</p></nav><footer>c 2020.</footer>") == text(MENU) == ""
+
+
+def test_wrappers_nested_in_any_depth():
+    for n in (1, 15, 16, 17, 40, 2000):
+        start = time.time()
+        inner = '<h1>Title</h1><p>' + "word " * 40 + '</p><div class="widget"><a href=x>Buy it</a></div><p>' + "more " * 40 + "</p>"
+        for open_ in ('<div class="sidebar-wrap">', '<div class="promo"><div class="sidebar">'):
+            html = open_ * n + inner + "</div>" * (n * open_.count("<div"))
+            assert text(html) == "Title\n" + ("word " * 40).strip() + "\n" + ("more " * 40).strip(), n
+        assert time.time() - start < 20
+
+
+def test_a_mark_inside_the_wrapped_text_stays_beyond_sixteen_wrappers():
+    inner = '<h1>Title</h1><p>' + "word " * 40 + '</p><div class="sidebar"><p>' + "aside " * 25 + "</p></div><p>" + "more " * 40 + "</p>"
+    want = text('<div class="sidebar">' * 3 + inner + "</div>" * 3)
+    assert "aside" not in want and want.startswith("Title")
+    assert text('<div class="sidebar">' * 30 + inner + "</div>" * 30) == want
+    steps = "".join(f'<div class="sidebar">w{i} ' for i in range(30)) + inner + "</div>" * 30
+    assert "aside" not in text(steps) and "Title" in text(steps)
