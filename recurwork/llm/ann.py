@@ -11,14 +11,19 @@ point not yet seen, if it were as near as the k-th best, would have been seen wi
 probability ``sure``.
 
 A query first searches its own cell, then, with the k-th distance found there as
-bound, the cells whose boxes the test does not rule out.  Queries meet a cell in
-blocks, so neither side of a task grows with the table.
+bound, the cells whose boxes the test does not rule out.  The top has at most
+``sample_rows / 16`` cells; a cell of more than ``cell_rows`` points is dealt into
+shares of about that many by a hash of the vector, each with a tree of its own, and
+a query takes the best of all shares.  Queries meet a share in blocks, as many as
+those that ask for its cell need, so neither side of a task grows with the table and
+a cell that no query asks for is not sent.
 
 Equal vectors are indexed once, with their k + 1 smallest ids (no query needs
 more), so a very common vector costs one point.  Vectors that are null, zero, of
 another length than most, or that hold null or non-finite components take no
 part.  Rows that repeat an id and its vector count once; an id with two vectors is
-two candidates.  Ties go to the smaller id.  Other columns are ignored.
+two candidates.  Ties go to the smaller id.  A vector may be of any length that fits in a
+row.  An empty table gives an empty result.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from math import exp
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -190,13 +195,14 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 100, k: int = 10,
         own = np.unique(at)
         return [own.tolist(), [projected[at == c].min(axis=0).tolist() for c in own], [projected[at == c].max(axis=0).tolist() for c in own]]
 
+    points_of = {r["cell"]: r["count"] for r in points.groupBy("cell").count().collect()}  # at most a row per cell of the top
+
     edges = map_rows(points.select("vector", "cell"), corners, "cell long, low array<double>, high array<double>",
                      pa.schema([("cell", pa.int64()), ("low", vectors), ("high", vectors)]))
     corner = [F.min(F.col("low")[i]).alias(f"l{i}") for i in range(DIMS)] + [F.max(F.col("high")[i]).alias(f"h{i}") for i in range(DIMS)]
     boxes = edges.groupBy("cell").agg(*corner).orderBy("cell").collect()  # a row for each cell, of which there are few
     cells = np.array([b.cell for b in boxes])
     low, high = np.array([b[1:1 + DIMS] for b in boxes]), np.array([b[1 + DIMS:] for b in boxes])
-    blocks = max(1, -(-queries.count() // block_rows))
 
     def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -206,11 +212,23 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 100, k: int = 10,
                 out += [(own, i, d) for d, i in cell.search(own, np.asarray(vector), basis, k, ratio, bound)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
+    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+
     def searched(asked: DataFrame) -> DataFrame:
-        """Searches of (query, cell) rows with their bounds."""
-        asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-        spread = points.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-        return spread.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block")).applyInPandas(search, SCHEMA)
+        """The best k of each query from searches of (query, cell) rows with their bounds."""
+        asked = written(asked, "ann-asked")
+        dealt = [(r["cell"], -(-points_of[r["cell"]] // cell_rows), -(-r["count"] // block_rows))
+                 for r in asked.groupBy("cell").count().collect() if r["cell"] in points_of]
+        dealt = F.broadcast(spark.createDataFrame(dealt, "cell long, shares long, blocks long"))  # as many rows as the top has cells
+
+        def numbers(n: str) -> Column:
+            return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+        left = points.join(dealt, "cell").withColumn("share", F.pmod(F.xxhash64("vector"), "shares")).withColumn("block", numbers("blocks"))
+        right = asked.join(dealt, "cell").withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks")).withColumn("share", numbers("shares"))
+        on = ["cell", "share", "block"]
+        found = left.select(*on, "vector", "ids").groupBy(on).cogroup(right.select(*on, "query_id", "vector", "bound").groupBy(on)).applyInPandas(search, SCHEMA)
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).drop("rank")
 
     at_home = written(searched(queries.select("query_id", "vector", F.col("home").alias("cell"), F.lit(float("inf")).alias("bound"))), "ann-home")
     bounds = at_home.groupBy("query_id").agg(F.max("score").alias("bound"), F.count("*").alias("n"))
@@ -228,6 +246,5 @@ def nearest(spark: SparkSession, rows: DataFrame, every: int = 100, k: int = 10,
 
     asked = map_rows(known, others, "query_id long, vector array<double>, cell long, bound double",
                      pa.schema([("query_id", pa.int64()), ("vector", vectors), ("cell", pa.int64()), ("bound", pa.float64())]))
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (at_home.unionByName(searched(asked)).distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int"), "vec_id", "score"))

@@ -59,3 +59,20 @@ def test_stopping_bound():
     draws = np.random.default_rng(1).chisquare(ann.DIMS, 200_000)
     for p in (0.5, 0.9, 0.97):
         assert abs((draws <= ann.reach(p)).mean() - p) < 0.01
+
+
+@pytest.mark.parametrize("block_rows", [2048, 7])
+def test_cells_beyond_the_top_of_the_tree_are_dealt_into_shares(spark, block_rows):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    want = brute(rows)
+    got = found(ann.nearest(spark, df, cell_rows=50, sample_rows=64, block_rows=block_rows))  # four cells, some ten shares or more
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in w}) for q, w in want.items())
+    assert len(rows) > 8 * 50 and got.keys() == want.keys() and hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_points_are_sent_only_where_a_query_asks(spark):
+    rows = [(i, [float(i % 7), 1.0 + i, 2.0]) for i in range(1, 90)] + [(100, [3.0, 50.0, 2.0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert found(ann.nearest(spark, df, cell_rows=8, sample_rows=64)).keys() == {100}
+    assert ann.nearest(spark, df.where("vec_id <> 100")).count() == 0
