@@ -17,7 +17,8 @@ DataFrame expressions only.  Tokens are runs of characters other than space, tab
 line feed and carriage return.  Documents without tokens (null or empty text) are
 never taken.  Null lang or source is a value of its own, the empty string.  Rows
 that share a doc_id share its key and stand or fall together; a null doc_id counts
-as an empty string.  A weight of 0 takes nothing.  Other columns are ignored by
+as an empty string.  A weight of 0 takes nothing.  Texts of any length are counted
+whole; an empty table gives an empty mixture.  Other columns are ignored by
 :func:`mixture` and kept by :func:`mixed_documents`.
 """
 
